@@ -57,28 +57,34 @@ def read_run(
     return read_json(spark, path, schema, multiline, recursive=False)
 
 
-def read_feed_pages(spark: SparkSession, path: str, item_schema: T.StructType, field: str = "value") -> DataFrame:
-    """Landed response pages as (source_path, items); control characters inside strings are tolerated."""
-    envelope = T.StructType([T.StructField(field, T.ArrayType(item_schema))])
+def read_feed_pages(
+    spark: SparkSession, path: str, item_schema: T.StructType, field: str = "value", multiline: bool = True
+) -> DataFrame:
+    """Landed response pages as (page_no, source_path, items).
+
+    Control characters inside strings are tolerated. ``page_no`` is null unless
+    the collector wrote it into the envelope.
+    """
+    envelope = T.StructType([T.StructField("page_no", T.LongType()), T.StructField(field, T.ArrayType(item_schema))])
     pages = (
         spark.read.schema(envelope)
-        .option("multiLine", "true")
+        .option("multiLine", str(multiline).lower())
         .option("recursiveFileLookup", "true")
         .option("allowUnquotedControlChars", "true")
         .json(path)
     )
-    return with_source_path(pages).select("source_path", F.col(field).alias("items"))
+    return with_source_path(pages).select("page_no", "source_path", F.col(field).alias("items"))
 
 
 def explode_pages(
-    pages: DataFrame, page_no: Column, page_size: int | None = None, max_items: int | None = None
+    pages: DataFrame, page_no: Column | None = None, page_size: int | None = None, max_items: int | None = None
 ) -> DataFrame:
     """One row per item with its feed position (page_no, item_no), starting at page 0.
 
     A collector stops at the first page without items and once it has asked for
     ``max_items``, so later pages are left out.
     """
-    numbered = pages.withColumn("page_no", page_no.cast("long"))
+    numbered = pages if page_no is None else pages.withColumn("page_no", page_no.cast("long"))
     if max_items is not None:
         numbered = numbered.filter(F.col("page_no") * page_size < max_items)
     empty = numbered.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0)
