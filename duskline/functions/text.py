@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Labels and patterns, tried from top to bottom.
-FAMILY_PATTERNS = (
-    ("containers", "aks|kubernetes|container"),
-    ("compute", "function|app service|web app|vm|virtual machine"),
-    ("data", "sql|mysql|postgres|cosmos|database"),
-    ("storage", "storage|blob|files"),
-    ("security", "key vault|identity|entra|aad"),
-    ("network", "network|gateway|load balancer|dns"),
+# Labels and the texts that give them, tried from top to bottom.
+FAMILY_MARKERS = (
+    ("containers", ("aks", "kubernetes", "container")),
+    ("compute", ("function", "app service", "web app", "vm", "virtual machine")),
+    ("data", ("sql", "mysql", "postgres", "cosmos", "database")),
+    ("storage", ("storage", "blob", "files")),
+    ("security", ("key vault", "identity", "entra", "aad")),
+    ("network", ("network", "gateway", "load balancer", "dns")),
 )
 FAMILY_DEFAULT = "platform"
 STATUS_MARKERS = (
@@ -54,6 +56,10 @@ def first_label(rules: list[tuple[Column, str]], default: Column | str) -> Colum
     return F.coalesce(*[F.when(test, F.lit(label)) for test, label in rules], default)
 
 
+def contains_any(text: Column, needles: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(n) for n in needles])
+
+
 def status_label(status: Column | str) -> Column:
     """Notice status folded to retired / retiring / deprecated / preview / unknown / as given."""
     folded = F.lower(F.trim(_col(status)))
@@ -63,9 +69,12 @@ def status_label(status: Column | str) -> Column:
 
 
 def technology_family(service: Column | str, runtime: Column | str, title: Column | str) -> Column:
-    """Technology family of a notice: first pattern found anywhere in its text."""
+    """Technology family of a notice: first marker found anywhere in its text.
+
+    The markers are plain texts, so this is a byte search rather than a regex.
+    """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(_col(c), F.lit("")) for c in (service, runtime, title)]))
-    return first_label([(text.rlike(p), label) for label, p in FAMILY_PATTERNS], FAMILY_DEFAULT)
+    return first_label([(contains_any(text, markers), label) for label, markers in FAMILY_MARKERS], FAMILY_DEFAULT)
 
 
 def impact_scope(
@@ -110,36 +119,44 @@ def is_tagged(tags: Column | str, tag: str = RETIREMENT_TAG) -> Column:
     return F.coalesce(F.array_contains(_col(tags), tag), F.lit(False))
 
 
-def _date_branch(text: Column, pattern: str, day: int, month: int, year: int) -> Column:
-    """(position, date) of the first match of one date order, or null.
+_NAMES = "|".join(MONTHS)
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_DAY_FIRST = rf"{_DAY}\s+({_NAMES})\s+(\d{{4}})"
+_MONTH_FIRST = rf"({_NAMES})\s+{_DAY},?\s+(\d{{4}})"
 
-    The long text is searched for the match only; day, month and year are then
-    read from the short matched piece.
-    """
-    piece = F.regexp_extract(text, pattern, 0)
-    month_no = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.regexp_extract(piece, pattern, month)))
-    year_text = F.regexp_extract(piece, pattern, year)
-    day_text = F.lpad(F.regexp_extract(piece, pattern, day), 2, "0")
-    parsed = F.try_to_date(F.format_string("%s-%02d-%s", year_text, month_no, day_text), "yyyy-MM-dd")
-    position = F.regexp_instr(text, F.lit(pattern))
-    return F.when(
-        parsed.isNotNull() & (year_text != "0000"),
-        F.struct(position.alias("position"), parsed.alias("date")),
-    )
+
+def _whole(pattern: str) -> str:
+    """The pattern between word ends, with case and character classes read as Unicode."""
+    return rf"(?iU)\b(?:{pattern})\b"
+
+
+def _read_date(piece: Column) -> Column:
+    """The date a matched piece spells in either order; null when there is no such day."""
+    part = lambda pattern, group: F.regexp_extract(piece, pattern, group)
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(rf"(?iU)({_NAMES})", 1)))
+    year = F.right(piece, F.lit(4))
+    day = F.lpad(part(r"(?iU)(\d{1,2})(?:\D|$)", 1), 2, "0")
+    parsed = F.try_to_date(F.format_string("%s-%02d-%s", year, month, day), "yyyy-MM-dd")
+    return F.when(year != "0000", parsed)
+
+
+def _date_branch(text: Column, pattern: str) -> Column:
+    """(position, date) of the first match of one order, or null."""
+    parsed = _read_date(F.regexp_extract(text, _whole(pattern), 0))
+    position = F.regexp_instr(text, F.lit(_whole(pattern)))
+    return F.when(parsed.isNotNull(), F.struct(position.alias("position"), parsed.alias("date")))
 
 
 def retire_date(text: Column | str) -> Column:
     """First English date in a text, written day-month-year or month-day-year.
 
     Each order contributes only its first match; an impossible date (30
-    February) drops that order, and the earlier position wins.
+    February) drops that order, and the earlier position wins. Nearly always the
+    earliest match of either order is a real date and one search settles it;
+    only otherwise are the two orders searched one by one.
     """
     text = _col(text)
-    names = "|".join(MONTHS)
-    suffix = "(?:st|nd|rd|th)?"
-    day_first = rf"(?iU)\b(\d{{1,2}}){suffix}\s+({names})\s+(\d{{4}})\b"
-    month_first = rf"(?iU)\b({names})\s+(\d{{1,2}}){suffix},?\s+(\d{{4}})\b"
-    return F.least(
-        _date_branch(text, day_first, day=1, month=2, year=3),
-        _date_branch(text, month_first, day=2, month=1, year=3),
-    )["date"]
+    earliest = F.regexp_extract(text, _whole(f"{_DAY_FIRST}|{_MONTH_FIRST}"), 0)
+    one_by_one = F.least(_date_branch(text, _DAY_FIRST), _date_branch(text, _MONTH_FIRST))["date"]
+    found = F.coalesce(_read_date(earliest), F.when(earliest != "", one_by_one))
+    return F.when(contains_any(F.lower(text), MONTHS), found)

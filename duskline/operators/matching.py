@@ -75,13 +75,25 @@ def with_tokens(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.coalesce(F.concat(F.lit(IS), F.col(c)), F.lit("")).alias(t) for c, t in zip(TRIPLE, TOKENS)])
 
 
-def match_triples(notices: DataFrame, technology: DataFrame, id_col: str = "deprecation_sk") -> DataFrame:
-    """(notice id, triple) for every distinct triple a notice covers, with the notice columns."""
-    triples = technology.select(*TRIPLE).distinct()
+def triple_counts(technology: DataFrame) -> DataFrame:
+    """The distinct triples with the number of technology rows on each, combined map-side.
+
+    Everything that matches or looks for hot keys starts from this one
+    aggregation, so Spark computes it once and reuses its shuffle.
+    """
+    return technology.groupBy(*TRIPLE).agg(F.count(F.lit(1)).alias("technology_rows"))
+
+
+def match_triples(notices: DataFrame, triples: DataFrame) -> DataFrame:
+    """Every (notice, triple) the notice covers: the triple columns and the notice columns.
+
+    ``triples`` has distinct rows and may carry more columns than the triple.
+    Notices that ask for the same thing are matched once and spread out after.
+    """
     asked = notice_patterns(notices)
     pairs = asked.select(*PATTERN).distinct().join(technology_offers(triples), PATTERN)
     keep = [c for c in notices.columns if c not in TRIPLE]
-    return pairs.join(asked.select(*PATTERN, *keep), PATTERN).select(*TRIPLE, *keep)
+    return pairs.join(asked.select(*PATTERN, *keep), PATTERN).select(*triples.columns, *keep)
 
 
 def wildcard_match(
@@ -96,11 +108,10 @@ def wildcard_match(
     the family. A triple that holds a large share of the technology rows is
     salted over several tasks.
     """
-    keyed = with_tokens(technology)
-    few = with_tokens(match_triples(notices, technology)).drop(*TRIPLE)
-    counts = keyed.groupBy(*TOKENS).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot_keys(counts, TOKENS, "__n", share, min_rows)
-    return salted_join(keyed, few, TOKENS, hot, technology.columns).drop(*TOKENS)
+    triples = with_tokens(triple_counts(technology))
+    few = match_triples(notices, triples).drop(*TRIPLE, "technology_rows")
+    hot = hot_keys(triples, TOKENS, "technology_rows", share, min_rows)
+    return salted_join(with_tokens(technology), few, TOKENS, hot, technology.columns).drop(*TOKENS)
 
 
 def wildcard_match_condition(notices: DataFrame, technology: DataFrame) -> DataFrame:

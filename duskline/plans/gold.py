@@ -16,6 +16,7 @@ from duskline.operators.matching import (
     lookup_technology,
     match_to_asset,
     match_triples,
+    triple_counts,
     wildcard_match,
 )
 from duskline.operators.rollups import join_counts, technology_rollup
@@ -109,14 +110,19 @@ def matched_assets(impacted: DataFrame, technology: DataFrame, assets: DataFrame
     return matches.select("asset_sk", "deprecation_sk", *TRIPLE, "retirement_at", "severity", "status")
 
 
-def notice_exposure(impacted: DataFrame, technology: DataFrame, events: DataFrame, dim_tech: DataFrame, as_of) -> DataFrame:
+def known_triples(technology: DataFrame, dim_tech: DataFrame) -> DataFrame:
+    """Distinct technology triples with their key and number of rows."""
+    return lookup_technology(triple_counts(technology), dim_tech)
+
+
+def notice_exposure(impacted: DataFrame, triples: DataFrame, events: DataFrame, as_of) -> DataFrame:
     """(technology_sk, deprecation_sk) once each, with the risk of the notice as of a day.
 
-    Works on distinct technology triples, never on assets.
+    Works on the distinct triples of :func:`known_triples`, never on assets.
     """
     notices = impacted.select("deprecation_sk", "technology_family", "affected_runtime", "affected_version").distinct()
     dated = with_risk(attach_event(notices, events), as_of)
-    covered = lookup_technology(match_triples(dated, technology), dim_tech)
+    covered = match_triples(dated, triples.drop("technology_rows"))
     risk = ["days_to_retirement", "priority", "risk_band_sk", "risk_score"]
     return covered.select("technology_sk", "deprecation_sk", *risk).distinct()
 
@@ -145,10 +151,11 @@ def fact_impact(
     sides that are distinct already. Technologies many assets share are salted.
     """
     day_sk, day = snapshot_columns(as_of)
+    triples = known_triples(technology, dim_tech)
     many = asset_exposure(technology, assets, dim_tech)
-    few = notice_exposure(impacted, technology, events, dim_tech, as_of)
-    counts = many.groupBy("technology_sk").agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot_keys(counts, ["technology_sk"], "__n", share, min_rows)
+    few = notice_exposure(impacted, triples, events, as_of)
+    counts = triples.groupBy("technology_sk").agg(F.sum("technology_rows").alias("technology_rows"))
+    hot = hot_keys(counts, ["technology_sk"], "technology_rows", share, min_rows)
     rows = salted_join(many, few, ["technology_sk"], hot, ["asset_sk"])
     return rows.select(
         day_sk.alias("date_sk"),

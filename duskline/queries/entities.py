@@ -296,7 +296,7 @@ def exposures(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     ev, tech, dim = events(spark, sf), sparse_technology(spark, sf), dim_technology(spark, sf)
     return (
         gold.asset_exposure(tech, assets(spark, sf), dim),
-        gold.notice_exposure(ev, tech, ev, dim, AS_OF),
+        gold.notice_exposure(ev, gold.known_triples(tech, dim), ev, AS_OF),
     )
 
 

@@ -90,7 +90,8 @@ def wildcard_match(spark, sf):
 def wildcard_match_triples(spark, sf):
     """The match on distinct technologies, the part that never grows with the assets."""
     notices = e.notices(spark, sf)
-    return matching.match_triples(notices, e.sparse_technology(spark, sf)).select("deprecation_sk", *matching.TRIPLE)
+    triples = matching.triple_counts(e.sparse_technology(spark, sf))
+    return matching.match_triples(notices, triples).select("deprecation_sk", *matching.TRIPLE)
 
 
 @query(
