@@ -148,16 +148,19 @@ def asset_tech_left(spark, sf):
 @query(
     "star_join",
     """
-    SELECT i.asset_sk, i.date_sk, a.asset_name, CASE i.cloud_provider WHEN 'azure' THEN 'Microsoft Azure' WHEN 'aws' THEN 'Amazon Web Services'
+    SELECT i.asset_sk, CASE d.year WHEN 1998 THEN 19980101 ELSE 19971231 END AS date_sk, a.asset_name, CASE i.cloud_provider WHEN 'azure' THEN 'Microsoft Azure' WHEN 'aws' THEN 'Amazon Web Services'
              ELSE 'Google Cloud Platform' END AS provider,
            CASE i.environment WHEN 'production' THEN TRUE WHEN 'staging' THEN FALSE WHEN 'testing' THEN FALSE WHEN 'unknown' THEN FALSE END AS is_production,
-           n.n_nationkey AS account_number, 1998 AS year
-    FROM inventory i JOIN asset a USING (asset_sk) JOIN nation n ON n.n_name = i.account_nk
+           n.n_nationkey AS account_number, d.year
+    FROM inventory i JOIN asset a USING (asset_sk) JOIN nation n ON n.n_name = i.account_nk, (VALUES (1998), (1997)) d(year)
     """,
 )
 def star_join(spark, sf):
+    """Two snapshot days of the inventory fact against its five dimensions."""
+    today = e.inventory(spark, sf)
+    fact = today.unionByName(today.withColumn("date_sk", F.lit(19971231)))
     return star.star_join(
-        e.inventory(spark, sf),
+        fact,
         (e.assets(spark, sf), "asset_sk", "asset_sk", {"asset_name": "asset_name"}),
         (reference.dim_cloud_provider(spark), "cloud_provider", "provider_name", {"display_name": "provider"}),
         (reference.dim_environment(spark), "environment", "environment_name", {"is_production": "is_production"}),

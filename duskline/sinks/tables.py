@@ -9,15 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from duskline.operators.upsert import merge_rows, one_row_per_key
+from duskline.sources import schemas
+
+# Tables that may hold no file yet (a partitioned table without rows) and so
+# need a schema to be read with.
+CONTRACTS = {"fact_deprecation_impact": schemas.FACT_IMPACT}
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, contracts: dict[str, StructType] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.contracts = CONTRACTS if contracts is None else contracts
 
     # -- locating ---------------------------------------------------------
     def _versions(self, name: str) -> list[int]:
@@ -55,7 +62,10 @@ class TableStore:
         versions = self._versions(name)
         if not versions:
             raise LookupError(f"table {name} does not exist below {self.root}")
-        return self.spark.read.option("mergeSchema", str(evolving).lower()).parquet(self._path(name, versions[-1]))
+        reader = self.spark.read.option("mergeSchema", str(evolving).lower())
+        if name in self.contracts and not evolving:
+            reader = reader.schema(self.contracts[name])
+        return reader.parquet(self._path(name, versions[-1]))
 
     # -- writing ----------------------------------------------------------
     def append(self, df: DataFrame, name: str) -> None:
