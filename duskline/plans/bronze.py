@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duskline.functions.keys import hash_key
 from duskline.operators.tags import explode_tags
@@ -88,9 +89,30 @@ def resource_raw(loaded: DataFrame) -> DataFrame:
     return loaded.select(*LOAD_COLUMNS, "raw_payload")
 
 
+def _nested_schema(paths: list[str]) -> T.StructType:
+    """Struct of text leaves that holds exactly the given dotted paths."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *parents, leaf = path.split(".")
+        for part in parents:
+            node = node.setdefault(part, {})
+        node[leaf] = None
+
+    def struct(node: dict) -> T.StructType:
+        return T.StructType([T.StructField(k, T.StringType() if v is None else struct(v)) for k, v in node.items()])
+
+    return struct(tree)
+
+
 def flatten_resource(loaded: DataFrame) -> DataFrame:
-    """The 41 flattened columns of a landed resource; every property is taken by path from JSON text."""
-    path = lambda p: F.get_json_object("properties", f"$.{p}")
+    """The 41 flattened columns of a landed resource.
+
+    ``properties`` is parsed once per row into the paths that are used, not once
+    per path. Booleans and numbers come out as their JSON text.
+    """
+    parsed = F.from_json("properties", _nested_schema(list(PROPERTY_PATHS.values())))
+    loaded = loaded.withColumn("__properties", parsed)
     return loaded.select(
         F.col("id").alias("resource_id"),
         F.col("name").alias("resource_name"),
@@ -100,7 +122,7 @@ def flatten_resource(loaded: DataFrame) -> DataFrame:
         F.col("sku.tier").alias("sku_tier"),
         F.to_json("tags").alias("tags_json"),
         F.col("properties").alias("properties_json"),
-        *[path(p).alias(name) for name, p in PROPERTY_PATHS.items()],
+        *[F.col(f"__properties.{p}").alias(name) for name, p in PROPERTY_PATHS.items()],
         "source_path",
         "collected_at",
     )

@@ -8,6 +8,7 @@ from duskline.operators.filters import unprocessed
 from duskline.operators.matching import crosswalk_family
 from duskline.plans import bronze, gold, quality, silver
 from duskline.plans.bronze import Origin
+from duskline.session import staged
 from duskline.sinks.tables import TableStore
 from duskline.sources import landing, reference
 
@@ -18,7 +19,8 @@ def load_inventory(store: TableStore, path: str, run_ts, origin: Origin = Origin
     """Append the snapshots that have not been loaded yet to the four raw tables."""
     snapshots = quality.require_rows(landing.read_snapshots(store.spark, path, multiline), path)
     loaded = store.read("brz_azure_resource_raw") if store.exists("brz_azure_resource_raw") else None
-    fresh = bronze.bronze_metadata(unprocessed(snapshots, loaded), run_ts, origin)
+    # The JSON is parsed once; the four tables start from the staged columns.
+    fresh = staged(bronze.bronze_metadata(unprocessed(snapshots, loaded), run_ts, origin), "fresh-inventory")
     if fresh.isEmpty():
         return
     store.append(bronze.cloud_accounts(fresh, run_ts, origin, path), "brz_inventory_cloud_raw")
@@ -40,13 +42,14 @@ def load_notices(store: TableStore, path: str, run_ts, origin: Origin = Origin()
 
 def conform_inventory(store: TableStore, run_ts, origin: Origin = Origin()) -> None:
     """Upsert accounts, assets and technologies."""
-    flat = store.read("brz_azure_resource_flat", evolving=True)
+    # The history is reduced to one row per resource once, for assets and technologies.
+    newest = staged(silver.newest_resource(store.read("brz_azure_resource_flat", evolving=True)), "newest-resource")
     tags = store.read("brz_inventory_tag_raw", evolving=True)
     accounts = store.read("brz_inventory_cloud_raw", evolving=True)
     store.upsert(silver.cloud_account(accounts, run_ts, origin), "slv_cloud_account", ["account_nk"], KEEP)
-    store.upsert(silver.asset(flat, tags, run_ts, origin), "slv_asset", ["asset_nk"], KEEP)
+    store.upsert(silver.asset(newest, tags, run_ts, origin), "slv_asset", ["asset_nk"], KEEP)
     store.upsert(
-        silver.technology(flat, run_ts, origin),
+        silver.technology(newest, run_ts, origin),
         "slv_asset_technology",
         ["resource_id", "technology_family", "technology_source"],
     )

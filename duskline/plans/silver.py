@@ -38,25 +38,30 @@ def cloud_account(raw: DataFrame, run_ts, origin: Origin = Origin()) -> DataFram
     )
 
 
-def latest_resource(flat: DataFrame) -> DataFrame:
-    """The newest snapshot row of each resource."""
-    return latest_per_key(flat, ["resource_id"], ["collected_at", "source_path"])
+def newest_resource(flat: DataFrame) -> DataFrame:
+    """The newest snapshot row of each resource, with its first and last snapshot times.
+
+    One aggregation over the history: each task keeps one row per resource
+    before the shuffle. A null time counts as oldest.
+    """
+    rest = [c for c in flat.columns if c != "resource_id"]
+    newest = flat.groupBy("resource_id").agg(
+        F.max_by(F.struct(*rest), F.struct("collected_at", "source_path")).alias("__row"),
+        F.min("collected_at").alias("first_seen_at"),
+        F.max("collected_at").alias("last_seen_at"),
+    )
+    return newest.select("resource_id", "__row.*", "first_seen_at", "last_seen_at")
 
 
 def asset(
-    flat: DataFrame, tags: DataFrame, run_ts, origin: Origin = Origin(), include_group: bool = False
+    newest: DataFrame, tags: DataFrame, run_ts, origin: Origin = Origin(), include_group: bool = False
 ) -> DataFrame:
-    """One row per natural key from the newest snapshot, with its tags.
+    """One row per natural key from :func:`newest_resource`, with its tags.
 
     ``first_seen_at`` and ``last_seen_at`` span all snapshots of the resource, so
     an asset that vanishes stops being seen.
     """
-    newest = latest_resource(flat)
-    seen = flat.groupBy("resource_id").agg(
-        F.min("collected_at").alias("first_seen_at"), F.max("collected_at").alias("last_seen_at")
-    )
-    labels = pivot_tags(tags, newest="collected_at")
-    base = newest.join(seen, "resource_id").join(labels, "resource_id", "left")
+    base = newest.join(pivot_tags(tags, newest="collected_at"), "resource_id", "left")
     provider = F.lit(origin.cloud_provider)
     group = "resource_group" if include_group else None
     rows = base.withColumn("asset_nk", asset_key(provider, "subscription_id", "resource_type", "resource_name", group))
@@ -82,9 +87,9 @@ def asset(
     return latest_per_key(conformed, ["asset_nk"], ["last_seen_at", "native_resource_id"])
 
 
-def technology(flat: DataFrame, run_ts, origin: Origin = Origin()) -> DataFrame:
-    """Technologies of the newest snapshot of each resource."""
-    return asset_technology(latest_resource(flat), origin.cloud_provider, origin.source_system, ts_lit(run_ts))
+def technology(newest: DataFrame, run_ts, origin: Origin = Origin()) -> DataFrame:
+    """Technologies of the rows of :func:`newest_resource`."""
+    return asset_technology(newest, origin.cloud_provider, origin.source_system, ts_lit(run_ts))
 
 
 def notice_base(raw: DataFrame, as_of) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from duskline.functions.text import is_tagged
 from duskline.operators.rollups import row_count
 from duskline.plans import bronze, feed
 from duskline.queries import entities as e
@@ -180,25 +181,20 @@ def empty_typed_table(spark, sf):
 @query(
     "page_envelope_explode",
     """
-    SELECT conv_id, turn, role, text FROM conversations
+    SELECT doc_id AS page_no, unnest(range(len(lines)))::INTEGER AS item_no, unnest(lines) AS title, source AS status, FALSE AS tagged
+    FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents)
     """,
 )
 def page_envelope_explode(spark, sf):
-    """Each conversation is one page of items; items come back whole and in order."""
+    """Each document is landed as one response page with its lines as items; the items come back whole and in order."""
     root = scratch(spark, "pages")
-    turns = table(spark, sf, "conversations").select(
-        F.col("conv_id").alias("page_no"), F.struct("turn", F.col("role").alias("title"), F.col("text").alias("description")).alias("item")
+    as_item = lambda line: F.struct(line.alias("title"), F.col("source").alias("status"))
+    pages = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("page_no"), F.transform(F.split("text", r"\n"), as_item).alias("value")
     )
-    # A page is what one response held, so its size is bounded by the collector.
-    pages = turns.groupBy("page_no").agg(F.array_sort(F.collect_list("item")).alias("value"))
     pages.write.json(root)
-    items = landing.explode_pages(landing.read_feed_pages(spark, root, PAGE_ITEM, multiline=False))
-    return items.select(F.col("page_no").alias("conv_id"), "turn", F.col("title").alias("role"), F.col("description").alias("text"))
-
-
-PAGE_ITEM = schemas.T.StructType(
-    [schemas.T.StructField("turn", schemas.T.LongType()), *schemas.FEED_ITEM.fields]
-)
+    items = landing.explode_pages(landing.read_feed_pages(spark, root, schemas.FEED_ITEM, multiline=False))
+    return items.select("page_no", "item_no", "title", "status", is_tagged("tags").alias("tagged"))
 
 
 # -- sinks -----------------------------------------------------------------------------------------

@@ -152,7 +152,7 @@ def two_loads(spark, sf):
 )
 def build_asset(spark, sf):
     loads = two_loads(spark, sf)
-    return stamped(silver.asset(bronze.flatten_resource(loads), bronze.resource_tags(loads), e.RUN_TS), *SEEN)
+    return stamped(silver.asset(silver.newest_resource(bronze.flatten_resource(loads)), bronze.resource_tags(loads), e.RUN_TS), *SEEN)
 
 
 @query(
@@ -184,7 +184,7 @@ def detect_technology_counts(spark, sf):
     """,
 )
 def build_asset_technology(spark, sf):
-    rows = silver.technology(bronze.flatten_resource(two_loads(spark, sf)), e.RUN_TS)
+    rows = silver.technology(silver.newest_resource(bronze.flatten_resource(two_loads(spark, sf))), e.RUN_TS)
     rows = rows.filter("technology_family = 'container_orchestration'")
     return rows.select("resource_id", "tech_sk", "asset_nk", "resource_type", "runtime_name", "runtime_version")
 

@@ -6,7 +6,7 @@ import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. ANSI mode stays at its default (on):
@@ -65,6 +65,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{working_dir(spark)}/duskline/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result several writes start from: it is computed once, and a lost
+    executor costs a re-read, not the whole lineage.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def date_lit(as_of: str | dt.date) -> Column:
     """``as_of`` as a DATE literal."""
     if isinstance(as_of, dt.datetime):

@@ -146,8 +146,9 @@ def test_group_in_key_keeps_same_names_apart(spark):
     loaded_rows = bronze.bronze_metadata(df, "2026-01-01 00:00:00", source_path="x")
     flat, tags = bronze.flatten_resource(loaded_rows), bronze.resource_tags(loaded_rows)
     assert len(flat.columns) == 41
-    assert silver.asset(flat, tags, "2026-01-01 00:00:00").count() == 9
-    assert silver.asset(flat, tags, "2026-01-01 00:00:00", include_group=True).count() == 10
+    newest = silver.newest_resource(flat)
+    assert silver.asset(newest, tags, "2026-01-01 00:00:00").count() == 9
+    assert silver.asset(newest, tags, "2026-01-01 00:00:00", include_group=True).count() == 10
 
 
 def test_detection_needs_a_known_column(spark):
