@@ -130,21 +130,39 @@ def _whole(pattern: str) -> str:
     return rf"(?iU)\b(?:{pattern})\b"
 
 
+def _let(value: Column, build) -> Column:
+    """``build`` over a value that is evaluated once, however often ``build`` uses it.
+
+    Without this the searches below would be repeated at each use, and the
+    generated code would grow with every repetition.
+    """
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def _read_date(piece: Column) -> Column:
-    """The date a matched piece spells in either order; null when there is no such day."""
-    part = lambda pattern, group: F.regexp_extract(piece, pattern, group)
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(rf"(?iU)({_NAMES})", 1)))
-    year = F.right(piece, F.lit(4))
-    day = F.lpad(part(r"(?iU)(\d{1,2})(?:\D|$)", 1), 2, "0")
-    parsed = F.try_to_date(F.format_string("%s-%02d-%s", year, month, day), "yyyy-MM-dd")
-    return F.when(year != "0000", parsed)
+    """The date a matched piece spells in either order; null when there is no such day.
+
+    The day is added to the first of its month and must stay in that month, so
+    an impossible date costs no exception.
+    """
+    names = F.array(*[F.lit(m) for m in MONTHS])
+    month = F.nullif(F.array_position(names, F.lower(F.regexp_extract(piece, rf"(?iU){_NAMES}", 0))), F.lit(0)).cast("int")
+    year = F.nullif(F.right(piece, F.lit(4)).try_cast("int"), F.lit(0))
+    day = F.regexp_extract(piece, r"(?U)\d{1,2}", 0).try_cast("int")
+
+    def inside_month(first: Column) -> Column:
+        return _let(F.date_add(first, day - 1), lambda reached: F.when(F.trunc(reached, "month") == first, reached))
+
+    return _let(F.make_date(year, month, F.lit(1)), inside_month)
 
 
 def _date_branch(text: Column, pattern: str) -> Column:
     """(position, date) of the first match of one order, or null."""
-    parsed = _read_date(F.regexp_extract(text, _whole(pattern), 0))
     position = F.regexp_instr(text, F.lit(_whole(pattern)))
-    return F.when(parsed.isNotNull(), F.struct(position.alias("position"), parsed.alias("date")))
+    return _let(
+        _let(F.regexp_extract(text, _whole(pattern), 0), _read_date),
+        lambda found: F.when(found.isNotNull(), F.struct(position.alias("position"), found.alias("date"))),
+    )
 
 
 def retire_date(text: Column | str) -> Column:
@@ -153,10 +171,11 @@ def retire_date(text: Column | str) -> Column:
     Each order contributes only its first match; an impossible date (30
     February) drops that order, and the earlier position wins. Nearly always the
     earliest match of either order is a real date and one search settles it;
-    only otherwise are the two orders searched one by one.
+    only otherwise are the two orders searched one by one. A text without a
+    month name is not searched at all.
     """
     text = _col(text)
-    earliest = F.regexp_extract(text, _whole(f"{_DAY_FIRST}|{_MONTH_FIRST}"), 0)
+    search = F.regexp_extract(text, _whole(f"{_DAY_FIRST}|{_MONTH_FIRST}"), 0)
+    earliest = _let(F.lower(text), lambda folded: F.when(contains_any(folded, MONTHS), search))
     one_by_one = F.least(_date_branch(text, _DAY_FIRST), _date_branch(text, _MONTH_FIRST))["date"]
-    found = F.coalesce(_read_date(earliest), F.when(earliest != "", one_by_one))
-    return F.when(contains_any(F.lower(text), MONTHS), found)
+    return _let(earliest, lambda piece: F.coalesce(_read_date(piece), F.when(piece != "", one_by_one)))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duskline.functions.text import mentions_retirement
 from duskline.session import date_lit
 
 
@@ -47,6 +48,13 @@ def retirement_window(
     return df
 
 
+def retirement_recommendations(
+    df: DataFrame, kind: str = "microsoft.advisor/recommendations", whole_term: bool = False
+) -> DataFrame:
+    """Recommendations of one type (any case) whose problem or solution speaks of retirement."""
+    return df.filter((F.lower("type") == kind.lower()) & mentions_retirement("problem", "solution", whole_term=whole_term))
+
+
 def any_filled(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where at least one of the columns is not null."""
     return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns]))

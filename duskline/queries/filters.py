@@ -8,7 +8,7 @@ from duskline.functions import text as rules
 from duskline.operators import dedupe, filters, rollups
 from duskline.plans import feed, kpis
 from duskline.queries import entities as e
-from duskline.queries.projections import landed_notices
+from duskline.queries.projections import dated_text, landed_notices
 from duskline.queries.registry import query, table
 
 
@@ -70,9 +70,25 @@ def upcoming_notices(spark, sf):
     return filters.retirement_window(landed_notices(spark, sf), e.AS_OF, upcoming_only=True).select("created", "title", "retire_date")
 
 
-@query("term_filter", "SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)\\b(retir|deprecat)') OR regexp_matches(source, '(?i)\\b(retir|deprecat)')")
+@query(
+    "term_filter",
+    """
+    SELECT o_orderkey FROM dated_text JOIN orders USING (o_orderkey)
+    WHERE o_orderstatus = 'F' AND (regexp_matches(text, '(?i)\\b(retir|deprecat)') OR regexp_matches(o_orderpriority, '(?i)\\b(retir|deprecat)'))
+    """,
+)
 def term_filter(spark, sf):
-    return table(spark, sf, "documents").filter(rules.mentions_retirement("text", "source")).select("doc_id")
+    kind = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("problem"),
+        F.when(F.col("o_orderstatus") == "F", "Vendor.Advisor/Recommendations").otherwise("vendor.other").alias("type"),
+    )
+    rows = dated_text(spark, sf).withColumnRenamed("text", "solution").join(kind, "o_orderkey")
+    return filters.retirement_recommendations(rows, "vendor.advisor/recommendations").select("o_orderkey")
+
+
+@query("term_filter_documents", "SELECT doc_id, regexp_matches(text, '(?i)\\b(retir|deprecat)') AS about_retirement FROM documents")
+def term_filter_documents(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", rules.mentions_retirement("text").alias("about_retirement"))
 
 
 @query("term_filter_stem", "SELECT event_id, event_type = 'error' OR event_type = 'view' AS about_retirement FROM events")
