@@ -105,7 +105,8 @@ def matched_assets(impacted: DataFrame, technology: DataFrame, assets: DataFrame
     output is distinct without another shuffle.
     """
     notices = impacted.select("deprecation_sk", "technology_family", "affected_runtime", "affected_version").distinct()
-    per_asset = match_to_asset(technology.select("resource_id", *TRIPLE), assets).select("asset_sk", *TRIPLE).distinct()
+    per_asset = match_to_asset(technology.select("resource_id", *TRIPLE), assets)
+    per_asset = per_asset.select("resource_id", "asset_sk", *TRIPLE).distinct()
     matches = wildcard_match(attach_event(notices, events), per_asset)
     return matches.select("asset_sk", "deprecation_sk", *TRIPLE, "retirement_at", "severity", "status")
 
@@ -128,9 +129,14 @@ def notice_exposure(impacted: DataFrame, triples: DataFrame, events: DataFrame,
 
 
 def asset_exposure(technology: DataFrame, assets: DataFrame, dim_tech: DataFrame) -> DataFrame:
-    """(technology_sk, asset_sk) once each."""
-    rows = match_to_asset(technology.select("resource_id", *TRIPLE).distinct(), assets)
-    return lookup_technology(rows, dim_tech).select("technology_sk", "asset_sk").distinct()
+    """(technology_sk, asset_sk) once each.
+
+    An asset stands for one resource, so rows are made distinct within their
+    resource: the join on resource_id has already brought them together and no
+    further shuffle is needed.
+    """
+    rows = lookup_technology(match_to_asset(technology.select("resource_id", *TRIPLE), assets), dim_tech)
+    return rows.select("resource_id", "asset_sk", "technology_sk").distinct().drop("resource_id")
 
 
 def fact_impact(
