@@ -67,4 +67,4 @@ def runtime_parts(runtime: Column | str) -> tuple[Column, Column]:
 
 def first_timestamp(*candidates: Column | str) -> Column:
     """First candidate that reads as a timestamp; unreadable text counts as missing."""
-    return F.coalesce(*[F.try_to_timestamp(_col(c).cast("string")) for c in candidates])
+    return F.coalesce(*[_col(c).try_cast("timestamp") for c in candidates])

@@ -37,10 +37,10 @@ def retirement_window(
     date_col: str = "retire_date",
     year_col: str = "retire_year",
 ) -> DataFrame:
-    """Optional date filters of the notice feed, combined."""
+    """Optional date filters of the notice feed, combined. Dates are ISO text, which sorts as dates do."""
     if upcoming_only:
-        day = F.col(date_col).cast("date")
-        df = df.filter(day.isNull() | (day >= date_lit(as_of)))
+        day = F.col(date_col)
+        df = df.filter(day.isNull() | (day >= F.date_format(date_lit(as_of), "yyyy-MM-dd")))
     if year is not None:
         df = df.filter(F.col(year_col) == year)
     if since is not None:

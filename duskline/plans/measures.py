@@ -77,7 +77,8 @@ def affected_share(inventory: DataFrame, impact: DataFrame, by: list[str] | None
         hit = hit.select(*[F.col(c).alias(f"__{c}") for c in by], "affected_assets")
         on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
         both = stock.join(hit, on, "full_outer")
-        both = both.select(*[F.coalesce(c, f"__{c}").alias(c) for c in by], "assets", "affected_assets")
+        counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("assets", "affected_assets")]
+        both = both.select(*[F.coalesce(c, f"__{c}").alias(c) for c in by], *counts)
     else:
         # One row on each side: the second is read as a scalar subquery.
         both = stock.withColumn("affected_assets", hit.scalar())

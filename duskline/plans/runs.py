@@ -67,6 +67,11 @@ def conform_notices(store: TableStore, as_of: dt.date, run_ts, origin: Origin =
     )
 
 
+def _publish_day(store: TableStore, facts, name: str, keys: list[str], as_of: dt.date) -> None:
+    """Upsert the slice of one day. The fact builders give one row per key."""
+    store.upsert_slices(facts, name, keys, "date_sk", slices=[int(as_of.strftime("%Y%m%d"))], unique=True)
+
+
 def publish_inventory(store: TableStore, as_of: dt.date, run_ts) -> None:
     """Dimensions and the inventory fact of the day."""
     spark = store.spark
@@ -80,7 +85,7 @@ def publish_inventory(store: TableStore, as_of: dt.date, run_ts) -> None:
     store.overwrite(gold.dim_asset(assets, run_ts), "dim_asset")
     store.overwrite(gold.dim_technology(technology, run_ts), "dim_technology")
     facts = gold.fact_inventory(assets, technology, as_of, run_ts)
-    store.upsert_slices(facts, "fact_inventory_snapshot", ["date_sk", "asset_sk"], "date_sk")
+    _publish_day(store, facts, "fact_inventory_snapshot", ["date_sk", "asset_sk"], as_of)
     if not store.exists("fact_deprecation_impact"):
         store.overwrite(reference.empty_impacts(spark), "fact_deprecation_impact", partition_by=["date_sk"])
 
@@ -98,4 +103,4 @@ def publish_impact(store: TableStore, as_of: dt.date, run_ts, use_crosswalk: boo
     if use_crosswalk:
         technology, dim = crosswalk_family(technology), crosswalk_family(dim)
     facts = gold.fact_impact(impacted, technology, assets, events, dim, as_of, run_ts)
-    store.upsert_slices(facts, "fact_deprecation_impact", gold.IMPACT_KEYS, "date_sk")
+    _publish_day(store, facts, "fact_deprecation_impact", gold.IMPACT_KEYS, as_of)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from duskline.operators.upsert import merge_rows, one_row_per_key
+from duskline.session import staged
 from duskline.sources import schemas
 
 # Tables that may hold no file yet (a partitioned table without rows) and so
@@ -103,31 +104,45 @@ class TableStore:
             return
         self.overwrite(merge_rows(self.read(name), source, keys, keep), name)
 
-    def upsert_slices(self, df: DataFrame, name: str, keys: list[str], slice_by: str, strict: bool = False) -> None:
+    def _slice_exists(self, name: str, slice_by: str, value) -> bool:
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self._path(name, self._versions(name)[-1])}/{slice_by}={value}")
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def upsert_slices(
+        self,
+        df: DataFrame,
+        name: str,
+        keys: list[str],
+        slice_by: str,
+        slices: list | None = None,
+        unique: bool = False,
+        strict: bool = False,
+    ) -> None:
         """Upsert that rewrites only the ``slice_by`` partitions present in ``df``.
 
         For facts that grow by one slice a day: the history is neither read nor
-        written again.
+        written again. Name the ``slices`` where they are known, so that ``df``
+        is not run just to find them, and say ``unique`` where it already has
+        one row per key. A slice that does not exist yet is simply added.
         """
-        source = one_row_per_key(df, keys, strict=strict)
+        source = df if unique else one_row_per_key(df, keys, strict=strict)
         if not self.exists(name):
             self.overwrite(source, name, partition_by=[slice_by])
             return
-        target = self.read(name)
-        touched = source.select(slice_by).distinct()
-        merged = merge_rows(target.join(touched, slice_by, "left_semi"), source, keys)
-        # Spark cannot overwrite a folder it is reading, so the touched slices go
-        # through a version of their own first.
-        staged = f"{self.root}/_slices/{name}"
-        stage = TableStore(self.spark, staged)
-        stage.overwrite(merged, "rows")
-        (
-            stage.read("rows")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(slice_by)
-            .parquet(self._path(name, self._versions(name)[-1]))
-        )
+        if slices is None:
+            source = staged(source, f"upsert-{name}")
+            # One value per partition folder that will be written.
+            slices = [r[0] for r in source.select(slice_by).distinct().collect()]
+        path = self._path(name, self._versions(name)[-1])
+        if not any(self._slice_exists(name, slice_by, value) for value in slices):
+            source.write.mode("append").partitionBy(slice_by).parquet(path)
+            return
+        before = self.read(name).filter(F.col(slice_by).isin(slices))
+        # Spark cannot overwrite a folder it is reading, so the new slices are
+        # staged first.
+        merged = staged(merge_rows(before, source, keys), f"slices-{name}")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_by).parquet(path)
 
     def row_counts(self, names: list[str]) -> DataFrame:
         """(table_name, row_count) for each name, -1 where it cannot be read."""

@@ -62,7 +62,7 @@ def read_feed_pages(
 ) -> DataFrame:
     """Landed response pages as (page_no, source_path, items).
 
-    Control characters inside strings are tolerated. ``page_no`` is null unless
+    Control characters and broken UTF-8 inside strings are tolerated. ``page_no`` is null unless
     the collector wrote it into the envelope.
     """
     envelope = T.StructType([T.StructField("page_no", T.LongType()), T.StructField(field, T.ArrayType(item_schema))])
@@ -71,6 +71,9 @@ def read_feed_pages(
         .option("multiLine", str(multiline).lower())
         .option("recursiveFileLookup", "true")
         .option("allowUnquotedControlChars", "true")
+        # Decoded by the reader, so a broken byte becomes a replacement mark and
+        # does not cost the page.
+        .option("encoding", "UTF-8")
         .json(path)
     )
     return with_source_path(pages).select("page_no", "source_path", F.col(field).alias("items"))

@@ -9,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskline.operators.upsert import merge_rows, one_row_per_key
-from duskline.plans import quality
+from duskline.operators import filters
+from duskline.plans import feed, quality
+from duskline.plans import measures as m
+from duskline.session import scratch, staged, working_dir
 from duskline.sinks import landing as sink
 from duskline.sinks.tables import TableStore
 from duskline.sources import landing, reference, schemas
@@ -64,8 +67,12 @@ def test_upsert_slices_leaves_history_alone(spark, store, rows, tmp_path):
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "f").rglob("date_sk=20260101/*.parquet")}
     store.upsert_slices(day(20260102, "a", "2"), "f", ["date_sk", "k"], "date_sk")
     store.upsert_slices(day(20260102, "ac", "3"), "f", ["date_sk", "k"], "date_sk")
+    named = day(20260103, "ab", "4")
+    store.upsert_slices(named, "f", ["date_sk", "k"], "date_sk", slices=[20260103], unique=True)
+    store.upsert_slices(named.filter("k = 'a'").withColumn("v", F.lit("5")), "f", ["date_sk", "k"], "date_sk", slices=[20260103], unique=True)
+    assert rows(store.read("f").filter("date_sk = 20260103"), "k", "v") == [("a", "5"), ("b", "4")]
     assert before and before == {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "f").rglob("date_sk=20260101/*.parquet")}
-    assert rows(store.read("f"), "date_sk", "k", "v") == [
+    assert rows(store.read("f").filter("date_sk < 20260103"), "date_sk", "k", "v") == [
         (20260101, "a", "1"), (20260101, "b", "1"), (20260102, "a", "3"), (20260102, "c", "3"),
     ]
 
@@ -103,13 +110,17 @@ def test_snapshot_arrays(spark, tmp_path, rows):
 
 def test_feed_pages_stop_at_the_first_empty_page(spark, tmp_path, rows):
     item = lambda t: {"title": t, "tags": ["Retirements"]}
-    write(tmp_path / "page-0.json", '{"value": [{"title": "a\u0001b"}, {"title": "c"}]}')
-    write(tmp_path / "page-1.json", {"value": [item("d")]})
-    write(tmp_path / "page-2.json", {"value": []})
-    write(tmp_path / "page-3.json", {"value": [item("late")]})
-    pages = landing.read_feed_pages(spark, str(tmp_path), schemas.FEED_ITEM)
+    write(tmp_path / "ok" / "page-0.json", '{"value": [{"title": "a\u0001b"}, {"title": "c"}]}')
+    write(tmp_path / "ok" / "page-1.json", {"value": [item("d")]})
+    write(tmp_path / "ok" / "page-2.json", {"value": []})
+    write(tmp_path / "ok" / "page-3.json", {"value": [item("late")]})
+    pages = landing.read_feed_pages(spark, str(tmp_path / "ok"), schemas.FEED_ITEM)
     number = F.regexp_extract("source_path", r"page-(\d+)", 1)
     assert rows(landing.explode_pages(pages, number), "page_no", "item_no", "title") == [(0, 0, "a\u0001b"), (0, 1, "c"), (1, 0, "d")]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "page-0.json").write_bytes(b'{"value": [{"title": "x\xff\xc3y"}]}')
+    bad = landing.read_feed_pages(spark, str(tmp_path / "bad"), schemas.FEED_ITEM)
+    assert landing.explode_pages(bad, number).first()["title"].startswith("x\ufffd")
     capped = landing.explode_pages(pages, number, page_size=100, max_items=100)
     assert capped.count() == 2
 
@@ -152,3 +163,48 @@ def test_calendar_and_seeds(spark):
     assert reference.dim_environment(spark).count() == 5
     assert reference.dim_cloud_provider(spark).filter("url IS NULL").first()["provider_name"] == "onprem"
     assert [r["risk_order"] for r in reference.dim_risk_band(spark).orderBy("risk_band_sk").collect()] == [4, 3, 2, 1, 0]
+
+
+def test_working_folder(spark):
+    base = working_dir(spark)
+    assert base == working_dir(spark)
+    first, second = scratch(spark, "x"), scratch(spark, "x")
+    assert first != second and first.startswith(base + "/duskline/x-")
+    frame = staged(spark.sql("SELECT 1 AS a, map('k', 'v') AS m"), "x")
+    assert frame.first()["m"] == {"k": "v"}
+
+
+def test_scope_and_windows(spark, rows):
+    units = spark.createDataFrame([("a", "Enabled"), ("b", "DISABLED"), ("c", None)], "subscription_id string, state string")
+    ids = lambda df: [r[0] for r in rows(df, "subscription_id")]
+    assert ids(filters.in_scope(units)) == ["a"]
+    assert ids(filters.in_scope(units, include_disabled=True)) == ["a", "b", "c"]
+    assert ids(filters.in_scope(units, ids=["c", "x"])) == ["c"]
+    dated = spark.createDataFrame([(None, None), ("2026-01-01", 2026), ("2025-12-31", 2025), ("2027-01-01", 2027)], "retire_date string, retire_year long")
+    pick = lambda **k: [r[0] for r in rows(filters.retirement_window(dated, "2026-01-01", **k), "retire_date")]
+    assert pick(upcoming_only=True) == [None, "2026-01-01", "2027-01-01"]
+    assert pick(year=2026) == ["2026-01-01"] and pick(since=2026) == ["2026-01-01", "2027-01-01"] and len(pick()) == 4
+
+
+def test_feed_to_landed_notices(spark, rows):
+    items = spark.createDataFrame(
+        [(0, 0, " A retires 1 May 2026 ", None, "s1", "2026-01-01T10:00Z", ["Retirements"]),
+         (0, 1, "A retires 1 May 2026", "again", "s2", "2026-01-01T11:00Z", ["Retirements", "x"]),
+         (1, 0, "B", "on March 3rd, 2025", None, "", ["Retirements"]),
+         (1, 1, "C", None, None, None, ["retirements"]), (1, 2, "D", None, None, None, None)],
+        "page_no long, item_no int, title string, description string, status string, created string, tags array<string>",
+    )
+    got = feed.by_retirement(feed.retirement_notices(items)).collect()
+    assert [tuple(r) for r in got] == [("", "B", None, "2025-03-03", 2025), ("2026-01-01", "A retires 1 May 2026", "s1", "2026-05-01", 2026)]
+    assert feed.retirement_notices(items, "MARCH").count() == 1
+
+
+def test_affected_share_blank_rules(spark, rows):
+    inventory = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "asset_sk string, region string")
+    hit = spark.createDataFrame([("a", "x", True), ("z", "y", True)], "asset_sk string, region string, is_affected boolean")
+    got = rows(m.affected_share(inventory, hit, ["region"]), "region", "assets", "affected_assets", "affected_share")
+    assert got == [(None, 1, 0, 0.0), ("x", 2, 1, 0.5), ("y", 0, 1, None)]
+    none = m.affected_share(inventory.filter("false"), hit).first()
+    assert (none["assets"], none["affected_assets"], none["affected_share"]) == (0, 2, None)
+    blank = spark.createDataFrame([("a",), (None,)], "asset_sk string").agg(m.assets()).first()[0]
+    assert blank == 2
