@@ -16,7 +16,7 @@ BITS = 7
 # below it that of all rows. Sketches merge by adding counts.
 LEAST_ROWS = 200
 # A rule's fence is q75 + max(3 * (q75 - q25), slack), all in thousandths.
-SLACK = {"symbols": 60, "capitals": 120, "same_lines": 450, "repeats": 200, "word_length": 4000}
+SLACK = {"symbols": 60, "capitals": 120, "same_lines": 450, "repeats": 400, "word_length": 4000}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RESULT = (*BASE, "n_lines", "n_capitals", *SLACK, "base_failed", "failed", "kept")
 
