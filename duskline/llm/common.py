@@ -75,3 +75,8 @@ def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame
         if not changed:
             return state
     raise RuntimeError("components did not settle")
+
+
+def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Python tasks get at most this many texts at a time, so that long texts fit beside each other."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

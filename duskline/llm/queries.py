@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskline.llm import chat, common, exact_dedup, mixing, quality_rules
+from duskline.llm import chat, common, exact_dedup, mixing, packing, quality_rules, simhash
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.simhash_groups(docs, shingle=3, carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(pieces, ["doc_id", "piece"]).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 @query("op3_chat_format")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
