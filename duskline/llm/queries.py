@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskline.llm import chat, common, exact_dedup, mixing, packing, quality_rules, simhash
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, mixing, packing, quality_rules, simhash
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    got = html_text.extract(pages, carry=["page_id", "url"])
+    return got.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = classifier.fit(docs, labels)
+    return classifier.classify(docs, model, carry=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
