@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskline.llm import chat, classifier, common, exact_dedup, html_text, mixing, packing, quality_rules, simhash
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, mixing, packing, quality_rules, simhash, suffix_dedup
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,13 +54,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     got = chat.chat_format(turns.unionByName(planted))
     read = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    got = got.select("conv_id", "turns", "formatted", read.alias("read"), chat.loss_text(F.col("turns")).alias("loss"))
     return got.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(read, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.sha2("read", 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
@@ -108,3 +108,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = classifier.fit(docs, labels)
     return classifier.classify(docs, model, carry=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = suffix_dedup.remove_repeats(docs, carry=["doc_id"])
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
