@@ -40,36 +40,30 @@ def _render(turn: Column) -> Column:
     return F.concat(F.lit(START), turn["role"], F.lit("\n"), turn["text"], F.lit(END + "\n"))
 
 
-def parse(formatted: Column) -> Column:
-    """The turns of a formatted text: an array of (role, text, start, length).
+def pieces(formatted: Column) -> Column:
+    """The formatted text cut at its end marks. What follows the last one belongs to no turn; it is empty in a sound text."""
+    cut = F.split(formatted, r"<\|im_end\|>\n")
+    return F.when(F.endswith(formatted, F.lit(END + "\n")), F.slice(cut, 1, F.size(cut) - 1)).otherwise(cut)
 
-    ``start`` and ``length`` (code points, from 0) are the place of the escaped
-    text in the formatted one. A piece that does not begin with the start mark
-    gives a turn with a null role, so a text that breaks the grammar never reads
-    as the turns it came from.
+
+def read_turns(cut: Column) -> Column:
+    """The turns of a formatted text from its pieces: an array of (role, text, head, body).
+
+    ``head`` and ``body`` are the code points before and of the text as it stands in
+    the formatted one. A piece that does not begin with the start mark gives a turn
+    with a null role, so a text that breaks the grammar never reads as the turns it
+    came from. ``cut`` has to be a column of its own: each piece is read once.
     """
-    pieces = F.split(formatted, r"<\|im_end\|>\n")
-    # What follows the last end mark belongs to no turn; it is empty in a sound text.
-    pieces = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))).otherwise(pieces)
-    head = len(START)
+    mark = len(START)
 
     def turn(piece: Column) -> Column:
-        cut = F.instr(piece, "\n")
-        sound = piece.startswith(START) & (cut > head)
-        role = F.when(sound, _unescape_role(F.substring(piece, F.lit(head + 1), cut - head - 1)))
-        body = F.substring(piece, cut + 1, F.length(piece))
-        return F.struct(role.alias("role"), unescape(body).alias("text"), cut.alias("cut"), F.length(body).alias("length"), F.length(piece).alias("size"))
-
-    read = F.transform(pieces, turn)
-    # Places are running sums of the piece sizes.
-    sizes = F.aggregate(
-        read, F.array(F.lit(0)),
-        lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + t["size"] + len(END) + 1)),
-    )
-    return F.transform(
-        read,
-        lambda t, i: F.struct(t["role"].alias("role"), t["text"].alias("text"), (F.get(sizes, i) + t["cut"]).alias("start"), t["length"].alias("length")),
-    )
+        head = F.instr(piece, "\n")
+        sound = piece.startswith(START) & (head > mark)
+        role = F.when(sound, _unescape_role(F.substring(piece, F.lit(mark + 1), head - mark - 1)))
+        body = F.substring(piece, head + 1, F.length(piece))
+        return F.struct(role.alias("role"), unescape(body).alias("text"), head.alias("head"), F.length(body).alias("body"))
+
+    return F.transform(cut, turn)
 
 
 def _same(read: Column, source: Column) -> Column:
@@ -79,27 +73,33 @@ def _same(read: Column, source: Column) -> Column:
     return F.coalesce(plain(read) == plain(source), F.lit(False))
 
 
+def _read(df: DataFrame, formatted: Column, name: str) -> DataFrame:
+    """``df`` with ``name``, the turns read from ``formatted``."""
+    return df.withColumn("__cut", pieces(formatted)).withColumn(name, read_turns(F.col("__cut"))).drop("__cut")
+
+
 def chat_format(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """One row per conversation: ``conv_id``, ``formatted``, ``turns``, ``loss_spans``, ``round_trip``.
+    """One row per conversation: ``conv_id``, ``formatted``, ``turns``, ``loss_mask``, ``round_trip``.
 
     Each turn is rendered as it is and read back alone; if it does not come back
     the same, its role and text are escaped. The conversation is then rendered and
     read back as a whole; one that still differs is rendered with every turn
     escaped, which the grammar always reads back. ``turns`` is what was read from
-    ``formatted`` (role, text, start, length), ``loss_spans`` the places (start,
-    length) of the texts of ``loss_role``, ``round_trip`` whether the turns read
-    equal the source.
+    ``formatted`` (role, text, head, body). ``loss_mask`` covers ``formatted`` in
+    runs of (code points, loss): the texts of ``loss_role`` are under it, marks and
+    roles are not. ``round_trip`` says whether the turns read equal the source.
 
     A conversation is one row of the result, so its turns meet in one task; a hot
-    first turn or a text that recurs moves nothing together. Turns are in order of
-    ``turn``, nulls first, equal ones by role and text; repeated rows are repeated
-    turns. A null role or text is empty. Null ids are one conversation. Other input
-    columns are ignored. No rows give no conversations.
+    first turn or a text that recurs moves nothing together. All steps are linear in
+    the text. Turns are in order of ``turn``, nulls first, equal ones by role and
+    text; repeated rows are repeated turns. A null role or text is empty. Null ids
+    are one conversation. Other input columns are ignored. No rows give no
+    conversations.
     """
     raw = turns.select(
         F.col("conv_id"), F.struct(F.col("turn"), text_of("role").alias("role"), text_of("text").alias("text")).alias("t")
     )
-    raw = raw.withColumn("read", parse(_render(F.col("t"))))
+    raw = _read(raw, _render(F.col("t")), "read")
     sound = _same(F.col("read"), F.array(F.col("t")))
     safe = F.struct(_escape_role(F.col("t.role")).alias("role"), escape(F.col("t.text")).alias("text"))
     plain = F.struct(F.col("t.role").alias("role"), F.col("t.text").alias("text"))
@@ -108,21 +108,29 @@ def chat_format(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     )
     whole = one.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("source"))
     lines = F.transform("source", lambda t: _render(t["out"]))
-    whole = whole.select("conv_id", "source", F.array_join(lines, "").alias("formatted"))
+    whole = _read(whole.withColumn("formatted", F.array_join(lines, "")), F.col("formatted"), "turns")
+    whole = whole.withColumn("agreed", _same(F.col("turns"), F.col("source")))
     all_safe = F.transform(
         "source", lambda t: _render(F.struct(_escape_role(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     )
-    agreed = F.when(_same(parse(F.col("formatted")), F.col("source")), F.col("formatted")).otherwise(F.array_join(all_safe, ""))
-    whole = whole.select("conv_id", "source", agreed.alias("formatted"))
-    whole = whole.select("conv_id", "source", "formatted", parse(F.col("formatted")).alias("turns"))
-    spans = F.transform(
-        F.filter("turns", lambda t: t["role"] == loss_role), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"))
+    whole = whole.withColumn("final", F.when(F.col("agreed"), F.col("formatted")).otherwise(F.array_join(all_safe, "")))
+    whole = _read(whole.drop("formatted", "turns"), F.col("final"), "turns")
+    runs = F.flatten(
+        F.transform(
+            "turns",
+            lambda t: F.array(
+                F.struct(t["head"].alias("chars"), F.lit(False).alias("loss")),
+                F.struct(t["body"].alias("chars"), (t["role"] == loss_role).alias("loss")),
+                F.struct(F.lit(len(END) + 1).alias("chars"), F.lit(False).alias("loss")),
+            ),
+        )
     )
     return whole.select(
-        "conv_id", "formatted", "turns", spans.alias("loss_spans"), _same(F.col("turns"), F.col("source")).alias("round_trip")
+        "conv_id", F.col("final").alias("formatted"), "turns", runs.alias("loss_mask"),
+        _same(F.col("turns"), F.col("source")).alias("round_trip"),
     )
 
 
-def loss_text(formatted: Column, spans: Column) -> Column:
+def loss_text(turns: Column, loss_role: str = "assistant") -> Column:
     """All text under the loss mask, unescaped, in order, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == loss_role), lambda t: t["text"]), "")
