@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskline.llm import chat, classifier, common, exact_dedup, html_text, mixing, packing, quality_rules, simhash, suffix_dedup
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     got = suffix_dedup.remove_repeats(docs, carry=["doc_id"])
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query(
+    "op5_line_dedup",
+    r"""
+    WITH cut AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
+        FROM documents
+    ), filled AS (
+        SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w,
+            row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS no
+        FROM cut WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    ), pairs AS (
+        SELECT p.doc_id, p.pos, p.no, p.w, q.doc_id AS of_doc, p.no - q.no AS apart
+        FROM filled p JOIN filled q ON p.line = q.line AND (q.doc_id < p.doc_id OR q.doc_id = p.doc_id AND q.no < p.no)
+    ), chained AS (
+        SELECT *, no - row_number() OVER (PARTITION BY doc_id, of_doc, apart ORDER BY no) AS chain FROM pairs
+    ), runs AS (
+        SELECT doc_id, min(pos) AS pa, max(pos) AS pb FROM chained
+        GROUP BY doc_id, of_doc, apart, chain HAVING sum(w) >= 50
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(generate_series(pa, pb)) AS pos FROM runs
+    ), judged AS (
+        SELECT c.doc_id, c.pos, c.line, g.pos IS NOT NULL AS removed FROM cut c LEFT JOIN gone g USING (doc_id, pos)
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed_lines,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '')) AS text_sha256
+    FROM judged GROUP BY doc_id
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = line_dedup.line_dedup(docs, carry=["doc_id"])
+    return got.select("doc_id", "n_lines", "n_removed_lines", F.sha2(common.text_of("text"), 256).alias("text_sha256"))
