@@ -255,22 +255,23 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, groups: in
     place by its length and its rank within that length. Ranks come from windows
     over (length, salt), where a hash of the ``key`` columns gives as many salts as
     keep a window small, so a length that holds a third of all rows is many windows.
+    Places are worked out on keys and lengths; tokens are shuffled once, to meet their place.
     Sequences are filled from offset 0 without gaps. The rows' other columns are
     carried along; a ``sequence_id`` or ``offset`` of their own is replaced. Ties
     between rows with equal keys are broken by a row number. No rows, no sequences.
     """
-    pieces = staged(without(pieces, "sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
+    pieces = compact(without(pieces, "sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     moves = plan(counts, capacity, groups)
     salts = max(1, -(-max(counts.values(), default=0) // rows_per_salt))
-    salted = staged(pieces.withColumn("__salt", F.pmod(F.xxhash64(*key, "__row"), F.lit(salts))), "pack-salted")
-    parts = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n"))
+    narrow = pieces.select(*key, "length", "__row").withColumn("__salt", F.pmod(F.xxhash64(*key, "__row"), F.lit(salts)))
+    parts = narrow.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = staged(parts.select("length", F.col("__salt").alias("__part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first")), "pack-ranks")
-    within = F.row_number().over(Window.partitionBy("length", "__salt").orderBy(*key, "__row"))
-    ranked = staged(salted.withColumn("__within", within - 1), "pack-within")
-    ranked = ranked.join(starts.withColumnRenamed("length", "__length"), (F.col("length") == F.col("__length")) & (F.col("__salt") == F.col("__part")))
-    ranked = ranked.withColumn("__rank", F.col("__first") + F.col("__within"))
+    starts = parts.select(F.col("length").alias("__length"), F.col("__salt").alias("__part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    starts = staged(starts, "pack-ranks")
+    within = F.row_number().over(Window.partitionBy("length", "__salt").orderBy(*key, "__row")) - 1
+    ranked = narrow.withColumn("__within", within).join(starts, (F.col("length") == F.col("__length")) & (F.col("__salt") == F.col("__part")))
+    ranked = ranked.select("length", F.col("__row").alias("__of"), (F.col("__first") + F.col("__within")).alias("rank"))
     stride = int(max(counts.values(), default=0)) + 1
     lookup = moves[:, 0] * stride + moves[:, 1]
 
@@ -280,13 +281,10 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, groups: in
         found = moves[at]
         return pd.DataFrame({"sequence_id": found[:, 3] + rank.to_numpy() - found[:, 1], "offset": found[:, 4]})
 
-    placed = ranked.withColumn("__place", place("length", "__rank"))
-    return without(
-        placed.withColumn("sequence_id", F.col("__place.sequence_id")).withColumn("offset", F.col("__place.offset")),
-        "__place", "__row", "__salt", "__part", "__first", "__within", "__length", "__rank",
-    )
+    placed = ranked.withColumn("place", place("length", "rank")).select("__of", "place.sequence_id", "place.offset")
+    return without(pieces.join(staged(placed, "pack-places"), F.col("__row") == F.col("__of")), "__row", "__of")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
     """Packed sequences with their tokens: one row per piece, ``ids`` included."""
-    return pack(compact(token_pieces(docs, id_col, text_col, tokenizer, capacity), "pack-tokens"), [id_col, "piece"], capacity)
+    return pack(token_pieces(docs, id_col, text_col, tokenizer, capacity), [id_col, "piece"], capacity)

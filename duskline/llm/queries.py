@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup
 from duskline.session import configure
 
@@ -150,3 +151,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     got = line_dedup.line_dedup(docs, carry=["doc_id"])
     return got.select("doc_id", "n_lines", "n_removed_lines", F.sha2(common.text_of("text"), 256).alias("text_sha256"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -158,6 +158,114 @@ def simhash_groups(
     return got
 
 
+# Near copies by similarity: see near_copies.
+TABLES = 2
+SIMILARITY = 0.8
+SHINGLE = 5
+SKETCH = 256
+COPY_RESULT = ("copy_of", "kept")
+
+
+def _salted(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Another, independent hash of what was hashed."""
+    if not table:
+        return hashes
+    x = hashes ^ np.uint64((0x9E3779B97F4A7C15 * table) & ((1 << 64) - 1))
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int]]:
+    """Key of the word sequence, fingerprints of the set of words (one per table), and the sketch of the word shingles.
+
+    The sketch holds the ``SKETCH`` smallest shingle hashes; a text with no more
+    distinct shingles is in it whole.
+    """
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    line = b" ".join(words)
+    key = xxhash.xxh3_128_hexdigest(line)
+    if not words:
+        return key, [0] * tables, []
+    hashed = xxhash.xxh64_intdigest
+    single = np.array([hashed(w, SEED) for w in set(words)], dtype=np.uint64)
+    prints = []
+    for table in range(tables):
+        ones = 2 * _votes(_salted(single, table)) > len(single)
+        prints.append(int(np.packbits(ones, bitorder="little").view(np.int64)[0]))
+    width = min(shingle, len(words))
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    cut = zip((ends - sizes)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
+    parts = np.unique(np.array([hashed(line[a:b], SEED) & 0x7FFFFFFF for a, b in cut], dtype=np.int32))
+    return key, prints, parts[:SKETCH].tolist()
+
+
+def similarity(a: Column, b: Column) -> Column:
+    """Share of common shingles, from the smallest of both: exact up to ``SKETCH`` distinct shingles, an estimate beyond."""
+    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    both = F.size(F.array_intersect(F.array_intersect(least, a), b))
+    return F.when(F.size(least) == 0, 1.0).otherwise(both / F.size(least))
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, least: float = SIMILARITY,
+    tables: int = TABLES, shingle: int = SHINGLE,
+) -> DataFrame:
+    """``docs`` with ``copy_of`` and ``kept``: groups of texts whose word shingles are alike by ``least`` or more.
+
+    Three bits of 64 allow little difference between whole shingle vectors. Here the
+    fingerprints are of the set of a text's words, which an edit changes less, in
+    ``tables`` independent tables; each goes through the same ball hashing. What
+    meets is compared by its shingles of ``shingle`` words, so texts that merely use
+    the same words stay apart. Groups are the components of the confirmed links.
+    ``copy_of`` is the smallest id of the group; ``kept`` marks one row per group.
+
+    Texts with equal words in a row (letter case aside) are one text throughout: a
+    group of copies is one row after a map-side aggregation. Texts that share a
+    fingerprint link to one of them, never among each other. Texts without words are
+    copies of one another. Null ids count only where a group has no other. Input
+    columns named like a result column are replaced; ``carry`` names those to keep.
+    """
+    wanted = [c for c in (carry if carry is not None else docs.columns) if c.lower() not in COPY_RESULT]
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("key string, prints array<long>, sketch array<int>")
+    def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            got = [signature(t, tables, shingle) for t in batch]
+            yield pd.DataFrame({"key": [g[0] for g in got], "prints": [g[1] for g in got], "sketch": [g[2] for g in got]})
+
+    signed = docs.select(*[F.col(f"`{c}`") for c in wanted], F.col(f"`{id_col}`").alias("__id"), sign(F.col(f"`{text_col}`")).alias("__s"))
+    signed = numbered(signed.select(*[F.col(f"`{c}`") for c in wanted], "__id", "__s.*"), "copies")
+    head = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
+    nodes = texts.select(F.col("head.row").alias("node"), "s.prints")
+    pairs = None
+    for table in range(tables):
+        here = nodes.select("node", F.get("prints", F.lit(table)).alias("fp"))
+        firsts = staged(here.groupBy("fp").agg(F.min("node").alias("hub")), f"copies-prints-{table}")
+        same = here.join(firsts, "fp").filter("node <> hub").select("hub", "node")
+        links = staged(near_fingerprints(firsts.select("fp")), f"copies-links-{table}")
+        a, b = (firsts.select(F.col("fp").alias(x), F.col("hub").alias(f"n{x}")) for x in ("a", "b"))
+        near = links.join(a, "a").join(b, "b").select(F.least("na", "nb").alias("hub"), F.greatest("na", "nb").alias("node"))
+        pairs = same.union(near) if pairs is None else pairs.union(same).union(near)
+    pairs = staged(pairs.distinct(), "copies-pairs")
+    sketches = texts.select(F.col("head.row").alias("of"), "s.sketch")
+    left = sketches.select(F.col("of").alias("hub"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("of").alias("node"), F.col("sketch").alias("y"))
+    alike = pairs.join(left, "hub").join(right, "node").filter(similarity(F.col("x"), F.col("y")) >= least)
+    parts = components(staged(alike.select(F.col("hub").alias("a"), F.col("node").alias("b")), "copies-alike"), "copies")
+    named = staged(
+        texts.join(parts, F.col("head.row") == parts["node"], "left").select("key", "head", F.coalesce("component", "head.row").alias("part")), "copies-parts"
+    )
+    heads = staged(named.groupBy("part").agg(F.min("head").alias("first")), "copies-heads")
+    names = staged(named.join(heads, "part").select(F.col("key").alias("__of"), "first"), "copies-names")
+    return signed.join(names, F.col("key") == F.col("__of")).select(
+        *[F.col(f"`{c}`") for c in wanted], F.col("first.id").alias("copy_of"), (F.col("__row") == F.col("first.row")).alias("kept")
+    )
+
+
 def one_per_group(docs: DataFrame, **how) -> DataFrame:
-    """The documents that stay, with their own columns."""
-    return without(simhash_groups(docs, **how).filter("kept"), *RESULT)
+    """The documents that stay of each group of near copies, with their own columns."""
+    return without(near_copies(docs, **how).filter("kept"), *COPY_RESULT)

@@ -101,9 +101,58 @@ def test_rows_with_nulls_ties_and_clashing_columns(spark):
     lone = next(r for r in got if r["text"] == "other words entirely")
     assert lone["component_id"] is None and lone["kept"]
     assert sum(r["kept"] for r in got) == 3
-    stay = simhash.one_per_group(spark.createDataFrame(rows, schema))
-    assert stay.columns == ["doc_id", "text", "fp"] and stay.count() == 3
 
 
 def test_empty_table(spark):
     assert simhash.simhash_groups(spark.createDataFrame([], DOCS)).collect() == []
+    assert simhash.near_copies(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_near_copies_are_found_and_clean_texts_stay(spark):
+    rng = random.Random(11)
+
+    def word():
+        return "".join(rng.choice("aeioubdgklmnrst") for _ in range(rng.randrange(2, 9)))
+
+    common = [word() for _ in range(40)]
+    rows, sources = [], []
+    for k in range(60):
+        base = [rng.choice(common) if rng.random() < 0.4 else word() for _ in range(rng.randrange(150, 500))]
+        sources.append(base)
+        rows.append((10 * k, " ".join(base)))
+        for c in range(1, 4):
+            copy = list(base)
+            for _ in range(max(1, len(base) // 100)):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append((10 * k + c, "\n".join(copy)))
+    rows += [(5000 + k, " ".join(rng.sample(base, len(base)))) for k, base in enumerate(sources[:20])]  # the same words, shuffled
+    rows += [(6000, None), (6001, " \t"), (None, "lone text"), (6002, rows[0][1].upper())]
+    frame = spark.createDataFrame(rows, DOCS)
+    out = {r["doc_id"]: r for r in simhash.near_copies(frame).collect()}
+    caught = [out[10 * k + c]["copy_of"] == 10 * k for k in range(60) for c in range(1, 4)]
+    assert sum(caught) >= 0.9 * len(caught)
+    text = dict(rows)
+    for i, r in out.items():
+        if i is not None and r["copy_of"] != i:
+            group = [j for j, q in out.items() if j is not None and j != i and q["copy_of"] == r["copy_of"]]
+            assert max(alike(text[i], text[j]) for j in group) >= 0.75
+    assert all(out[5000 + k]["kept"] for k in range(20))
+    assert out[6001]["copy_of"] == 6000 and out[None]["kept"] and out[6002]["copy_of"] == 0
+    assert simhash.one_per_group(frame).columns == ["doc_id", "text"]
+
+
+def test_equal_fingerprints_and_sketch(spark):
+    key, prints, sketch = simhash.signature("A b c d e f g")
+    assert (key, prints, sketch) == simhash.signature("a  B c\td e f g") and len(sketch) == 3
+    long = " ".join(str(i) for i in range(5000))
+    assert len(simhash.signature(long)[2]) == simhash.SKETCH
