@@ -42,7 +42,7 @@ def _render(turn: Column) -> Column:
 
 def pieces(formatted: Column) -> Column:
     """The formatted text cut at its end marks. What follows the last one belongs to no turn; it is empty in a sound text."""
-    cut = F.split(formatted, r"<\|im_end\|>\n")
+    cut = F.split(formatted, r"<\|im_end\|>\n?")
     return F.when(F.endswith(formatted, F.lit(END + "\n")), F.slice(cut, 1, F.size(cut) - 1)).otherwise(cut)
 
 
@@ -58,7 +58,8 @@ def read_turns(cut: Column) -> Column:
 
     def turn(piece: Column) -> Column:
         head = F.instr(piece, "\n")
-        sound = piece.startswith(START) & (head > mark)
+        rest = F.substring(piece, F.lit(mark + 1), F.length(piece))
+        sound = piece.startswith(START) & (head > mark) & ~F.contains(rest, F.lit(START))
         role = F.when(sound, _unescape_role(F.substring(piece, F.lit(mark + 1), head - mark - 1)))
         body = F.substring(piece, head + 1, F.length(piece))
         return F.struct(role.alias("role"), unescape(body).alias("text"), head.alias("head"), F.length(body).alias("body"))
