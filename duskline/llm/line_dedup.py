@@ -94,7 +94,7 @@ def repeated_runs(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
             met = met.join(tail, ["row", "b"])
         else:
             met = met.withColumn("rb", F.col("ra"))
-        named.append(met.select("id", "row", "a", "pa", "pb", "size", "ra", "rb"))
+        named.append(met.select("id", "row", "a", "b", "pa", "pb", "size", "ra", "rb"))
         k += 1
         if (1 << k) > longest:
             break
@@ -115,10 +115,10 @@ def repeated_runs(texts: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     found = staged(found, "lines-named")
     key = ["size", "ra", "rb"]
     origin = staged(found.groupBy(*key).agg(F.min(F.struct("id", "row", "a")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "lines-intervals")
-    later = found.join(origin, key).filter(F.struct("id", "row", "a") != F.col("first")).select("row", "pa", "pb")
-    before = Window.partitionBy("row").orderBy("pa", "pb")
-    reach = F.max("pb").over(before.rowsBetween(Window.unboundedPreceding, -1))
-    opened = later.withColumn("fresh", F.when(F.col("pa") <= reach + 1, 0).otherwise(1))
+    later = found.join(origin, key).filter(F.struct("id", "row", "a") != F.col("first")).select("row", "a", "b", "pa", "pb")
+    before = Window.partitionBy("row").orderBy("a", "b")
+    reach = F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opened = later.withColumn("fresh", F.when(F.col("a") <= reach + 1, 0).otherwise(1))
     runs = opened.withColumn("run", F.sum("fresh").over(before.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy("row", "run").agg(F.min("pa").alias("pa"), F.max("pb").alias("pb"))
     return runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pa", "pb"))).alias("runs"))
@@ -144,7 +144,7 @@ def line_dedup(
     A line goes if it lies in a run of consecutive lines with at least
     ``least_words`` words that also stands earlier: in a document with a smaller id,
     or further up in the same one. Lines are compared whole; lines without a word
-    are passed over, and go with the run around them. ``n_lines`` (before),
+    are passed over, and go where the lines around them both go. ``n_lines`` (before),
     ``n_removed_lines`` and ``removed_runs`` (first and last line, from 0) are added.
 
     Only hashes and numbers of lines are shuffled, texts once for the last join. A

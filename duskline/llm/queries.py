@@ -135,10 +135,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), chained AS (
         SELECT *, no - row_number() OVER (PARTITION BY doc_id, of_doc, apart ORDER BY no) AS chain FROM pairs
     ), runs AS (
-        SELECT doc_id, min(pos) AS pa, max(pos) AS pb FROM chained
-        GROUP BY doc_id, of_doc, apart, chain HAVING sum(w) >= 50
+        SELECT doc_id, of_doc, apart, chain FROM chained GROUP BY doc_id, of_doc, apart, chain HAVING sum(w) >= 50
+    ), removed AS (
+        SELECT DISTINCT doc_id, pos, no FROM chained JOIN runs USING (doc_id, of_doc, apart, chain)
+    ), spans AS (
+        SELECT doc_id, pos, CASE WHEN lead(no) OVER line = no + 1 THEN lead(pos) OVER line ELSE pos END AS upto
+        FROM removed WINDOW line AS (PARTITION BY doc_id ORDER BY no)
     ), gone AS (
-        SELECT DISTINCT doc_id, unnest(generate_series(pa, pb)) AS pos FROM runs
+        SELECT DISTINCT doc_id, unnest(generate_series(pos, upto)) AS pos FROM spans
     ), judged AS (
         SELECT c.doc_id, c.pos, c.line, g.pos IS NOT NULL AS removed FROM cut c LEFT JOIN gone g USING (doc_id, pos)
     )

@@ -33,7 +33,10 @@ def brute(rows, least):
                     while i + n < len(a) and j + n < len(b) and a[i + n][1] == b[j + n][1]:
                         n += 1
                     if sum(x[2] for x in a[i : i + n]) >= least:
-                        gone[k].update(range(a[i][0], a[i + n - 1][0] + 1))
+                        gone[k].update(x[0] for x in a[i : i + n])
+        for this, after in zip(lines[k], lines[k][1:]):
+            if this[0] in gone[k] and after[0] in gone[k]:
+                gone[k].update(range(this[0], after[0]))
     return gone
 
 
