@@ -22,15 +22,15 @@ def one_row_per_key(df: DataFrame, keys: list[str], strict: bool = False) -> Dat
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Target after the upsert of ``source``; both sides hold one row per key.
 
-    A matched row takes every source column except the keys and ``keep``; a
+    A null key part equals a null. A matched row takes every source column except the keys and ``keep``; a
     source null overwrites. Columns only one side has are null on the other,
     and columns only the target has are left as they are on a match.
     """
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     types = {**dict(source.dtypes), **dict(target.dtypes)}
-    old = target.select(*keys, F.struct(*target.columns).alias("__old"))
-    new = source.select(*keys, F.struct(*source.columns).alias("__new"))
-    both = old.join(new, keys, "full_outer")
+    old = target.select(*[F.col(k).alias(f"__old_{k}") for k in keys], F.struct(*target.columns).alias("__old"))
+    new = source.select(*[F.col(k).alias(f"__new_{k}") for k in keys], F.struct(*source.columns).alias("__new"))
+    both = old.join(new, [F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in keys], "full_outer")
 
     def value(name: str):
         from_old = F.col("__old")[name] if name in target.columns else F.lit(None)

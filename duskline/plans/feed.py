@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from duskline.functions.text import is_tagged, retire_date, text_matches
 from duskline.operators.dedupe import first_in_feed
 
-POSITION = ["page_no", "item_no"]
+POSITION = ["source_path", "page_no", "item_no"]
 
 
 def normalize_notice(items: DataFrame, *carry: str) -> DataFrame:

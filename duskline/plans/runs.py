@@ -69,7 +69,7 @@ def conform_notices(store: TableStore, as_of: dt.date, run_ts, origin: Origin =
 
 def _publish_day(store: TableStore, facts, name: str, keys: list[str], as_of: dt.date) -> None:
     """Upsert the slice of one day. The fact builders give one row per key."""
-    store.upsert_slices(facts, name, keys, "date_sk", slices=[int(as_of.strftime("%Y%m%d"))], unique=True)
+    store.upsert_slices(facts, name, keys, "date_sk", unique=True)
 
 
 def publish_inventory(store: TableStore, as_of: dt.date, run_ts) -> None:

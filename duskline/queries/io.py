@@ -111,9 +111,9 @@ def json_scan_schema(spark, sf):
     return back.select("id", "subscription_id", "impacted_type", "problem", "solution", "category")
 
 
-@query("table_scan", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_quantity > 45")
+@query("table_scan", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
 def table_scan(spark, sf):
-    return table(spark, sf, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
 @query(
@@ -181,18 +181,24 @@ def empty_typed_table(spark, sf):
 @query(
     "page_envelope_explode",
     """
-    SELECT doc_id AS page_no, unnest(range(len(lines)))::INTEGER AS item_no, unnest(lines) AS title, source AS status, FALSE AS tagged
+    SELECT CASE WHEN doc_id % 3 > 0 THEN doc_id END AS page_no, unnest(range(len(lines)))::INTEGER AS item_no, unnest(lines) AS title,
+           source AS status, FALSE AS tagged
     FROM (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents)
+    UNION ALL SELECT item_id, 0, text, 'later', FALSE FROM benchmark
     """,
 )
 def page_envelope_explode(spark, sf):
-    """Each document is landed as one response page with its lines as items; the items come back whole and in order."""
+    """Documents are landed as response pages with their lines as items, a third without a page number, after an empty
+    page and beside the pages of a later run; all items come back, in order."""
     root = scratch(spark, "pages")
     as_item = lambda line: F.struct(line.alias("title"), F.col("source").alias("status"))
-    pages = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("page_no"), F.transform(F.split("text", r"\n"), as_item).alias("value")
-    )
-    pages.write.json(root)
+    number = F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")).alias("page_no")
+    lines = F.transform(F.split("text", r"\n"), as_item)
+    docs = table(spark, sf, "documents")
+    docs.select(number, lines.alias("value")).write.json(f"{root}/run_id=1")
+    docs.select(F.col("doc_id").alias("page_no"), F.slice(lines, 1, 0).alias("value")).write.json(f"{root}/run_id=2")
+    later = table(spark, sf, "benchmark").withColumn("source", F.lit("later"))
+    later.select(F.col("item_id").alias("page_no"), F.array(as_item(F.col("text"))).alias("value")).write.json(f"{root}/run_id=3")
     items = landing.explode_pages(landing.read_feed_pages(spark, root, schemas.FEED_ITEM, multiline=False))
     return items.select("page_no", "item_no", "title", "status", is_tagged("tags").alias("tagged"))
 
@@ -253,19 +259,23 @@ def upsert_by_key(spark, sf):
 @query(
     "upsert_fact_snapshot",
     """
-    SELECT year(o_orderdate)::INTEGER AS date_sk, o_custkey AS asset_sk, count(*) AS orders_placed,
-           CASE WHEN year(o_orderdate) = 1998 THEN 'second' ELSE 'first' END AS loaded_by
+    SELECT CASE year(o_orderdate) WHEN 1996 THEN NULL WHEN 1997 THEN 'a:b' WHEN 1998 THEN 'a%b' ELSE 'y' || year(o_orderdate) END AS slice,
+           o_custkey AS asset_sk, count(*) AS orders_placed,
+           CASE WHEN year(o_orderdate) IN (1996, 1997, 1998) THEN 'second' ELSE 'first' END AS loaded_by
     FROM orders GROUP BY ALL
     """,
 )
 def upsert_fact_snapshot(spark, sf):
-    """A second load of one slice replaces that slice only."""
+    """A second load of some slices replaces those only, among them a null one and names that need escaping."""
     store = TableStore(spark, scratch(spark, "fact"))
-    fact = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("date_sk"), F.col("o_custkey").alias("asset_sk")).agg(row_count("orders_placed"))
-    keys = ["date_sk", "asset_sk"]
-    store.upsert_slices(fact.withColumn("loaded_by", F.lit("first")), "fact", keys, "date_sk")
-    store.upsert_slices(fact.filter("date_sk = 1998").withColumn("loaded_by", F.lit("second")), "fact", keys, "date_sk")
-    return store.read("fact").select("date_sk", "asset_sk", "orders_placed", "loaded_by")
+    year = F.year("o_orderdate")
+    named = e.case((year == 1996, F.lit(None)), (year == 1997, "a:b"), (year == 1998, "a%b"), default=F.concat(F.lit("y"), e.text(year)))
+    fact = table(spark, sf, "orders").groupBy(named.alias("slice"), F.col("o_custkey").alias("asset_sk")).agg(row_count("orders_placed"))
+    keys = ["slice", "asset_sk"]
+    store.upsert_slices(fact.withColumn("loaded_by", F.lit("first")), "fact", keys, "slice")
+    again = fact.filter("slice IS NULL OR slice IN ('a:b', 'a%b')")
+    store.upsert_slices(again.withColumn("loaded_by", F.lit("second")), "fact", keys, "slice")
+    return store.read("fact").select("slice", "asset_sk", "orders_placed", "loaded_by")
 
 
 @query("json_partition_sink", "SELECT o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y') AS ingest_date FROM orders")
@@ -281,16 +291,20 @@ def json_partition_sink(spark, sf):
 @query(
     "checkpoint_skip",
     """
-    SELECT o_orderstatus AS unit, count(*) AS row_count, CASE o_orderstatus WHEN 'F' THEN 'first' WHEN 'O' THEN 'refreshed' ELSE 'second' END AS landed_by
+    SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 'a:b%c' ELSE o_orderstatus END AS unit, count(*) AS row_count,
+           CASE unit WHEN 'O' THEN 'refreshed' WHEN 'P' THEN 'second' ELSE 'first' END AS landed_by
     FROM orders GROUP BY 1
     """,
 )
 def checkpoint_skip(spark, sf):
-    """F lands first and is skipped later; O lands first and is refreshed; P is new the second time."""
+    """F, the null unit and one whose name needs escaping land first and are skipped later; O lands first and is refreshed;
+    P is new the second time."""
     root = scratch(spark, "checkpoint")
-    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("unit"))
+    key = F.col("o_orderkey")
+    unit = e.case((key % 5 == 0, F.lit(None)), (key % 5 == 1, "a:b%c"), default=F.col("o_orderstatus"))
+    rows = table(spark, sf, "orders").select("o_orderkey", unit.alias("unit"))
     by = lambda name, df: df.withColumn("landed_by", F.lit(name))
-    landing_sink.land_missing(by("first", rows.filter("unit <> 'P'")), root, ["unit"])
+    landing_sink.land_missing(by("first", rows.filter("unit IS NULL OR unit <> 'P'")), root, ["unit"])
     landing_sink.land_missing(by("second", rows), root, ["unit"])
     landing_sink.land_missing(by("refreshed", rows.filter("unit = 'O'")), root, ["unit"], force_refresh=True)
     back = spark.read.schema("o_orderkey long, landed_by string, unit string").json(root)
@@ -330,7 +344,7 @@ def load_status_summary(spark, sf):
 def feed_notices(spark, sf):
     """Tag filter, text filter, normalisation and first-in-feed dedupe together."""
     items = table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("page_no"), F.col("o_orderkey").alias("item_no"),
+        F.lit("feed").alias("source_path"), F.col("o_custkey").alias("page_no"), F.col("o_orderkey").alias("item_no"),
         F.concat(F.lit(" "), "o_orderpriority").alias("title"), F.lit(None).cast("string").alias("description"),
         F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd'T00:00:00Z'").alias("created"),
         F.when(F.col("o_orderstatus") != "P", F.array(F.lit("Retirements"))).alias("tags"),

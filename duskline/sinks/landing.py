@@ -23,7 +23,9 @@ def landed_units(spark: SparkSession, root: str, by: list[str]) -> DataFrame:
     pattern = jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/")] + [f"{c}=*" for c in by]))
     found = [str(s.getPath().toString()) for s in fs.globStatus(pattern) if s.isDirectory()]
     paths = spark.createDataFrame([(p,) for p in found], "path string")
-    return paths.select(*[F.url_decode(F.regexp_extract("path", f"{c}=([^/]*)", 1)).alias(c) for c in by])
+    named = {c: F.regexp_extract("path", f"{c}=([^/]*)", 1) for c in by}
+    # Spark's folder name for a null.
+    return paths.select(*[F.when(v != "__HIVE_DEFAULT_PARTITION__", F.try_url_decode(v)).alias(c) for c, v in named.items()])
 
 
 def land_missing(df: DataFrame, root: str, by: list[str], force_refresh: bool = False) -> None:
@@ -37,9 +39,9 @@ def land_missing(df: DataFrame, root: str, by: list[str], force_refresh: bool =
             .json(root)
         )
         return
-    text = df.select("*", *[F.col(c).cast("string").alias(f"__{c}") for c in by])
-    done = landed_units(df.sparkSession, root, by).select(*[F.col(c).alias(f"__{c}") for c in by])
-    land_json(text.join(done, [f"__{c}" for c in by], "left_anti").drop(*[f"__{c}" for c in by]), root, by)
+    done = landed_units(df.sparkSession, root, by).withColumnsRenamed({c: f"__{c}" for c in by})
+    same = [F.col(c).cast("string").eqNullSafe(F.col(f"__{c}")) for c in by]
+    land_json(df.join(done, same, "left_anti"), root, by)
 
 
 def load_summary(log: DataFrame) -> DataFrame:

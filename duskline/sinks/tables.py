@@ -2,7 +2,10 @@
 
 Used where no table format with MERGE is installed. ``root/name/v=N`` is one
 version; the newest one that carries Spark's ``_SUCCESS`` marker is current, so
-a write that dies half-way is never read. One writer per table at a time.
+an ``overwrite`` or ``upsert`` that dies half-way is never read. ``append`` and
+``upsert_slices`` write into the current version, where Spark's output committer
+moves files in place at the end of the job: run such a load again if it died
+(``upsert_slices`` gives the same rows then). One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -104,41 +107,37 @@ class TableStore:
             return
         self.overwrite(merge_rows(self.read(name), source, keys, keep), name)
 
-    def _slice_exists(self, name: str, slice_by: str, value) -> bool:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self._path(name, self._versions(name)[-1])}/{slice_by}={value}")
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
-
     def upsert_slices(
         self,
         df: DataFrame,
         name: str,
         keys: list[str],
         slice_by: str,
-        slices: list | None = None,
         unique: bool = False,
         strict: bool = False,
     ) -> None:
         """Upsert that rewrites only the ``slice_by`` partitions present in ``df``.
 
         For facts that grow by one slice a day: the history is neither read nor
-        written again. Name the ``slices`` where they are known, so that ``df``
-        is not run just to find them, and say ``unique`` where it already has
-        one row per key. A slice that does not exist yet is simply added.
+        written again. The slices of ``df`` stay a frame; a null slice is one like
+        any other. Say ``unique`` where ``df`` already has one row per key. Slices
+        that do not exist yet are simply added.
         """
         source = df if unique else one_row_per_key(df, keys, strict=strict)
         if not self.exists(name):
             self.overwrite(source, name, partition_by=[slice_by])
             return
-        if slices is None:
-            source = staged(source, f"upsert-{name}")
-            # One value per partition folder that will be written.
-            slices = [r[0] for r in source.select(slice_by).distinct().collect()]
+        source = staged(source, f"upsert-{name}")
         path = self._path(name, self._versions(name)[-1])
-        if not any(self._slice_exists(name, slice_by, value) for value in slices):
+        kind = source.schema[slice_by].dataType
+        stored = self.read(name).withColumn(slice_by, F.col(slice_by).cast(kind))
+        touched = source.select(slice_by).distinct()
+        before = stored.join(touched, slice_by, "left_semi").select(*stored.columns)
+        if source.filter(F.col(slice_by).isNull()).limit(1).count():
+            before = before.union(stored.filter(F.col(slice_by).isNull()))
+        if not before.limit(1).count():
             source.write.mode("append").partitionBy(slice_by).parquet(path)
             return
-        before = self.read(name).filter(F.col(slice_by).isin(slices))
         # Spark cannot overwrite a folder it is reading, so the new slices are
         # staged first.
         merged = staged(merge_rows(before, source, keys), f"slices-{name}")

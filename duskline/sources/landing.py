@@ -79,22 +79,15 @@ def read_feed_pages(
     return with_source_path(pages).select("page_no", "source_path", F.col(field).alias("items"))
 
 
-def explode_pages(
-    pages: DataFrame, page_no: Column | None = None, page_size: int | None = None, max_items: int | None = None
-) -> DataFrame:
-    """One row per item with its feed position (page_no, item_no), starting at page 0.
+def explode_pages(pages: DataFrame, page_no: Column | None = None) -> DataFrame:
+    """One row per item with its feed position (source_path, page_no, item_no).
 
-    A collector stops at the first page without items and once it has asked for
-    ``max_items``, so later pages are left out.
+    Every landed page counts: a page is there because it was fetched. Pages without
+    items give no rows; a page without a number keeps its items, placed by its file.
     """
     numbered = pages if page_no is None else pages.withColumn("page_no", page_no.cast("long"))
-    if max_items is not None:
-        numbered = numbered.filter(F.col("page_no") * page_size < max_items)
-    empty = numbered.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0)
-    first_empty = empty.agg(F.min("page_no")).scalar()
-    kept = numbered.filter(F.col("page_no") < F.coalesce(first_empty, F.lit(2**62)))
-    return kept.select("page_no", F.posexplode("items").alias("item_no", "item")).select(
-        "page_no", "item_no", "item.*"
+    return numbered.select("source_path", "page_no", F.posexplode("items").alias("item_no", "item")).select(
+        "source_path", "page_no", "item_no", "item.*"
     )
 
 

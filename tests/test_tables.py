@@ -68,8 +68,8 @@ def test_upsert_slices_leaves_history_alone(spark, store, rows, tmp_path):
     store.upsert_slices(day(20260102, "a", "2"), "f", ["date_sk", "k"], "date_sk")
     store.upsert_slices(day(20260102, "ac", "3"), "f", ["date_sk", "k"], "date_sk")
     named = day(20260103, "ab", "4")
-    store.upsert_slices(named, "f", ["date_sk", "k"], "date_sk", slices=[20260103], unique=True)
-    store.upsert_slices(named.filter("k = 'a'").withColumn("v", F.lit("5")), "f", ["date_sk", "k"], "date_sk", slices=[20260103], unique=True)
+    store.upsert_slices(named, "f", ["date_sk", "k"], "date_sk", unique=True)
+    store.upsert_slices(named.filter("k = 'a'").withColumn("v", F.lit("5")), "f", ["date_sk", "k"], "date_sk", unique=True)
     assert rows(store.read("f").filter("date_sk = 20260103"), "k", "v") == [("a", "5"), ("b", "4")]
     assert before and before == {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "f").rglob("date_sk=20260101/*.parquet")}
     assert rows(store.read("f").filter("date_sk < 20260103"), "date_sk", "k", "v") == [
@@ -108,7 +108,7 @@ def test_snapshot_arrays(spark, tmp_path, rows):
     assert run.count() == 2
 
 
-def test_feed_pages_stop_at_the_first_empty_page(spark, tmp_path, rows):
+def test_every_landed_page_counts(spark, tmp_path, rows):
     item = lambda t: {"title": t, "tags": ["Retirements"]}
     write(tmp_path / "ok" / "page-0.json", '{"value": [{"title": "a\u0001b"}, {"title": "c"}]}')
     write(tmp_path / "ok" / "page-1.json", {"value": [item("d")]})
@@ -116,13 +116,18 @@ def test_feed_pages_stop_at_the_first_empty_page(spark, tmp_path, rows):
     write(tmp_path / "ok" / "page-3.json", {"value": [item("late")]})
     pages = landing.read_feed_pages(spark, str(tmp_path / "ok"), schemas.FEED_ITEM)
     number = F.regexp_extract("source_path", r"page-(\d+)", 1)
-    assert rows(landing.explode_pages(pages, number), "page_no", "item_no", "title") == [(0, 0, "a\u0001b"), (0, 1, "c"), (1, 0, "d")]
+    assert rows(landing.explode_pages(pages, number), "page_no", "item_no", "title") == [
+        (0, 0, "a\u0001b"), (0, 1, "c"), (1, 0, "d"), (3, 0, "late")
+    ]
+    # Without page numbers the items stay, placed by file.
+    assert rows(landing.explode_pages(pages), "page_no", "title") == rows(
+        landing.explode_pages(pages).withColumn("page_no", F.lit(None).cast("long")), "page_no", "title"
+    )
+    assert landing.explode_pages(pages).count() == 4
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "page-0.json").write_bytes(b'{"value": [{"title": "x\xff\xc3y"}]}')
     bad = landing.read_feed_pages(spark, str(tmp_path / "bad"), schemas.FEED_ITEM)
     assert landing.explode_pages(bad, number).first()["title"].startswith("x\ufffd")
-    capped = landing.explode_pages(pages, number, page_size=100, max_items=100)
-    assert capped.count() == 2
 
 
 def test_land_missing(spark, tmp_path, rows):
@@ -193,7 +198,7 @@ def test_feed_to_landed_notices(spark, rows):
          (1, 0, "B", "on March 3rd, 2025", None, "", ["Retirements"]),
          (1, 1, "C", None, None, None, ["retirements"]), (1, 2, "D", None, None, None, None)],
         "page_no long, item_no int, title string, description string, status string, created string, tags array<string>",
-    )
+    ).withColumn("source_path", F.lit("p"))
     got = feed.by_retirement(feed.retirement_notices(items)).collect()
     assert [tuple(r) for r in got] == [("", "B", None, "2025-03-03", 2025), ("2026-01-01", "A retires 1 May 2026", "s1", "2026-05-01", 2026)]
     assert feed.retirement_notices(items, "MARCH").count() == 1
