@@ -84,16 +84,32 @@ def triple_counts(technology: DataFrame) -> DataFrame:
     return technology.groupBy(*TRIPLE).agg(F.count(F.lit(1)).alias("technology_rows"))
 
 
-def match_triples(notices: DataFrame, triples: DataFrame) -> DataFrame:
+# Matches of one pattern that one task may put out; a pattern with more is split.
+ROWS_PER_PART = 100_000
+
+
+def match_triples(notices: DataFrame, triples: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Every (notice, triple) the notice covers: the triple columns and the notice columns.
 
     ``triples`` has distinct rows and may carry more columns than the triple.
-    Notices that ask for the same thing are matched once and spread out after.
+    Notices that ask for the same thing are matched once and spread out after. A
+    notice that leaves everything open asks for a whole family, so a pattern can
+    stand for very many matches: it is cut into parts by a hash of the triple, as
+    many as its notices times its triples need, and its notices are repeated per part.
     """
     asked = notice_patterns(notices)
-    pairs = asked.select(*PATTERN).distinct().join(technology_offers(triples), PATTERN)
+    offers = technology_offers(triples)
+    counted = asked.groupBy(*PATTERN).agg(F.count(F.lit(1)).alias("__asked")).join(
+        offers.groupBy(*PATTERN).agg(F.count(F.lit(1)).alias("__offered")), PATTERN
+    )
+    parts = F.least(F.col("__offered"), F.ceil(F.col("__asked") * F.col("__offered") / rows_per_part))
+    counted = counted.select(*PATTERN, F.greatest(parts, F.lit(1)).cast("long").alias("__parts"))
+    part = F.pmod(F.xxhash64(*TRIPLE), F.col("__parts"))
+    pairs = offers.join(counted, PATTERN).withColumn("__part", part).drop("__parts")
     keep = [c for c in notices.columns if c not in TRIPLE]
-    return pairs.join(asked.select(*PATTERN, *keep), PATTERN).select(*triples.columns, *keep)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))
+    spread = asked.select(*PATTERN, *keep).join(counted, PATTERN).withColumn("__part", every).drop("__parts")
+    return pairs.join(spread, [*PATTERN, "__part"]).select(*triples.columns, *keep)
 
 
 def wildcard_match(

@@ -47,10 +47,11 @@ def oldest_asset(assets: DataFrame) -> DataFrame:
 
 
 def dim_asset(assets: DataFrame, run_ts) -> DataFrame:
-    columns = (
-        "asset_sk asset_nk cloud_provider account_id resource_group asset_name asset_type region environment"
-        " criticality owner_team provisioning_state sku_name sku_tier native_resource_id first_seen_at last_seen_at"
-    ).split()
+    columns = [
+        "asset_sk", "asset_nk", "cloud_provider", "account_id", "resource_group", "asset_name", "asset_type", "region",
+        "environment", "criticality", "owner_team", "provisioning_state", "sku_name", "sku_tier", "native_resource_id",
+        "first_seen_at", "last_seen_at",
+    ]
     return oldest_asset(assets).select(*columns, ts_lit(run_ts).alias("loaded_at"))
 
 
@@ -85,7 +86,12 @@ def fact_inventory(assets: DataFrame, technology: DataFrame, as_of: dt.date, run
         day_sk.alias("date_sk"),
         "asset_sk",
         F.col("account_id").alias("account_nk"),
-        *[F.col(c) for c in "cloud_provider asset_type region environment criticality owner_team".split()],
+        "cloud_provider",
+        "asset_type",
+        "region",
+        "environment",
+        "criticality",
+        "owner_team",
         "provisioning_state",
         "is_active",
         "technology_count",
@@ -132,8 +138,7 @@ def asset_exposure(technology: DataFrame, assets: DataFrame, dim_tech: DataFrame
     """(technology_sk, asset_sk) once each.
 
     An asset stands for one resource, so rows are made distinct within their
-    resource: the join on resource_id has already brought them together and no
-    further shuffle is needed.
+    resource. The lookup shuffles on the folded triple in between.
     """
     rows = lookup_technology(match_to_asset(technology.select("resource_id", *TRIPLE), assets), dim_tech)
     return rows.select("resource_id", "asset_sk", "technology_sk").distinct().drop("resource_id")
@@ -161,7 +166,10 @@ def fact_impact(
     many = asset_exposure(technology, assets, dim_tech)
     few = notice_exposure(impacted, triples, events, as_of)
     counts = triples.groupBy("technology_sk").agg(F.sum("technology_rows").alias("technology_rows"))
-    hot = hot_keys(counts, ["technology_sk"], "technology_rows", share, min_rows)
+    # What a technology costs is its assets times its notices.
+    covered = few.groupBy("technology_sk").agg(F.count(F.lit(1)).alias("notices"))
+    counts = counts.join(covered, "technology_sk").select("technology_sk", (F.col("technology_rows") * F.col("notices")).alias("impacts"))
+    hot = hot_keys(counts, ["technology_sk"], "impacts", share, min_rows)
     rows = salted_join(many, few, ["technology_sk"], hot, ["asset_sk"])
     return rows.select(
         day_sk.alias("date_sk"),

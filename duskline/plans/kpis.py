@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from duskline.operators.rollups import group_count, row_count
 
 
-def largest(df: DataFrame, measure: str, *keys: str, n: int | None = 20) -> DataFrame:
-    """Groups by measure, largest first, ties by key; the reports show ``n``."""
+def largest(df: DataFrame, measure: str, *keys: str, n: int | None = None) -> DataFrame:
+    """Groups by measure, largest first, ties by key; ``n`` for a report that shows only the first."""
     ordered = df.orderBy(F.desc(measure), *[F.col(k).asc_nulls_first() for k in keys])
     return ordered if n is None else ordered.limit(n)
 
@@ -19,8 +19,10 @@ def assets_by_type(assets: DataFrame) -> DataFrame:
 
 
 def environment_distribution(assets: DataFrame) -> DataFrame:
-    return assets.groupBy("environment").agg(
-        row_count("total_assets"),
+    """Assets, teams and regions per environment; counted once per combination before anything is made distinct."""
+    combined = assets.groupBy("environment", "owner_team", "region").agg(row_count("assets"))
+    return combined.groupBy("environment").agg(
+        F.sum("assets").alias("total_assets"),
         F.count_distinct("owner_team").alias("teams"),
         F.count_distinct("region").alias("regions"),
     )
@@ -63,8 +65,7 @@ def owner_rollup(assets: DataFrame) -> DataFrame:
 def due_windows(impact: DataFrame, windows: tuple[int, ...] = (30, 60, 90)) -> DataFrame:
     """Assets affected on the day (retirement reached) and due within each window of days."""
     days = F.col("days_to_retirement")
-    hit = lambda test: F.count_distinct(F.when(test, F.col("asset_sk")))
-    return impact.agg(
-        hit(days <= 0).alias("affected_now"),
-        *[hit((days > 0) & (days <= w)).alias(f"due_{w}d") for w in windows],
-    )
+    tests = {"affected_now": days <= 0} | {f"due_{w}d": (days > 0) & (days <= w) for w in windows}
+    # One row per asset with a flag per window, so the rows are not multiplied by the windows.
+    per_asset = impact.filter(F.col("asset_sk").isNotNull()).groupBy("asset_sk").agg(*[F.bool_or(t).alias(n) for n, t in tests.items()])
+    return per_asset.agg(*[F.count_if(F.col(n)).alias(n) for n in tests])

@@ -44,13 +44,36 @@ def test_hot_triple_is_spread(spark, rows):
     )
     n = spark.createDataFrame([("n1", "data", "sql", None), ("n2", "DATA", None, "1"), ("n3", "data", "r3", "1")], NOTICE)
     counts = matching.with_tokens(matching.triple_counts(t))
-    hot = hot_keys(counts, matching.TOKENS, "technology_rows", share=0.1, min_rows=1).collect()
+    hot = hot_keys(counts, matching.TOKENS, "technology_rows", share=0.1, min_rows=300).collect()
     assert [(r["__token_name"], r["__salts"]) for r in hot] == [("=sql", 6)]
-    got = rows(matching.wildcard_match(n, t, share=0.1, min_rows=1), "deprecation_sk", "resource_id")
+    got = rows(matching.wildcard_match(n, t, share=0.1, min_rows=300), "deprecation_sk", "resource_id")
     assert got == rows(matching.wildcard_match_condition(n, t), "deprecation_sk", "resource_id")
     assert len(got) == 1800 + 3000 + 30
 
 
+def test_open_notices_do_not_bring_a_family_into_one_task(spark, rows):
+    """Every notice leaves runtime and version open, so there is one pattern with notices x triples matches."""
+    n = spark.range(60).select(
+        F.concat(F.lit("n"), "id").alias("deprecation_sk"), F.lit("data").alias("technology_family"),
+        F.lit(None).cast("string").alias("affected_runtime"), F.lit("").alias("affected_version"),
+    )
+    t = spark.range(200).select(
+        F.lit("Data").alias("technology_family"), F.concat(F.lit("r"), "id").alias("runtime_name"), F.lit(None).cast("string").alias("runtime_version")
+    )
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = matching.match_triples(n, t, rows_per_part=300)
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 60 * 200 and max(per_task) < 0.3 * sum(per_task)
+    assert matching.match_triples(n, t).distinct().count() == 60 * 200
+
+
 def test_salted_join_without_hot_keys(spark, rows):
     many = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, k string")
     few = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "k string, v string")
