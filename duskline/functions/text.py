@@ -119,10 +119,12 @@ def is_tagged(tags: Column | str, tag: str = RETIREMENT_TAG) -> Column:
     return F.coalesce(F.array_contains(_col(tags), tag), F.lit(False))
 
 
+# The two ways a date is written in a notice.
 _NAMES = "|".join(MONTHS)
 _DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
 _DAY_FIRST = rf"{_DAY}\s+({_NAMES})\s+(\d{{4}})"
 _MONTH_FIRST = rf"({_NAMES})\s+{_DAY},?\s+(\d{{4}})"
+# End of the fixed values.
 
 
 def _whole(pattern: str) -> str:

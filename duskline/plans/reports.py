@@ -24,17 +24,17 @@ def card(fact: DataFrame, **columns) -> DataFrame:
 def assets_by(fact: DataFrame, *dims: str, active_only: bool = False) -> DataFrame:
     """Distinct assets by columns of the fact, largest first."""
     rows = fact.filter("is_active") if active_only else fact
-    return largest(rows.groupBy(*dims).agg(m.assets().alias("assets")), "assets", *dims, n=None)
+    return largest(rows.groupBy(*dims).agg(m.assets().alias("assets")), "assets", *dims)
 
 
 def rows_by(fact: DataFrame, *dims: str, active_only: bool = False) -> DataFrame:
     """Fact rows by columns of the fact, largest first."""
     rows = fact.filter("is_active") if active_only else fact
-    return largest(group_count(rows, *dims, name="asset_rows"), "asset_rows", *dims, n=None)
+    return largest(group_count(rows, *dims, name="asset_rows"), "asset_rows", *dims)
 
 
 def technologies_by(fact: DataFrame, *dims: str) -> DataFrame:
-    return largest(fact.groupBy(*dims).agg(m.technology_total().alias("technologies")), "technologies", *dims, n=None)
+    return largest(fact.groupBy(*dims).agg(m.technology_total().alias("technologies")), "technologies", *dims)
 
 
 def asset_table(fact: DataFrame, dim_asset: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def asset_table(fact: DataFrame, dim_asset: DataFrame) -> DataFrame:
     named = star_join(per_asset, (dim_asset, "asset_sk", "asset_sk", {"asset_name": "asset_name"}))
     dims = ["asset_name", "criticality", "region", "owner_team"]
     totals = named.groupBy(*dims).agg(F.sum("technologies").cast("long").alias("technologies"))
-    return largest(totals, "technologies", *dims, n=None)
+    return largest(totals, "technologies", *dims)
 
 
 def name_bands(df: DataFrame, bands: DataFrame) -> DataFrame:
@@ -56,19 +56,19 @@ def name_bands(df: DataFrame, bands: DataFrame) -> DataFrame:
 def impacts_by_band(impact: DataFrame, bands: DataFrame) -> DataFrame:
     """Impact rows by band name from the fact, counted per band before the join."""
     counts = name_bands(group_count(impact, "risk_band_sk", name="impacts"), bands)
-    return largest(counts.groupBy("risk_band_name").agg(F.sum("impacts").alias("impacts")), "impacts", "risk_band_name", n=None)
+    return largest(counts.groupBy("risk_band_name").agg(F.sum("impacts").alias("impacts")), "impacts", "risk_band_name")
 
 
 def exposure_by_band(asset_exposure: DataFrame, notice_exposure: DataFrame, bands: DataFrame) -> DataFrame:
     """The same report without building the fact."""
     totals = m.exposure_totals(asset_exposure, notice_exposure, "risk_band_sk")
     named = name_bands(totals.select("risk_band_sk", "impacts"), bands)
-    return largest(named.select("risk_band_name", "impacts"), "impacts", "risk_band_name", n=None)
+    return largest(named.select("risk_band_name", "impacts"), "impacts", "risk_band_name")
 
 
 def affected_by_status_priority(impact: DataFrame) -> DataFrame:
     dims = ["remediation_status", "priority"]
-    return largest(impact.groupBy(*dims).agg(m.affected_assets().alias("affected_assets")), "affected_assets", *dims, n=None)
+    return largest(impact.groupBy(*dims).agg(m.affected_assets().alias("affected_assets")), "affected_assets", *dims)
 
 
 def alert_table(impact: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame) -> DataFrame:
@@ -81,10 +81,10 @@ def alert_table(impact: DataFrame, dim_asset: DataFrame, dim_technology: DataFra
         (dim_technology, "technology_sk", "technology_sk", {"runtime_name": "runtime_name", "runtime_version": "runtime_version"}),
         (dim_asset, "asset_sk", "asset_sk", {"asset_name": "asset_name", "environment": "environment"}),
     )
-    columns = (
-        "asset_name environment runtime_name runtime_version days_to_retirement priority remediation_status"
-        " risk_band_name"
-    ).split()
+    columns = [
+        "asset_name", "environment", "runtime_name", "runtime_version", "days_to_retirement", "priority",
+        "remediation_status", "risk_band_name",
+    ]
     return joined.select(*columns).distinct().orderBy("days_to_retirement", *columns[:4])
 
 

@@ -116,7 +116,10 @@ def deprecation_event(base: DataFrame, run_ts, origin: Origin = Origin()) -> Dat
         "notice_id",
         F.col("title").alias("notice_title"),
         technology_family("affected_service", "affected_runtime", "title").alias("technology_family"),
-        *[F.col(f"affected_{part}") for part in ("service", "feature", "runtime", "version")],
+        "affected_service",
+        "affected_feature",
+        "affected_runtime",
+        "affected_version",
         "published_at",
         "retirement_at",
         severity(F.col("status"), F.col("days_to_retirement")).alias("severity"),
@@ -153,7 +156,10 @@ def impacted_technology(events: DataFrame, run_ts) -> DataFrame:
         hash_key("technology_nk").alias("technology_sk"),
         "technology_nk",
         "technology_family",
-        *[F.col(f"affected_{part}") for part in ("service", "feature", "runtime", "version")],
+        "affected_service",
+        "affected_feature",
+        "affected_runtime",
+        "affected_version",
         "deprecation_sk",
         "published_at",
         "retirement_at",
