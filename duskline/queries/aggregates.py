@@ -98,14 +98,14 @@ def distinct_file_count(spark, sf):
 
 
 # -- KPIs -------------------------------------------------------------------------------------
-@query("kpi_assets_by_type", "SELECT cloud_provider, asset_type, count(*) AS total_assets FROM asset GROUP BY 1, 2 ORDER BY total_assets DESC, 1, 2 LIMIT 20")
+@query("kpi_assets_by_type", "SELECT cloud_provider, asset_type, count(*) AS total_assets FROM asset GROUP BY 1, 2 ORDER BY total_assets DESC, 1, 2")
 def kpi_assets_by_type(spark, sf):
     return kpis.largest(kpis.assets_by_type(e.assets(spark, sf)), "total_assets", "cloud_provider", "asset_type")
 
 
 @query("kpi_env", "SELECT environment, count(*) AS total_assets, count(DISTINCT owner_team) AS teams, count(DISTINCT region) AS regions FROM asset GROUP BY 1 ORDER BY 2 DESC, 1")
 def kpi_env(spark, sf):
-    return kpis.largest(kpis.environment_distribution(e.assets(spark, sf)), "total_assets", "environment", n=None)
+    return kpis.largest(kpis.environment_distribution(e.assets(spark, sf)), "total_assets", "environment")
 
 
 @query(
@@ -113,7 +113,7 @@ def kpi_env(spark, sf):
     """
     SELECT technology_family, runtime_name, runtime_version, count(*) AS total_assets
     FROM asset LEFT JOIN asset_tech ON native_resource_id = resource_id GROUP BY 1, 2, 3
-    ORDER BY total_assets DESC, 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST LIMIT 20
+    ORDER BY total_assets DESC, 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST
     """,
 )
 def kpi_tech(spark, sf):
@@ -126,15 +126,15 @@ def kpi_tech(spark, sf):
     "SELECT criticality, count(*) AS total_assets, count_if(has_technology) AS with_technology, count_if(NOT has_technology) AS without_technology FROM inventory GROUP BY 1",
 )
 def kpi_criticality(spark, sf):
-    return kpis.largest(kpis.criticality_coverage(e.inventory(spark, sf)), "total_assets", "criticality", n=None)
+    return kpis.largest(kpis.criticality_coverage(e.inventory(spark, sf)), "total_assets", "criticality")
 
 
-@query("kpi_region", "SELECT region, count(*) AS total_assets FROM asset GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+@query("kpi_region", "SELECT region, count(*) AS total_assets FROM asset GROUP BY 1 ORDER BY 2 DESC, 1")
 def kpi_region(spark, sf):
     return kpis.largest(kpis.assets_by_region(e.assets(spark, sf)), "total_assets", "region")
 
 
-@query("kpi_no_tech", "SELECT asset_type, environment, count(*) AS total_assets FROM inventory WHERE NOT has_technology GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
+@query("kpi_no_tech", "SELECT asset_type, environment, count(*) AS total_assets FROM inventory WHERE NOT has_technology GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2")
 def kpi_no_tech(spark, sf):
     return kpis.largest(kpis.assets_without_technology(e.inventory(spark, sf)), "total_assets", "asset_type", "environment")
 
@@ -144,7 +144,7 @@ def kpi_no_tech_total(spark, sf):
     return e.inventory(spark, sf).filter(~F.col("has_technology")).agg(rollups.row_count("total_assets"))
 
 
-@query("kpi_owner", "SELECT owner_team, count(*) AS total_assets, count(DISTINCT asset_type) AS asset_types FROM asset GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+@query("kpi_owner", "SELECT owner_team, count(*) AS total_assets, count(DISTINCT asset_type) AS asset_types FROM asset GROUP BY 1 ORDER BY 2 DESC, 1")
 def kpi_owner(spark, sf):
     return kpis.largest(kpis.owner_rollup(e.assets(spark, sf)), "total_assets", "owner_team")
 

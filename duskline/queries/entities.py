@@ -84,15 +84,13 @@ cte(
     """
     SELECT sha256(concat(technology_family, '|', technology_source, '|', coalesce(runtime_name, ''), '|',
                          coalesce(runtime_version, ''))) AS technology_sk, *
-    FROM (SELECT DISTINCT technology_family, technology_source, runtime_name, runtime_version FROM sparse_tech
-          WHERE technology_family <> 'Brand#3')
+    FROM (SELECT DISTINCT technology_family, technology_source, runtime_name, runtime_version FROM sparse_tech)
     """,
 )
 
 
 def dim_technology(spark: SparkSession, sf: str) -> DataFrame:
-    """One family is left out, so that the hash fallback of the lookup is used."""
-    return gold.dim_technology(sparse_technology(spark, sf).filter("technology_family <> 'Brand#3'"), RUN_TS)
+    return gold.dim_technology(sparse_technology(spark, sf), RUN_TS)
 
 
 # -- notices: supplier with the order of the same number --------------------------
@@ -209,19 +207,21 @@ def assets(spark: SparkSession, sf: str) -> DataFrame:
 cte(
     "asset_tech",
     """
-    SELECT CAST(o_custkey AS VARCHAR) AS resource_id, o_orderstatus AS technology_family,
+    SELECT CAST(CASE WHEN o_custkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END AS VARCHAR) AS resource_id,
+           o_orderstatus AS technology_family,
            CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE lower(o_orderpriority) END AS runtime_name,
            CAST(year(o_orderdate) AS VARCHAR) AS runtime_version
     FROM orders
-    WHERE o_totalprice > 400000
     """,
 )
 
 
 def asset_technology(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").filter("o_totalprice > 400000")
+    """Every order is a technology row; a fifth of the customers hand theirs to the next one and have none."""
+    o = table(spark, sf, "orders")
+    key = F.col("o_custkey")
     return o.select(
-        text("o_custkey").alias("resource_id"),
+        text(F.when(key % 5 == 0, key + 1).otherwise(key)).alias("resource_id"),
         F.col("o_orderstatus").alias("technology_family"),
         F.when(F.col("o_orderpriority") != "3-MEDIUM", F.lower("o_orderpriority")).alias("runtime_name"),
         text(F.year("o_orderdate")).alias("runtime_version"),

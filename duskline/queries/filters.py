@@ -236,12 +236,12 @@ def retire_order(spark, sf):
     "SELECT l_suppkey, count(*) AS row_count FROM lineitem GROUP BY 1 ORDER BY row_count DESC, l_suppkey LIMIT 20",
 )
 def count_desc(spark, sf):
-    return kpis.largest(rollups.group_count(table(spark, sf, "lineitem"), "l_suppkey"), "row_count", "l_suppkey")
+    return kpis.largest(rollups.group_count(table(spark, sf, "lineitem"), "l_suppkey"), "row_count", "l_suppkey", n=20)
 
 
 @query("visual_sort", "SELECT region, count(*) AS row_count FROM asset GROUP BY 1 ORDER BY row_count DESC, region")
 def visual_sort(spark, sf):
-    return kpis.largest(rollups.group_count(e.assets(spark, sf), "region"), "row_count", "region", n=None)
+    return kpis.largest(rollups.group_count(e.assets(spark, sf), "region"), "row_count", "region")
 
 
 _TOP = "SELECT p_brand, count(*) AS row_count FROM part GROUP BY 1 ORDER BY row_count DESC, p_brand LIMIT 15"

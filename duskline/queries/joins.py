@@ -124,12 +124,14 @@ def attach_event(spark, sf):
     "dim_lookup_ci",
     """
     SELECT resource_id, coalesce(dim_sk, sha256(concat(technology_family, '|', coalesce(runtime_name, ''), '|', coalesce(runtime_version, '')))) AS technology_sk
-    FROM sparse_tech LEFT JOIN tech_lookup ON f = lower(technology_family) AND n IS NOT DISTINCT FROM lower(runtime_name)
+    FROM sparse_tech LEFT JOIN tech_lookup ON f = lower(technology_family) AND f <> 'brand#3' AND n IS NOT DISTINCT FROM lower(runtime_name)
       AND v IS NOT DISTINCT FROM lower(runtime_version)
     """,
 )
 def dim_lookup_ci(spark, sf):
-    rows = matching.lookup_technology(e.sparse_technology(spark, sf), e.dim_technology(spark, sf))
+    """One family is not in the dimension, so that the hash fallback of the lookup is used."""
+    known = e.dim_technology(spark, sf).filter("technology_family <> 'Brand#3'")
+    rows = matching.lookup_technology(e.sparse_technology(spark, sf), known)
     return rows.select("resource_id", "technology_sk")
 
 

@@ -343,10 +343,9 @@ def normalize_status(spark, sf):
     return e.notices(spark, sf).select("deprecation_sk", rules.status_label("status").alias("status"))
 
 
-@query("normalize_status_text", f"SELECT doc_id, md5({e.STATUS_SQL.format(c='substring(text, 1, n_chars)')}) AS status_md5 FROM documents")
+@query("normalize_status_text", f"SELECT doc_id, md5({e.STATUS_SQL.format(c='text')}) AS status_md5 FROM documents")
 def normalize_status_text(spark, sf):
-    whole = F.expr("substring(text, 1, n_chars)")
-    return table(spark, sf, "documents").select("doc_id", F.md5(rules.status_label(whole)).alias("status_md5"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(rules.status_label("text")).alias("status_md5"))
 
 
 _FAMILY_TEXT = "lower(concat_ws(' ', lang, source, text))"

@@ -56,7 +56,8 @@ def stamped(df, *columns):
 NOTICE_TIMES = ("published_at", "retirement_at")
 SEEN = ("first_seen_at", "last_seen_at", "conformance_at")
 SEEN_SQL = ", ".join(f"'1998-01-01 00:00:00' AS {c}" for c in SEEN)
-NULLS_SQL = ", ".join(f"CAST(NULL AS VARCHAR) AS affected_{c}" for c in ("feature", "runtime", "version"))
+NULLS_SQL = """CAST(NULL AS VARCHAR) AS affected_feature, CAST(NULL AS VARCHAR) AS affected_runtime,
+           CAST(NULL AS VARCHAR) AS affected_version"""
 
 
 @query("build_notice_base", "SELECT notice_id, title, published_at, retirement_at, source_path, status, days_to_retirement FROM notice_base")
@@ -69,7 +70,7 @@ def build_notice_base(spark, sf):
     "build_deprecation_event",
     f"""
     SELECT sha256('microsoft|' || notice_id) AS deprecation_sk, 'microsoft' AS vendor, notice_id, title AS notice_title,
-           CASE WHEN lower(title) LIKE '%urgent%' THEN 'platform' ELSE 'platform' END AS technology_family,
+           'platform' AS technology_family,
            'azure.release_communications' AS affected_service, {NULLS_SQL}, published_at, retirement_at,
            {e.SEVERITY_SQL.format(s='status', d='days_to_retirement')} AS severity, 'service' AS impact_scope, status,
            'duskline' AS source_system, {SEEN_SQL}
@@ -177,16 +178,26 @@ def detect_technology_counts(spark, sf):
 @query(
     "build_asset_technology",
     """
-    SELECT resource_id, sha256(concat(resource_id, '|container_orchestration|kubernetes_version')) AS tech_sk,
+    WITH shown AS (
+        SELECT *, 'app_runtime' AS family, 'linux_fx_version' AS source, lower(split_part(linux_fx, '|', 1)) AS runtime_name,
+               CASE WHEN contains(linux_fx, '|') THEN split_part(linux_fx, '|', 2) END AS runtime_version FROM resource WHERE linux_fx <> ''
+        UNION ALL SELECT *, 'container_orchestration', 'kubernetes_version', 'kubernetes', coalesce(k8s_current, k8s_declared)
+        FROM resource WHERE k8s_declared IS NOT NULL
+        UNION ALL SELECT *, 'key_vault_config', 'rbac_authorization', 'rbac_authorization', NULL FROM resource WHERE rbac IS NOT NULL
+        UNION ALL SELECT *, 'virtual_machine', 'os_image', 'linux', NULL FROM resource WHERE os_type IS NOT NULL
+        UNION ALL SELECT *, 'storage_config', 'tls_version', 'tls', min_tls FROM resource WHERE min_tls IS NOT NULL
+    )
+    SELECT resource_id, sha256(concat(resource_id, '|', family, '|', source)) AS tech_sk,
            'azure|' || subscription_id || '|' || resource_type || '|' || lower(trim(resource_name)) AS asset_nk, resource_type,
-           'kubernetes' AS runtime_name, coalesce(k8s_current, k8s_declared) AS runtime_version
-    FROM resource WHERE k8s_declared IS NOT NULL
+           family AS technology_family, runtime_name, CASE WHEN family <> 'virtual_machine' THEN runtime_version END AS runtime_version
+    FROM shown
     """,
 )
 def build_asset_technology(spark, sf):
     rows = silver.technology(silver.newest_resource(bronze.flatten_resource(two_loads(spark, sf))), e.RUN_TS)
-    rows = rows.filter("technology_family = 'container_orchestration'")
-    return rows.select("resource_id", "tech_sk", "asset_nk", "resource_type", "runtime_name", "runtime_version")
+    # The image of a virtual machine is checked by detect_technology.
+    version = F.when(F.col("technology_family") != "virtual_machine", F.col("runtime_version")).alias("runtime_version")
+    return rows.select("resource_id", "tech_sk", "asset_nk", "resource_type", "technology_family", "runtime_name", version)
 
 
 # -- dimensions and facts ------------------------------------------------------------------------

