@@ -13,6 +13,7 @@ from duskline.operators.filters import sliced
 from duskline.operators.rollups import group_count
 from duskline.operators.star import star_join
 from duskline.plans import measures as m
+from duskline.plans.gold import OPEN_REMEDIATION
 from duskline.plans.kpis import largest
 
 
@@ -71,11 +72,33 @@ def affected_by_status_priority(impact: DataFrame) -> DataFrame:
     return largest(impact.groupBy(*dims).agg(m.affected_assets().alias("affected_assets")), "affected_assets", *dims)
 
 
+def exposed_by_priority(asset_exposure: DataFrame, notice_exposure: DataFrame) -> DataFrame:
+    """Affected assets by status and priority without building the fact: every impact starts out open."""
+    pairs = m.exposed_assets(asset_exposure, notice_exposure, "priority")
+    counts = group_count(pairs, "priority", name="affected_assets")
+    dims = ["remediation_status", "priority"]
+    named = counts.select(F.lit(OPEN_REMEDIATION).alias("remediation_status"), "priority", "affected_assets")
+    return largest(named, "affected_assets", *dims)
+
+
+def exposed_alert_table(
+    asset_exposure: DataFrame, notice_exposure: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame
+) -> DataFrame:
+    """The alert table without building the fact: notices with equal risk on a technology are one before they meet assets."""
+    reasons = notice_exposure.select("technology_sk", "risk_band_sk", "days_to_retirement", "priority").distinct()
+    lines = asset_exposure.join(reasons, "technology_sk").withColumn("remediation_status", F.lit(OPEN_REMEDIATION))
+    return _alert_lines(lines, dim_asset, dim_technology, bands)
+
+
 def alert_table(impact: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame) -> DataFrame:
     """Distinct alert lines, most urgent first. Notices with equal lines collapse before the joins."""
     lines = impact.select(
         "asset_sk", "technology_sk", "risk_band_sk", "days_to_retirement", "priority", "remediation_status"
     ).distinct()
+    return _alert_lines(lines, dim_asset, dim_technology, bands)
+
+
+def _alert_lines(lines: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame) -> DataFrame:
     joined = star_join(
         name_bands(lines, bands),
         (dim_technology, "technology_sk", "technology_sk", {"runtime_name": "runtime_name", "runtime_version": "runtime_version"}),

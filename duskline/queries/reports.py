@@ -92,7 +92,7 @@ def rpt_impacts_by_band_fact(spark, sf):
     "SELECT remediation_status, priority, count(DISTINCT asset_sk) AS affected_assets FROM impact WHERE is_affected GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2",
 )
 def rpt_affected_by_status_priority(spark, sf):
-    return reports.affected_by_status_priority(e.impact(spark, sf))
+    return reports.exposed_by_priority(*e.exposures(spark, sf))
 
 
 @query(
@@ -104,8 +104,8 @@ def rpt_affected_by_status_priority(spark, sf):
     """,
 )
 def rpt_alert_table(spark, sf):
-    return reports.alert_table(
-        e.impact(spark, sf), e.assets(spark, sf), e.dim_technology(spark, sf), reference.dim_risk_band(spark)
+    return reports.exposed_alert_table(
+        *e.exposures(spark, sf), e.assets(spark, sf), e.dim_technology(spark, sf), reference.dim_risk_band(spark)
     )
 
 
