@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from duskline.operators.filters import unprocessed
 from duskline.operators.matching import crosswalk_family
 from duskline.plans import bronze, gold, quality, silver
 from duskline.plans.bronze import Origin
@@ -15,12 +14,26 @@ from duskline.sources import landing, reference
 KEEP = ("first_seen_at",)
 
 
+def _unread(store: TableStore, path: str, name: str, read, multiline: bool):
+    """The rows of the files that table ``name`` has not loaded; None where it knows them all.
+
+    Known files are told by the listing, so they are not opened again. A landing
+    zone without rows raises at the first load.
+    """
+    loaded = store.read(name) if store.exists(name) else None
+    files = landing.new_files(store.spark, path, loaded)
+    if loaded is None:
+        return quality.require_rows(read(store.spark, files or path, multiline), path)
+    return read(store.spark, files, multiline) if files else None
+
+
 def load_inventory(store: TableStore, path: str, run_ts, origin: Origin = Origin(), multiline: bool = True) -> None:
     """Append the snapshots that have not been loaded yet to the four raw tables."""
-    snapshots = quality.require_rows(landing.read_snapshots(store.spark, path, multiline), path)
-    loaded = store.read("brz_azure_resource_raw") if store.exists("brz_azure_resource_raw") else None
+    snapshots = _unread(store, path, "brz_azure_resource_raw", landing.read_snapshots, multiline)
+    if snapshots is None:
+        return
     # The JSON is parsed once; the four tables start from the staged columns.
-    fresh = staged(bronze.bronze_metadata(unprocessed(snapshots, loaded), run_ts, origin), "fresh-inventory")
+    fresh = staged(bronze.bronze_metadata(snapshots, run_ts, origin), "fresh-inventory")
     if fresh.isEmpty():
         return
     store.append(bronze.cloud_accounts(fresh, run_ts, origin, path), "brz_inventory_cloud_raw")
@@ -33,9 +46,10 @@ def load_inventory(store: TableStore, path: str, run_ts, origin: Origin = Origin
 
 def load_notices(store: TableStore, path: str, run_ts, origin: Origin = Origin(), multiline: bool = True) -> None:
     """Append notices from files that have not been loaded yet."""
-    landed = quality.require_rows(landing.read_notices(store.spark, path, multiline), path)
-    loaded = store.read("brz_deprecation_raw") if store.exists("brz_deprecation_raw") else None
-    fresh = unprocessed(landed, loaded)
+    landed = _unread(store, path, "brz_deprecation_raw", landing.read_notices, multiline)
+    if landed is None:
+        return
+    fresh = staged(landed, "fresh-notices")
     if not fresh.isEmpty():
         store.append(bronze.notice_bronze(fresh, run_ts, origin), "brz_deprecation_raw")
 
@@ -58,7 +72,8 @@ def conform_inventory(store: TableStore, run_ts, origin: Origin = Origin()) -> N
 def conform_notices(store: TableStore, as_of: dt.date, run_ts, origin: Origin = Origin()) -> None:
     """Upsert events, notices and the technologies they name."""
     raw = quality.require_rows(store.read("brz_deprecation_raw", evolving=True), "brz_deprecation_raw")
-    base = silver.notice_base(raw, as_of)
+    # Three tables start from it.
+    base = staged(silver.notice_base(raw, as_of), "notice-base")
     events = silver.deprecation_event(base, run_ts, origin)
     store.upsert(events, "slv_deprecation_event", ["deprecation_sk"], KEEP)
     store.upsert(silver.source_notice(base, run_ts), "slv_source_notice", ["vendor", "notice_id"], KEEP)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from duskline.functions.text import is_tagged
 from duskline.operators.rollups import row_count
-from duskline.plans import bronze, feed
+from duskline.plans import bronze, feed, runs
 from duskline.queries import entities as e
 from duskline.queries.projections import landed_notices, landed_resources
 from duskline.queries.registry import query, table
@@ -203,6 +203,23 @@ def page_envelope_explode(spark, sf):
     return items.select("page_no", "item_no", "title", "status", is_tagged("tags").alias("tagged"))
 
 
+@query(
+    "load_new_files",
+    "SELECT ingest_date, count(*) AS row_count, count(DISTINCT title) AS titles FROM (SELECT status AS ingest_date, title FROM landed_notice) GROUP BY 1",
+)
+def load_new_files(spark, sf):
+    """Notices land in two steps and are loaded after each and once more: every file is loaded once."""
+    root = scratch(spark, "new-files")
+    store = TableStore(spark, f"{root}/tables")
+    rows = landed_notices(spark, sf).withColumn("ingest_date", F.col("status")).drop("source_path")
+    first = F.col("ingest_date") == "F"
+    for part in (rows.filter(first), rows.filter(~first), rows.limit(0)):
+        landing_sink.land_json(part, f"{root}/landing", ["ingest_date"])
+        runs.load_notices(store, f"{root}/landing", e.RUN_TS, multiline=False)
+    loaded = store.read("brz_deprecation_raw").withColumn("ingest_date", F.regexp_extract("source_path", "ingest_date=([^/]*)/", 1))
+    return loaded.groupBy("ingest_date").agg(row_count(), F.count_distinct("title").alias("titles"))
+
+
 # -- sinks -----------------------------------------------------------------------------------------
 @query(
     "append_evolving",

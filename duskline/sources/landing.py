@@ -34,13 +34,27 @@ def read_json(
     return reader.json(path)
 
 
-def read_snapshots(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """All resource snapshots below a root, with lineage."""
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, source_path) of every JSON file below a root. Files are listed, not opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(path)
+    return files.select("path", F.col("_metadata.file_path").alias("source_path"))
+
+
+def new_files(spark: SparkSession, path: str, loaded: DataFrame | None) -> list[str]:
+    """Paths of the files below a root that ``loaded`` (with ``source_path``) does not know, for a reader to open."""
+    files = landed_files(spark, path)
+    if loaded is not None:
+        files = files.join(loaded.select("source_path").distinct(), "source_path", "left_anti")
+    return sorted(r["path"] for r in files.select("path").collect())
+
+
+def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """All resource snapshots below a root (or in the files listed), with lineage."""
     return with_source_path(read_json(spark, path, schemas.RESOURCE, multiline))
 
 
-def read_notices(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """All landed notices below a root, with lineage."""
+def read_notices(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """All landed notices below a root (or in the files listed), with lineage."""
     return with_source_path(read_json(spark, path, schemas.NOTICE, multiline))
 
 

@@ -213,3 +213,17 @@ def test_affected_share_blank_rules(spark, rows):
     assert (none["assets"], none["affected_assets"], none["affected_share"]) == (0, 2, None)
     blank = spark.createDataFrame([("a",), (None,)], "asset_sk string").agg(m.assets()).first()[0]
     assert blank == 2
+
+
+def test_known_files_are_not_opened(spark, tmp_path):
+    root = tmp_path / "a landing" / "ingest_date=2026-01-01"
+    write(root / "one.json", [{"title": "a", "created": "2026-01-01"}])
+    first = landing.new_files(spark, str(tmp_path / "a landing"), None)
+    known = landing.read_notices(spark, first)
+    assert known.count() == 1
+    write(root / "two.json", [{"title": "b", "created": "2026-01-02"}])
+    fresh = landing.new_files(spark, str(tmp_path / "a landing"), known)
+    assert [f.rsplit("/", 1)[1] for f in fresh] == ["two.json"]
+    # A broken known file does no harm, as it is not read.
+    (root / "one.json").write_text("{")
+    assert [r["title"] for r in landing.read_notices(spark, fresh).collect()] == ["b"]
