@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskline.session import scratch, staged
+from duskline.session import scratch
 
 # The white space of every word and text rule here: space, tab, line feed,
 # vertical tab, form feed, carriage return.
@@ -22,6 +22,28 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+_MADE: dict[str, list[str]] = {}
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back; see :func:`discard_scratch`."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables the operators of this application have staged so far.
+
+    For a caller that has written an operator's result and needs nothing else of it.
+    """
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(df: DataFrame, label: str, name: str = "__row") -> DataFrame:
     """``df`` written to the shared folder with a row number that later reads agree on."""
     return staged(df.withColumn(name, F.monotonically_increasing_id()), label)
@@ -33,13 +55,6 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def compact(df: DataFrame, label: str) -> DataFrame:
-    """As ``staged``, with the denser compression, for wide intermediate rows."""
-    path = scratch(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges (a long, b long)``: ``(node, component)``.
 

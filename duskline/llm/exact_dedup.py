@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskline.llm.common import SPACE, numbered, text_of, without
-from duskline.session import staged
+from duskline.llm.common import SPACE, numbered, staged, text_of, without
 
 # Slots of the filter: 2 ** 27 bits are 16 MB, whatever the number of rows. More
 # rows than slots only send more rows into the shuffle; the result is the same.

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskline.llm.common import WORD, compact, text_of, without
-from duskline.session import staged
+from duskline.llm.common import WORD, staged, text_of, without
 
 # A run of lines counts as repeated from this many words on. Shorter phrases that
 # plain documents share stay.
@@ -159,7 +158,7 @@ def line_dedup(
         *[F.col(f"`{c}`") for c in wanted], F.col(f"`{text_col}`").cast("string").alias("__text"),
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)).alias("__id"), F.monotonically_increasing_id().alias("__row"),
     )
-    own = compact(own, "lines-texts")
+    own = staged(own, "lines-texts")
     runs = staged(repeated_runs(own.select(F.col("__id").alias("id"), F.col("__row").alias("row"), text_of("__text").alias("text")), least_words), "lines-runs")
     got = own.join(runs.select(F.col("row").alias("__of"), F.col("runs").alias("removed_runs")), F.col("__row") == F.col("__of"), "left")
     got = got.withColumn("__lines", F.split(text_of("__text"), "\n"))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskline.llm.common import WORD, numbered, text_of, without
-from duskline.session import staged
+from duskline.llm.common import WORD, numbered, staged, text_of, without
 
 MOST = 3  # copies of a document, and times a source's size its target may be
 # Rows of a source whose copies are rounded together; more rows make more such blocks.

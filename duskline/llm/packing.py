@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duskline.llm.common import bounded_batches, compact, text_of, without
-from duskline.session import staged
+from duskline.llm.common import bounded_batches, staged, text_of, without
 
 CAPACITY = 2048
 GROUPS = 512  # equal-cardinality groups of large lengths
@@ -260,7 +259,7 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, groups: in
     carried along; a ``sequence_id`` or ``offset`` of their own is replaced. Ties
     between rows with equal keys are broken by a row number. No rows, no sequences.
     """
-    pieces = compact(without(pieces, "sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
+    pieces = staged(without(pieces, "sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     moves = plan(counts, capacity, groups)
     salts = max(1, -(-max(counts.values(), default=0) // rows_per_salt))

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from duskline.llm.common import SPACE, numbered, text_of, without
-from duskline.session import staged
+from duskline.llm.common import SPACE, numbered, staged, text_of, without
 
 # Sketch buckets keep this many leading bits of a value, so that a bucket is at
 # most 1/64 of its value wide and a group has at most a few thousand of them.

@@ -11,8 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskline.llm.common import bounded_batches, components, numbered, without
-from duskline.session import staged
+from duskline.llm.common import bounded_batches, components, numbered, staged, without
 
 RADIUS = 3
 BLOCKS = 4  # one of them is left out of a key at a time
