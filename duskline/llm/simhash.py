@@ -158,7 +158,7 @@ def simhash_groups(
 
 
 # Near copies by similarity: see near_copies.
-TABLES = 2
+TABLES = 3
 SIMILARITY = 0.8
 SHINGLE = 5
 SKETCH = 256
