@@ -82,7 +82,72 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs, carry=["doc_id"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query("op6_quality_rules")
+_RULES = tuple(quality_rules.SLACK)
+
+
+def _fence_sql(keys: str, name: str) -> str:
+    """First and third quartile buckets of every rule per group of ``keys``."""
+    part = f"PARTITION BY {keys}, rule" if keys else "PARTITION BY rule"
+    pick = f"{keys}, rule" if keys else "rule"
+    return f"""
+    {name} AS (
+        SELECT {pick}, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q25, min(bucket) FILTER (4 * upto >= 3 * total) AS q75
+        FROM (SELECT *, sum(n) OVER ({part} ORDER BY bucket) AS upto, sum(n) OVER ({part}) AS total
+              FROM (SELECT {pick}, bucket, sum(n) AS n FROM sketch GROUP BY ALL))
+        GROUP BY {pick}
+    )"""
+
+
+_QUALITY_SQL = rf"""
+    WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+    words AS (
+        SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS l FROM t)
+    ), windows AS (
+        SELECT doc_id, i, w AS a, lead(w, 1) OVER d AS b, lead(w, 2) OVER d AS c FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+    ), again AS (
+        SELECT doc_id, i FROM windows WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id
+    ), counted AS (SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM words GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT x) AS same
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM t) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
+    ), base AS (
+        SELECT t.doc_id, lang, source, coalesce(counted.n, 0) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(same, 0) AS n_dup_lines,
+            coalesce(covered.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines, length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS n_capitals
+        FROM t LEFT JOIN counted USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+    ), ratios AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            coalesce(1000 * n_symbols // nullif(n_words, 0), 0) AS symbols, coalesce(1000 * n_capitals // nullif(word_chars, 0), 0) AS capitals,
+            coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) AS same_lines, coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) AS repeats,
+            coalesce(1000 * word_chars // nullif(n_words, 0), 0) AS word_length
+        FROM base
+    ), long AS (
+        UNPIVOT (SELECT doc_id, lang, source, base_failed, {", ".join(f"CAST({r} AS BIGINT) AS {r}" for r in _RULES)} FROM ratios)
+        ON {", ".join(_RULES)} INTO NAME rule VALUE v
+    ), sketch AS (
+        SELECT lang, source, rule, v - v % CAST(pow(2, greatest(length(bin(v)) - {quality_rules.BITS}, 0)) AS BIGINT) AS bucket, count(*) AS n
+        FROM long WHERE NOT base_failed GROUP BY ALL
+    ), {_fence_sql("lang, source", "by_group")}, {_fence_sql("lang", "by_lang")}, {_fence_sql("", "by_all")},
+    fences AS (
+        SELECT g.lang, g.source, g.rule,
+            CASE WHEN g.total >= {quality_rules.LEAST_ROWS} THEN g.q75 WHEN l.total >= {quality_rules.LEAST_ROWS} THEN l.q75 ELSE a.q75 END AS q75,
+            CASE WHEN g.total >= {quality_rules.LEAST_ROWS} THEN g.q25 WHEN l.total >= {quality_rules.LEAST_ROWS} THEN l.q25 ELSE a.q25 END AS q25,
+            CASE g.rule {" ".join(f"WHEN '{r}' THEN {v}" for r, v in quality_rules.SLACK.items())} END AS slack
+        FROM by_group g JOIN by_lang l ON g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule JOIN by_all a ON a.rule = g.rule
+    ), broken AS (
+        SELECT DISTINCT doc_id FROM long v JOIN fences f ON v.lang IS NOT DISTINCT FROM f.lang AND v.source IS NOT DISTINCT FROM f.source
+            AND v.rule = f.rule AND v.v > f.q75 + greatest(3 * (f.q75 - f.q25), slack)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+    FROM ratios
+"""
+
+
+@query("op6_quality_rules", _QUALITY_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.quality_rules(docs, carry=["doc_id"]).select(
