@@ -13,8 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duskline.llm.common import bounded_batches, compact, text_of
-from duskline.session import staged
+from duskline.llm.common import bounded_batches, staged, text_of
 
 LENGTH = 100
 GRAM = 20  # bytes whose hash picks the anchor of a string
@@ -300,7 +299,7 @@ def remove_repeats(
     own = docs.select(
         *[F.col(f"`{c}`") for c in wanted], F.coalesce(F.col(f"`{id_col}`").cast("long"), last).alias("__id"), text_of(text_col).alias("__text")
     )
-    own = compact(own.withColumn("__row", F.monotonically_increasing_id()), "repeats-texts")
+    own = staged(own.withColumn("__row", F.monotonically_increasing_id()), "repeats-texts")
     texts = own.select(F.col("__id").alias("id"), F.col("__row").alias("row"), F.col("__text").alias("text"))
     order = ["id", "row", "start"]
     rows = _stretches(texts.filter(F.octet_length("text") >= length), length, gram).repartition(F.col("h"))
@@ -308,7 +307,7 @@ def remove_repeats(
     alike = Window.partitionBy("h")
     rows = rows.withColumn("mixed", F.min("c").over(alike) != F.max("c").over(alike))
     copy = F.col("sure") | (F.col("nth") > 1)
-    found = compact(rows.filter(copy | F.col("mixed")).select("h", "row", "start", "count", copy.alias("copy")), "repeats-stretches")
+    found = staged(rows.filter(copy | F.col("mixed")).select("h", "row", "start", "count", copy.alias("copy")), "repeats-stretches")
     contexts = _contexts(texts, found.filter("not copy"), length)
     tree = staged(_tree_spans(contexts, length), "repeats-tree")
     spans = found.filter("copy").select("row", "start", F.col("count").cast("long").alias("count")).union(tree.select("row", "start", "count"))
