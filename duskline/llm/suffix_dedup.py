@@ -218,8 +218,9 @@ def _stretches(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     sure[k] = True
                 else:
                     seen[body] = place
-            # Copies need no neighbours: they go wherever their row's hash sends them.
+            # Copies need no neighbours: they go wherever their row's hash sends them, without what is not asked of them.
             h = np.where(sure, _stirred(rows.astype(np.uint64)), h)
+            c, ids = np.where(sure, np.uint64(0), c), np.where(sure, 0, ids)
             yield pd.DataFrame(
                 {"h": h.view(np.int64), "c": c.view(np.int64), "id": ids, "row": rows, "start": starts, "count": counts.astype(np.int32), "sure": sure}
             )
