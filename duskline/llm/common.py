@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,17 @@ def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame
     raise RuntimeError("components did not settle")
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Python tasks get at most this many texts at a time, so that long texts fit beside each other."""
+    """Python tasks get at most this many texts at a time, so that long texts fit beside each other.
+
+    They also look for this library where the driver found it, whatever the folder
+    they start in; a cluster without that path needs the package shipped to it.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
