@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -162,6 +163,11 @@ TABLES = 3
 SIMILARITY = 0.8
 SHINGLE = 5
 SKETCH = 256
+# Texts whose shingles are counted to tell common from rare, and from how many on
+# a shingle is common. Both only shape the order of shingles, never the result.
+COUNTED = 20_000
+COMMON = 8
+STARS = 2
 COPY_RESULT = ("copy_of", "kept")
 
 
@@ -175,6 +181,41 @@ def _salted(hashes: np.ndarray, table: int) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _cut(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of all runs of ``shingle`` words, in order; the whole text where it is shorter."""
+    line = b" ".join(words)
+    hashed = xxhash.xxh64_intdigest
+    width = min(shingle, len(words))
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    cut = zip((ends - sizes)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
+    return np.array([hashed(line[a:b], SEED) for a, b in cut], dtype=np.uint64)
+
+
+def whole(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """All distinct word shingles of a text, as sorted (signed) longs."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return np.unique(_cut(words, shingle).view(np.int64)) if words else np.zeros(0, dtype=np.int64)
+
+
+def prefix(text: str | None, least: float, heavy: np.ndarray, weight: np.ndarray, shingle: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """Number of distinct shingles, and the rarest of them, of which two texts alike by ``least`` share one.
+
+    Two sets alike by ``least`` have at least ``ceil(least * n)`` members in common,
+    whichever of the two has n. In one order of all shingles, then, the first
+    ``n - ceil(least * n) + 1`` of either set have a member in common. Any order
+    will do; ``heavy`` (sorted) with ``weight`` puts common ones last.
+    """
+    parts = whole(text, shingle)
+    n = len(parts)
+    if not n:
+        return 0, parts
+    if len(heavy):
+        at = np.minimum(np.searchsorted(heavy, parts), len(heavy) - 1)
+        parts = parts[np.lexsort((parts, np.where(heavy[at] == parts, weight[at], 0)))]
+    return n, parts[: n - math.ceil(least * n - 1e-9) + 1]
+
+
 def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int]]:
     """Key of the word sequence, fingerprints of the set of words (one per table), and the sketch of the word shingles.
 
@@ -192,11 +233,7 @@ def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) ->
     for table in range(tables):
         ones = 2 * _votes(_salted(single, table)) > len(single)
         prints.append(int(np.packbits(ones, bitorder="little").view(np.int64)[0]))
-    width = min(shingle, len(words))
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    cut = zip((ends - sizes)[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
-    parts = np.unique(np.array([hashed(line[a:b], SEED) & 0x7FFFFFFF for a, b in cut], dtype=np.int32))
+    parts = np.unique((_cut(words, shingle) & np.uint64(0x7FFFFFFF)).astype(np.int32))
     return key, prints, parts[:SKETCH].tolist()
 
 
@@ -207,6 +244,74 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(F.size(least) == 0, 1.0).otherwise(both / F.size(least))
 
 
+def _heavy(texts: DataFrame, text: Column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that are common among some ``COUNTED`` texts, and how common."""
+
+    @F.pandas_udf("array<long>")
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([whole(t, shingle) for t in batch])
+
+    every = max(1, texts.count() // COUNTED)
+    some = texts.filter(F.pmod(F.xxhash64("__row"), F.lit(every)) == 0)
+    counts = some.select(F.explode(shingles(text)).alias("h")).groupBy("h").count().filter(F.col("count") >= COMMON)
+    found = counts.toPandas().sort_values("h")
+    return found["h"].to_numpy(dtype=np.int64), found["count"].to_numpy(dtype=np.int64)
+
+
+def _tokens(rows: DataFrame, nodes: DataFrame, text: Column, least: float, shingle: int) -> DataFrame:
+    """``(token, node, n)``: the prefix of each node's shingles, where two nodes or more have the token."""
+    common = rows.sparkSession.sparkContext.broadcast(_heavy(rows, text, shingle))
+
+    @F.pandas_udf("n int, tokens array<long>")
+    def rare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        heavy, weight = common.value
+        for batch in batches:
+            got = [prefix(t, least, heavy, weight, shingle) for t in batch]
+            yield pd.DataFrame({"n": [g[0] for g in got], "tokens": [g[1] for g in got]})
+
+    got = rows.select("__row", rare(text).alias("p")).join(nodes, F.col("__row") == F.col("node"))
+    got = got.select(F.explode("p.tokens").alias("token"), "node", "p.n")
+    met = Window.partitionBy("token")
+    got = got.withColumn("low", F.min("node").over(met)).withColumn("high", F.max("node").over(met))
+    return got.filter("low <> high").select("token", "node", "n")
+
+
+def _fit(least: float, a: str, b: str) -> Column:
+    """Whether sets of ``a`` and ``b`` members can be alike by ``least``."""
+    return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
+
+
+def _apart(tokens: DataFrame, member: DataFrame) -> DataFrame:
+    """Tokens, with the component (``part``) of each node, where nodes of two components or more meet."""
+    met = Window.partitionBy("token")
+    here = tokens.join(member, "node").withColumn("low", F.min("part").over(met)).withColumn("high", F.max("part").over(met))
+    return here.filter("low <> high").drop("low", "high")
+
+
+def _stars(apart: DataFrame, turn: int, least: float) -> DataFrame:
+    """Pairs of one node per token with the others of it outside its component: as many at most as there are rows.
+
+    First the node that meets most: an original meets its copies in all its prefix,
+    an edited copy has rare shingles of its own there. Then a different one per token.
+    """
+    met = Window.partitionBy("token")
+    lead = F.xxhash64("token", "node", F.lit(turn))
+    if not turn:
+        apart = apart.join(apart.groupBy("node").agg(F.count(F.lit(1)).alias("meets")), "node")
+        lead = F.col("meets")
+    apart = apart.withColumn("hub", F.max(F.struct(lead.alias("lead"), F.col("node"), F.col("part"), F.col("n"))).over(met))
+    pairs = apart.filter((F.col("part") != F.col("hub.part")) & _fit(least, "n", "hub.n"))
+    return pairs.select(F.least("hub.node", "node").alias("hub"), F.greatest("hub.node", "node").alias("node")).distinct()
+
+
+def _all_pairs(apart: DataFrame, least: float) -> DataFrame:
+    """Every pair of nodes of two components that share a token."""
+    a, b = (apart.select("token", F.col("node").alias(x), F.col("part").alias(f"p{x}"), F.col("n").alias(f"n{x}")) for x in ("hub", "other"))
+    pairs = a.join(b, "token").filter((F.col("hub") < F.col("other")) & (F.col("phub") != F.col("pother")) & _fit(least, "nhub", "nother"))
+    return pairs.select("hub", F.col("other").alias("node")).distinct()
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, least: float = SIMILARITY,
     tables: int = TABLES, shingle: int = SHINGLE,
@@ -220,9 +325,14 @@ def near_copies(
     the same words stay apart. Groups are the components of the confirmed links.
     ``copy_of`` is the smallest id of the group; ``kept`` marks one row per group.
 
+    Bits of a hash miss some pairs, and a link to one text of a fingerprint says
+    nothing of the others. So that none is lost, texts then also meet under their
+    rarest shingles (see :func:`prefix`: any two alike by ``least`` share one), and
+    every two of different groups that do are compared. ``STARS`` rounds with one
+    text per shingle go before, which leave few such pairs in a large group.
+
     Texts with equal words in a row (letter case aside) are one text throughout: a
-    group of copies is one row after a map-side aggregation. Texts that share a
-    fingerprint link to one of them, never among each other. Texts without words are
+    group of copies is one row after a map-side aggregation. Texts without words are
     copies of one another. Null ids count only where a group has no other. Input
     columns named like a result column are replaced; ``carry`` names those to keep.
     """
@@ -235,8 +345,11 @@ def near_copies(
             got = [signature(t, tables, shingle) for t in batch]
             yield pd.DataFrame({"key": [g[0] for g in got], "prints": [g[1] for g in got], "sketch": [g[2] for g in got]})
 
-    signed = docs.select(*[F.col(f"`{c}`") for c in wanted], F.col(f"`{id_col}`").alias("__id"), sign(F.col(f"`{text_col}`")).alias("__s"))
-    signed = numbered(signed.select(*[F.col(f"`{c}`") for c in wanted], "__id", "__s.*"), "copies")
+    # The text is read again for its shingles, under its own name where the result has it too.
+    text = [] if text_col in wanted else [F.col(f"`{text_col}`").alias("__text")]
+    signed = docs.select(*[F.col(f"`{c}`") for c in wanted], F.col(f"`{id_col}`").alias("__id"), sign(F.col(f"`{text_col}`")).alias("__s"), *text)
+    signed = numbered(signed.select(*[F.col(f"`{c}`") for c in wanted], "__id", "__s.*", *[F.col("__text") for _ in text]), "copies")
+    words = F.col("__text" if text else f"`{text_col}`")
     head = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
     texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
     nodes = texts.select(F.col("head.row").alias("node"), "s.prints")
@@ -251,10 +364,26 @@ def near_copies(
         pairs = same.union(near) if pairs is None else pairs.union(same).union(near)
     pairs = staged(pairs.distinct(), "copies-pairs")
     sketches = texts.select(F.col("head.row").alias("of"), "s.sketch")
-    left = sketches.select(F.col("of").alias("hub"), F.col("sketch").alias("x"))
-    right = sketches.select(F.col("of").alias("node"), F.col("sketch").alias("y"))
-    alike = pairs.join(left, "hub").join(right, "node").filter(similarity(F.col("x"), F.col("y")) >= least)
-    parts = components(staged(alike.select(F.col("hub").alias("a"), F.col("node").alias("b")), "copies-alike"), "copies")
+
+    def confirmed(found: DataFrame, label: str) -> DataFrame:
+        left = sketches.select(F.col("of").alias("hub"), F.col("sketch").alias("x"))
+        right = sketches.select(F.col("of").alias("node"), F.col("sketch").alias("y"))
+        alike = found.join(left, "hub").join(right, "node").filter(similarity(F.col("x"), F.col("y")) >= least)
+        return staged(alike.select(F.col("hub").alias("a"), F.col("node").alias("b")), f"copies-{label}")
+
+    links = confirmed(pairs, "alike")
+    parts = components(links, "copies")
+    tokens = staged(_tokens(signed, nodes.select("node"), words, least, shingle), "copies-tokens")
+    # Where pairs of one token are too many to look at, most are of one component after the stars.
+    for turn in range(STARS + 1):
+        member = nodes.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+        member = member.select("node", F.coalesce("component", "node").alias("part"))
+        apart = staged(_apart(tokens, member), f"copies-apart-{turn}")
+        met = staged(_stars(apart, turn, least) if turn < STARS else _all_pairs(apart, least), f"copies-met-{turn}")
+        more = confirmed(met, f"alike-{turn}")
+        if more.limit(1).count():
+            links = links.union(more)
+            parts = components(links, f"copies-{turn}")
     named = staged(
         texts.join(parts, F.col("head.row") == parts["node"], "left").select("key", "head", F.coalesce("component", "head.row").alias("part")), "copies-parts"
     )

@@ -156,3 +156,38 @@ def test_equal_fingerprints_and_sketch(spark):
     assert (key, prints, sketch) == simhash.signature("a  B c\td e f g") and len(sketch) == 3
     long = " ".join(str(i) for i in range(5000))
     assert len(simhash.signature(long)[2]) == simhash.SKETCH
+
+
+def groups_of(rows, least=0.8):
+    """Smallest reachable id by comparing all pairs of texts."""
+    parts = [(i, shingles(t)) for i, t in rows]
+    first = {i: i for i, _ in rows}
+    for a, (i, x) in enumerate(parts):
+        for j, y in parts[:a]:
+            if len(x & y) >= least * len(x | y):
+                old, new = max(first[i], first[j]), min(first[i], first[j])
+                first = {k: new if v == old else v for k, v in first.items()}
+    return first
+
+
+def edited(rng, words, places):
+    """``words`` with those at ``places`` changed."""
+    out = list(words)
+    for p in places:
+        out[p] = f"x{rng.getrandbits(40):x}"
+    return " ".join(out)
+
+
+def test_copies_unlike_each_other_meet_their_original(spark):
+    rng = random.Random(23)
+    rows = []
+    for start in (0, 100):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(260)]
+        spread = [rng.sample(range(5, 255, 10), 5) for _ in range(60)]
+        texts = [edited(rng, base, places) for places in spread]
+        texts.insert(30, " ".join(base))  # the original is neither first nor last
+        rows += [(start + k, t) for k, t in enumerate(texts)]
+    want = groups_of(rows)
+    assert set(want.values()) == {0, 100} and alike(rows[0][1], rows[1][1]) < 0.8
+    out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out == want
