@@ -191,3 +191,18 @@ def test_copies_unlike_each_other_meet_their_original(spark):
     assert set(want.values()) == {0, 100} and alike(rows[0][1], rows[1][1]) < 0.8
     out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
     assert out == want
+
+
+def test_every_pair_at_the_limit_or_above_is_found(spark):
+    """Scattered edits in texts of 50 to 250 words: word-set fingerprints lie too far apart for many."""
+    rng = random.Random(31)
+    rows = []
+    for k in range(150):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(rng.randrange(50, 250))]
+        most = round(len(base) * 0.2)
+        rows.append((2 * k, " ".join(base)))
+        rows.append((2 * k + 1, edited(rng, base, range(len(base) - rng.randrange(1, most), len(base)))))
+    want = groups_of(rows)
+    assert 50 < sum(want[i] != i for i in want) < 120
+    out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out == want
