@@ -168,6 +168,9 @@ SKETCH = 256
 COUNTED = 20_000
 COMMON = 8
 STARS = 2
+# Sketches this far below the wanted similarity (8 standard errors for SKETCH at
+# 0.8) settle that a pair is not alike; all others are compared whole.
+MARGIN = 0.2
 COPY_RESULT = ("copy_of", "kept")
 
 
@@ -328,7 +331,8 @@ def near_copies(
     Bits of a hash miss some pairs, and a link to one text of a fingerprint says
     nothing of the others. So that none is lost, texts then also meet under their
     rarest shingles (see :func:`prefix`: any two alike by ``least`` share one), and
-    every two of different groups that do are compared. ``STARS`` rounds with one
+    every two of different groups that do are compared, by their whole sets of
+    shingles unless their sketches are far apart. ``STARS`` rounds with one
     text per shingle go before, which leave few such pairs in a large group.
 
     Texts with equal words in a row (letter case aside) are one text throughout: a
@@ -365,10 +369,22 @@ def near_copies(
     pairs = staged(pairs.distinct(), "copies-pairs")
     sketches = texts.select(F.col("head.row").alias("of"), "s.sketch")
 
+    @F.pandas_udf("array<long>")
+    def every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([whole(t, shingle) for t in batch])
+
     def confirmed(found: DataFrame, label: str) -> DataFrame:
+        """Links ``(a, b)`` between the pairs whose whole shingle sets are alike."""
         left = sketches.select(F.col("of").alias("hub"), F.col("sketch").alias("x"))
         right = sketches.select(F.col("of").alias("node"), F.col("sketch").alias("y"))
-        alike = found.join(left, "hub").join(right, "node").filter(similarity(F.col("x"), F.col("y")) >= least)
+        likely = found.join(left, "hub").join(right, "node").filter(similarity(F.col("x"), F.col("y")) >= least - MARGIN)
+        likely = staged(likely.select("hub", "node"), f"copies-likely-{label}")
+        asked = staged(likely.select(F.col("hub").alias("of")).union(likely.select("node")).distinct(), f"copies-asked-{label}")
+        sets = staged(signed.join(asked, F.col("__row") == F.col("of")).select("of", every(words).alias("set")), f"copies-sets-{label}")
+        left, right = sets.select(F.col("of").alias("hub"), F.col("set").alias("x")), sets.select(F.col("of").alias("node"), F.col("set").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        alike = likely.join(left, "hub").join(right, "node").filter(both / (F.size("x") + F.size("y") - both) >= least)
         return staged(alike.select(F.col("hub").alias("a"), F.col("node").alias("b")), f"copies-{label}")
 
     links = confirmed(pairs, "alike")

@@ -206,3 +206,18 @@ def test_every_pair_at_the_limit_or_above_is_found(spark):
     assert 50 < sum(want[i] != i for i in want) < 120
     out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
     assert out == want
+
+
+def test_long_texts_are_compared_whole(spark):
+    """Texts with more shingles than a sketch holds, similarities just under and just over the limit."""
+    rng = random.Random(37)
+    rows = []
+    for k in range(60):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(1004)]  # 1,000 shingles
+        n = 111 + (-1) ** k * rng.randrange(1, 5) - 4 * (k % 2)  # 111 changed make 0.8002, 112 make 0.7986
+        rows.append((2 * k, " ".join(base)))
+        rows.append((2 * k + 1, edited(rng, base, range(1004 - n, 1004))))
+    want = groups_of(rows)
+    assert 20 <= sum(want[i] != i for i in want) <= 40
+    out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out == want
