@@ -24,6 +24,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+# ASCII letters (in lower case) and digits, and all bytes of characters from U+0080 on; the rest parts terms.
+_TERM_BYTES = bytes(
+    b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256)
+)
+
+
+def ascii_terms(text: str | None) -> list[bytes]:
+    """The terms of a text in order, as UTF-8: runs of ASCII letters, digits and other characters from U+0080 on."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_TERM_BYTES).split()
+
+
 _MADE: dict[str, list[str]] = {}
 
 

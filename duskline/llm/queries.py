@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, search, simhash, suffix_dedup
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,6 +222,39 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_removed_lines", F.sha2(common.text_of("text"), 256).alias("text_sha256"))
 
 
+@query(
+    "op11_search",
+    r"""
+    WITH d AS (
+        SELECT doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+    ), words AS (
+        SELECT doc_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+    postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM postings, totals GROUP BY term
+    ), asked AS (
+        SELECT DISTINCT item_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+        FROM (SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    ), scored AS (
+        SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // totals.words)))) AS BIGINT) AS score
+        FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+        GROUP BY item_id, doc_id
+    ), ranked AS (
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = common.table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return search.search(docs, items)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
