@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, search, simhash, suffix_dedup
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, search, simhash, suffix_dedup, toxicity
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,6 +255,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(docs, items)
 
 
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels)
+    return toxicity.classify(docs, model, carry=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
