@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, search, simhash, suffix_dedup, toxicity
+from duskline.llm import chat, classifier, common, exact_dedup, html_text, line_dedup, mixing, packing, prefix_trie, quality_rules, search, simhash, suffix_dedup, toxicity
 from duskline.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -263,6 +263,50 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, model, carry=["doc_id"]).select("doc_id", "held_out", "score", "predicted")
 
 
+@query(
+    "op13_prefix_trie",
+    """
+    WITH ordered AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+            sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), digits AS (
+        SELECT conv_id, [4294967295] || flatten([[ascii(x), 0, 0, 0, 0, 0, 0, 0] for x in string_split(CAST(conv_id AS VARCHAR), '')]) AS steps
+        FROM (SELECT DISTINCT conv_id FROM ordered)
+    ), crc AS (
+        SELECT conv_id, xor(4294967295, list_reduce(CAST(steps AS BIGINT[]),
+            lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) % 9 AS h FROM digits
+    ), seqs AS (
+        SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY pos) AS turns FROM ordered GROUP BY conv_id
+    ), built AS (
+        SELECT s.conv_id, coalesce(b.turns[1:h], []) || s.turns[h + 1:] AS turns
+        FROM seqs s JOIN crc USING (conv_id) LEFT JOIN seqs b ON b.conv_id = s.conv_id - s.conv_id % 5
+    ), prefixes AS (
+        SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM built)
+    ), nodes AS (
+        SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+            coalesce(strlen(path[-1].t), 0) AS size,
+            sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM prefixes GROUP BY d, path
+    ), children AS (
+        SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+    ), valued AS (
+        SELECT n.*, coalesce(c.n, 0) AS n_children, (n_convs - 1) * size AS saved FROM nodes n LEFT JOIN children c ON n.d = c.d AND n.path = c.path
+    ), sums AS (
+        SELECT a.d, a.path, count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens
+        FROM (SELECT d, path, unnest(range(d + 1)) AS up, n_children, saved FROM valued) b
+        JOIN valued a ON a.d = b.up AND a.path = b.path[1:b.up] GROUP BY a.d, a.path
+    )
+    SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+    FROM valued v JOIN sums s ON v.d = s.d AND v.path = s.path LEFT JOIN valued p ON p.d = v.d - 1 AND p.path = v.path[1:v.d - 1]
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.rebuilt_trie(turns)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
