@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duskline.llm.common import ascii_terms, bounded_batches, text_of, without
+from duskline.llm.common import ascii_terms, bounded_batches, staged, text_of, without
 
 # Learned from at most this many labelled rows, none longer than LONGEST code points,
 # chosen by a hash of their id: the only bound, and one of the fit alone. All is scored.
@@ -67,38 +67,14 @@ class FactorizationMachine:
         return float(self.bias + self.weights[at].sum() + 0.5 * (total @ total - (f * f).sum()))
 
 
-def likelihood_ratio(one: np.ndarray, zero: np.ndarray, ones: int, zeros: int) -> np.ndarray:
-    """How far (G squared) the rows of each class that hold a term depart from chance."""
-    def part(seen, expected):
-        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
-
-    total, held = ones + zeros, one + zero
-    return 2 * (
-        part(one, held * ones / total) + part(zero, held * zeros / total)
-        + part(ones - one, (total - held) * ones / total) + part(zeros - zero, (total - held) * zeros / total)
-    )
-
-
-def train(bags: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> FactorizationMachine:
-    """Choose the terms, then stochastic gradient descent on the logistic loss with a step per parameter."""
+def train(terms: np.ndarray, places: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, rate: float = RATE,
+          seed: int = 1) -> FactorizationMachine:
+    """Stochastic gradient descent on the logistic loss with a step per parameter, over rows of places in ``terms``."""
     target = np.asarray(labels, dtype=np.float64)
     ones, zeros = int(target.sum()), int(len(target) - target.sum())
     if not ones or not zeros:  # nothing to tell apart
         bias = 0.0 if not len(target) else float(np.log((ones + 0.5) / (zeros + 0.5)))
         return FactorizationMachine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), bias)
-    every = np.concatenate([*bags, np.zeros(0, np.int64)])
-    terms, at = np.unique(every, return_inverse=True)
-    of = np.repeat(target, [len(b) for b in bags])
-    one = np.bincount(at, weights=of, minlength=len(terms))
-    zero = np.bincount(at, minlength=len(terms)) - one
-    ratio = likelihood_ratio(one, zero, ones, zeros)
-    able = np.flatnonzero((one + zero >= max(LEAST_ROWS, LEAST_SHARE * len(target))) & (ratio >= LEAST_RATIO))
-    able = np.sort(able[np.lexsort((terms[able], -ratio[able]))][:MOST_TERMS])
-    terms = terms[able]
-    places = []
-    for b in bags:
-        at = np.minimum(np.searchsorted(terms, b), max(len(terms) - 1, 0))
-        places.append(np.sort(at[terms[at] == b]) if len(terms) else np.zeros(0, np.int64))
     rng = np.random.default_rng(seed)
     w, v, bias = np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), FACTORS)), float(np.log(ones / zeros))
     gw, gv, gb = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
@@ -125,13 +101,27 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % 3 == 1, F.lit(False))
 
 
+def _likelihood_ratio(ones: int, zeros: int) -> Column:
+    """How far (G squared) the rows of each class with and without a term (``one``, ``zero``) depart from chance."""
+    total, held = float(ones + zeros), F.col("one") + F.col("zero")
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    return 2 * (
+        part(F.col("one"), held * ones / total) + part(F.col("zero"), held * zeros / total)
+        + part(ones - F.col("one"), (total - held) * ones / total) + part(zeros - F.col("zero"), (total - held) * zeros / total)
+    )
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         sample: int = SAMPLE) -> FactorizationMachine:
     """Learn from at most ``sample`` labelled rows that are not held out.
 
-    Rows with a null id or label do not count, nor texts over ``LONGEST``. Only the terms
-    of the chosen rows reach the driver. Without a row of each class the score is the
-    same for all texts. Repeated rows are learned as often as they stand, up to ``sample``.
+    Terms are counted and chosen where the rows are; the driver gets the chosen ones, at
+    most ``MOST_TERMS``, and their places in the sample. Rows with a null id or label do not
+    count, nor texts over ``LONGEST``. Without a row of each class the score is the same for
+    all texts. Repeated rows are learned as often as they stand, up to ``sample``.
     """
     bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(
@@ -146,9 +136,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pd.Series([np.sort(features(t)) for t in batch])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), text_of(text_col).alias("__text")).filter(F.length("__text") <= LONGEST)
-    got = rows.join(chosen, "__id").select("__id", "__label", bag("__text").alias("bag"))
-    got = got.orderBy(F.xxhash64("__id"), "__id", "__label", "bag").limit(sample).toPandas()  # ids may repeat
-    return train([np.asarray(b, np.int64) for b in got["bag"]], got["__label"].tolist())
+    bags = rows.join(chosen, "__id").select(F.col("__id").alias("id"), F.col("__label").alias("label"), bag("__text").alias("bag"))
+    bags = staged(bags.withColumn("row", F.monotonically_increasing_id()), "toxicity-bags")
+    # Ids may repeat: the first rows by narrow keys, which also order the learning.
+    keys = bags.select("row", F.xxhash64("id").alias("by"), F.col("id").alias("of"), F.xxhash64("bag").alias("sum"))
+    first = F.broadcast(keys.orderBy("by", "of", "sum", "row").limit(sample))
+    bags = bags.join(first, "row")
+    sizes = bags.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones")).first()
+    ones, zeros = int(sizes["ones"]), int(sizes["rows"] - sizes["ones"])
+    if not ones or not zeros:
+        return train(np.zeros(0, np.int64), [], [0] * zeros + [1] * ones)
+    single = bags.select("row", "label", F.explode("bag").alias("term"))
+    counts = single.groupBy("term").agg(F.sum("label").alias("one"), F.sum(1 - F.col("label")).alias("zero"))
+    counts = counts.filter(F.col("one") + F.col("zero") >= max(LEAST_ROWS, LEAST_SHARE * (ones + zeros)))
+    counts = counts.withColumn("ratio", _likelihood_ratio(ones, zeros)).filter(F.col("ratio") >= LEAST_RATIO)
+    terms = np.sort(counts.orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term").toPandas()["term"].to_numpy(np.int64))
+    numbered = docs.sparkSession.createDataFrame(pd.DataFrame({"term": terms, "place": np.arange(len(terms))}), "term long, place long")
+    held = single.join(F.broadcast(numbered), "term").groupBy("row").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    got = bags.select("row", "label", "by", "of", "sum").join(held, "row", "left").orderBy("by", "of", "label", "sum", "row")
+    got = got.select("label", "places").collect()
+    return train(terms, [np.array(r["places"] or [], np.int64) for r in got], [r["label"] for r in got])
 
 
 class _Scorer:
