@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -163,11 +162,14 @@ TABLES = 3
 SIMILARITY = 0.8
 SHINGLE = 5
 SKETCH = 256
-# Texts whose shingles are counted to tell common from rare, and from how many on
-# a shingle is common. Both only shape the order of shingles, never the result.
-COUNTED = 20_000
-COMMON = 8
-STARS = 2
+# Keys a text has besides its fingerprints, each of KEY_HASHES least hashes of its shingles:
+# two texts alike by 0.8 have none in common once in 300,000 times. Keys are met in
+# these groups, a few first, so that large groups are one by the time the others are.
+KEYS = 32
+KEY_HASHES = 5
+ROUNDS = (4, 12, 16)
+# Hubs per key in each of the rounds that follow.
+HUBS = 8
 # Sketches this far below the wanted similarity (8 standard errors for SKETCH at
 # 0.8) settle that a pair is not alike; all others are compared whole.
 MARGIN = 0.2
@@ -201,26 +203,24 @@ def whole(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(_cut(words, shingle).view(np.int64)) if words else np.zeros(0, dtype=np.int64)
 
 
-def prefix(text: str | None, least: float, heavy: np.ndarray, weight: np.ndarray, shingle: int = SHINGLE) -> tuple[int, np.ndarray]:
-    """Number of distinct shingles, and the rarest of them, of which two texts alike by ``least`` share one.
+_FACTORS = _salted(np.arange(1, KEYS * KEY_HASHES + 1, dtype=np.uint64), 7) | np.uint64(1)
 
-    Two sets alike by ``least`` have at least ``ceil(least * n)`` members in common,
-    whichever of the two has n. In one order of all shingles, then, the first
-    ``n - ceil(least * n) + 1`` of either set have a member in common. Any order
-    will do; ``heavy`` (sorted) with ``weight`` puts common ones last.
-    """
-    parts = whole(text, shingle)
-    n = len(parts)
-    if not n:
-        return 0, parts
-    if len(heavy):
-        at = np.minimum(np.searchsorted(heavy, parts), len(heavy) - 1)
-        parts = parts[np.lexsort((parts, np.where(heavy[at] == parts, weight[at], 0)))]
-    return n, parts[: n - math.ceil(least * n - 1e-9) + 1]
+
+def least_keys(parts: np.ndarray) -> np.ndarray:
+    """``KEYS`` keys of a set of shingle hashes, each of its ``KEY_HASHES`` least values under as many hash functions."""
+    if not len(parts):
+        return np.zeros(0, dtype=np.int64)
+    least = np.full(KEYS * KEY_HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for a in range(0, len(parts), 1024):  # in pieces, for very long texts
+        least = np.minimum(least, (parts[a : a + 1024, None].view(np.uint64) * _FACTORS[None, :]).min(axis=0))
+    keys = np.arange(1, KEYS + 1, dtype=np.uint64)
+    for column in least.reshape(KEYS, KEY_HASHES).T:
+        keys = _salted(keys ^ column, 1)
+    return keys.view(np.int64)
 
 
-def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int]]:
-    """Key of the word sequence, fingerprints of the set of words (one per table), and the sketch of the word shingles.
+def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int], list[int]]:
+    """Key of the word sequence, fingerprints of the set of words (one per table), sketch and keys of the word shingles.
 
     The sketch holds the ``SKETCH`` smallest shingle hashes; a text with no more
     distinct shingles is in it whole.
@@ -229,15 +229,16 @@ def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) ->
     line = b" ".join(words)
     key = xxhash.xxh3_128_hexdigest(line)
     if not words:
-        return key, [0] * tables, []
+        return key, [0] * tables, [], []
     hashed = xxhash.xxh64_intdigest
     single = np.array([hashed(w, SEED) for w in set(words)], dtype=np.uint64)
     prints = []
     for table in range(tables):
         ones = 2 * _votes(_salted(single, table)) > len(single)
         prints.append(int(np.packbits(ones, bitorder="little").view(np.int64)[0]))
-    parts = np.unique((_cut(words, shingle) & np.uint64(0x7FFFFFFF)).astype(np.int32))
-    return key, prints, parts[:SKETCH].tolist()
+    parts = np.unique(_cut(words, shingle))
+    small = np.unique((parts & np.uint64(0x7FFFFFFF)).astype(np.int32))
+    return key, prints, small[:SKETCH].tolist(), least_keys(parts).tolist()
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -247,72 +248,24 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(F.size(least) == 0, 1.0).otherwise(both / F.size(least))
 
 
-def _heavy(texts: DataFrame, text: Column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (sorted) that are common among some ``COUNTED`` texts, and how common."""
-
-    @F.pandas_udf("array<long>")
-    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([whole(t, shingle) for t in batch])
-
-    every = max(1, texts.count() // COUNTED)
-    some = texts.filter(F.pmod(F.xxhash64("__row"), F.lit(every)) == 0)
-    counts = some.select(F.explode(shingles(text)).alias("h")).groupBy("h").count().filter(F.col("count") >= COMMON)
-    found = counts.toPandas().sort_values("h")
-    return found["h"].to_numpy(dtype=np.int64), found["count"].to_numpy(dtype=np.int64)
-
-
-def _tokens(rows: DataFrame, nodes: DataFrame, text: Column, least: float, shingle: int) -> DataFrame:
-    """``(token, node, n)``: the prefix of each node's shingles, where two nodes or more have the token."""
-    common = rows.sparkSession.sparkContext.broadcast(_heavy(rows, text, shingle))
-
-    @F.pandas_udf("n int, tokens array<long>")
-    def rare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        heavy, weight = common.value
-        for batch in batches:
-            got = [prefix(t, least, heavy, weight, shingle) for t in batch]
-            yield pd.DataFrame({"n": [g[0] for g in got], "tokens": [g[1] for g in got]})
-
-    got = rows.select("__row", rare(text).alias("p")).join(nodes, F.col("__row") == F.col("node"))
-    got = got.select(F.explode("p.tokens").alias("token"), "node", "p.n")
-    met = Window.partitionBy("token")
-    got = got.withColumn("low", F.min("node").over(met)).withColumn("high", F.max("node").over(met))
-    return got.filter("low <> high").select("token", "node", "n")
-
-
-def _fit(least: float, a: str, b: str) -> Column:
-    """Whether sets of ``a`` and ``b`` members can be alike by ``least``."""
-    return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
-
+def _meetings(shared: DataFrame, member: DataFrame, turns: list[int]) -> DataFrame:
+    """Pairs ``(hub, node)`` of texts of different groups that share a key.
 
-def _apart(tokens: DataFrame, member: DataFrame) -> DataFrame:
-    """Tokens, with the component (``part``) of each node, where nodes of two components or more meet."""
-    met = Window.partitionBy("token")
-    here = tokens.join(member, "node").withColumn("low", F.min("part").over(met)).withColumn("high", F.max("part").over(met))
-    return here.filter("low <> high").drop("low", "high")
-
-
-def _stars(apart: DataFrame, turn: int, least: float) -> DataFrame:
-    """Pairs of one node per token with the others of it outside its component: as many at most as there are rows.
-
-    First the node that meets most: an original meets its copies in all its prefix,
-    an edited copy has rare shingles of its own there. Then a different one per token.
+    Of each group under a key one text stands for it, and the groups' texts are paired with
+    one of them, the hub: fewer pairs than rows, however many texts have the key. In turn 0
+    both are texts that meet most others: an original meets all its copies, which may be
+    unlike each other. Other turns choose by a hash.
     """
-    met = Window.partitionBy("token")
-    lead = F.xxhash64("token", "node", F.lit(turn))
-    if not turn:
-        apart = apart.join(apart.groupBy("node").agg(F.count(F.lit(1)).alias("meets")), "node")
-        lead = F.col("meets")
-    apart = apart.withColumn("hub", F.max(F.struct(lead.alias("lead"), F.col("node"), F.col("part"), F.col("n"))).over(met))
-    pairs = apart.filter((F.col("part") != F.col("hub.part")) & _fit(least, "n", "hub.n"))
-    return pairs.select(F.least("hub.node", "node").alias("hub"), F.greatest("hub.node", "node").alias("node")).distinct()
-
-
-def _all_pairs(apart: DataFrame, least: float) -> DataFrame:
-    """Every pair of nodes of two components that share a token."""
-    a, b = (apart.select("token", F.col("node").alias(x), F.col("part").alias(f"p{x}"), F.col("n").alias(f"n{x}")) for x in ("hub", "other"))
-    pairs = a.join(b, "token").filter((F.col("hub") < F.col("other")) & (F.col("phub") != F.col("pother")) & _fit(least, "nhub", "nother"))
-    return pairs.select("hub", F.col("other").alias("node")).distinct()
+    here = shared.join(member, "node").select("key", "part", "node", "meets")
+    apart = here.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    here = here.join(apart.select("key"), "key", "left_semi").withColumn("turn", F.explode(F.array(*[F.lit(t) for t in turns])))
+    rank = F.when(F.col("turn") == 0, -F.col("meets")).otherwise(F.xxhash64("node", "turn"))
+    one = F.min(F.struct(rank.alias("by"), F.col("node")))
+    here = here.groupBy("key", "turn", "part").agg(one.alias("one")).select("key", "turn", "part", "one")
+    rank = F.when(F.col("turn") == 0, F.col("one.by")).otherwise(F.xxhash64("part", "turn"))
+    hubs = here.groupBy("key", "turn").agg(F.min(F.struct(rank.alias("by"), F.col("one.node").alias("node"), F.col("part"))).alias("hub"))
+    met = here.join(hubs, ["key", "turn"]).filter(F.col("part") != F.col("hub.part"))
+    return met.select(F.least("hub.node", "one.node").alias("hub"), F.greatest("hub.node", "one.node").alias("node")).distinct()
 
 
 def near_copies(
@@ -328,12 +281,11 @@ def near_copies(
     the same words stay apart. Groups are the components of the confirmed links.
     ``copy_of`` is the smallest id of the group; ``kept`` marks one row per group.
 
-    Bits of a hash miss some pairs, and a link to one text of a fingerprint says
-    nothing of the others. So that none is lost, texts then also meet under their
-    rarest shingles (see :func:`prefix`: any two alike by ``least`` share one), and
-    every two of different groups that do are compared, by their whole sets of
-    shingles unless their sketches are far apart. ``STARS`` rounds with one
-    text per shingle go before, which leave few such pairs in a large group.
+    Bits of a hash miss some pairs, and a link to one text of a fingerprint says nothing
+    of the others. So texts then also meet under ``KEYS`` keys of least shingle hashes, of
+    which two alike by 0.8 share ten on average. Only texts that are not yet of one group
+    are paired, one per group and key with a few hubs, in rounds until one over all keys links no more.
+    All that meets is compared by whole sets of shingles, unless the sketches are far apart.
 
     Texts with equal words in a row (letter case aside) are one text throughout: a
     group of copies is one row after a map-side aggregation. Texts without words are
@@ -343,11 +295,11 @@ def near_copies(
     wanted = [c for c in (carry if carry is not None else docs.columns) if c.lower() not in COPY_RESULT]
     bounded_batches(docs.sparkSession)
 
-    @F.pandas_udf("key string, prints array<long>, sketch array<int>")
+    @F.pandas_udf("key string, prints array<long>, sketch array<int>, keys array<long>")
     def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             got = [signature(t, tables, shingle) for t in batch]
-            yield pd.DataFrame({"key": [g[0] for g in got], "prints": [g[1] for g in got], "sketch": [g[2] for g in got]})
+            yield pd.DataFrame({"key": [g[0] for g in got], "prints": [g[1] for g in got], "sketch": [g[2] for g in got], "keys": [g[3] for g in got]})
 
     # The text is read again for its shingles, under its own name where the result has it too.
     text = [] if text_col in wanted else [F.col(f"`{text_col}`").alias("__text")]
@@ -355,7 +307,7 @@ def near_copies(
     signed = numbered(signed.select(*[F.col(f"`{c}`") for c in wanted], "__id", "__s.*", *[F.col("__text") for _ in text]), "copies")
     words = F.col("__text" if text else f"`{text_col}`")
     head = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
+    texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch", "keys"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
     nodes = texts.select(F.col("head.row").alias("node"), "s.prints")
     pairs = None
     for table in range(tables):
@@ -389,17 +341,31 @@ def near_copies(
 
     links = confirmed(pairs, "alike")
     parts = components(links, "copies")
-    tokens = staged(_tokens(signed, nodes.select("node"), words, least, shingle), "copies-tokens")
-    # Where pairs of one token are too many to look at, most are of one component after the stars.
-    for turn in range(STARS + 1):
+    tested = pairs
+    keyed = texts.select(F.col("head.row").alias("node"), F.posexplode("s.keys").alias("no", "key"))
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    keyed = staged(keyed.join(several, "key"), "copies-met")
+    meets = keyed.groupBy("node").agg(F.sum("n").alias("meets"))
+    shared = staged(keyed.drop("n").join(meets, "node"), "copies-keys")
+    turn, first = 0, 0
+    while True:
+        here = shared
+        if turn < len(ROUNDS):
+            here = shared.filter((F.col("no") >= first) & (F.col("no") < first + ROUNDS[turn]))
+            first += ROUNDS[turn]
         member = nodes.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
         member = member.select("node", F.coalesce("component", "node").alias("part"))
-        apart = staged(_apart(tokens, member), f"copies-apart-{turn}")
-        met = staged(_stars(apart, turn, least) if turn < STARS else _all_pairs(apart, least), f"copies-met-{turn}")
+        met = _meetings(here, member, [0] if turn < len(ROUNDS) else [HUBS * turn + i for i in range(HUBS)])
+        met = staged(met.join(tested, ["hub", "node"], "left_anti"), f"copies-met-{turn}")
         more = confirmed(met, f"alike-{turn}")
-        if more.limit(1).count():
+        found = more.limit(1).count()
+        if found:
             links = links.union(more)
             parts = components(links, f"copies-{turn}")
+        elif turn >= len(ROUNDS):
+            break
+        tested = tested.union(met)
+        turn += 1
     named = staged(
         texts.join(parts, F.col("head.row") == parts["node"], "left").select("key", "head", F.coalesce("component", "head.row").alias("part")), "copies-parts"
     )

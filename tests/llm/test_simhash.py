@@ -152,8 +152,9 @@ def test_near_copies_are_found_and_clean_texts_stay(spark):
 
 
 def test_equal_fingerprints_and_sketch(spark):
-    key, prints, sketch = simhash.signature("A b c d e f g")
-    assert (key, prints, sketch) == simhash.signature("a  B c\td e f g") and len(sketch) == 3
+    key, prints, sketch, keys = simhash.signature("A b c d e f g")
+    assert (key, prints, sketch, keys) == simhash.signature("a  B c\td e f g") and len(sketch) == 3
+    assert len(set(keys)) == simhash.KEYS
     long = " ".join(str(i) for i in range(5000))
     assert len(simhash.signature(long)[2]) == simhash.SKETCH
 
