@@ -4,54 +4,39 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql.streaming import StreamingQuery
+
 from duskline.operators.matching import crosswalk_family
 from duskline.plans import bronze, gold, quality, silver
 from duskline.plans.bronze import Origin
 from duskline.session import staged
 from duskline.sinks.tables import TableStore
-from duskline.sources import landing, reference
+from duskline.sources import reference
+from duskline.streaming import incremental
 
 KEEP = ("first_seen_at",)
 
 
-def _unread(store: TableStore, path: str, name: str, read, multiline: bool):
-    """The rows of the files that table ``name`` has not loaded; None where it knows them all.
-
-    Known files are told by the listing, so they are not opened again. A landing
-    zone without rows raises at the first load.
-    """
-    loaded = store.read(name) if store.exists(name) else None
-    files = landing.new_files(store.spark, path, loaded)
-    if loaded is None:
-        return quality.require_rows(read(store.spark, files or path, multiline), path)
-    return read(store.spark, files, multiline) if files else None
+def _load(store: TableStore, run: StreamingQuery, path: str, name: str) -> None:
+    """Wait for a stream that fills table ``name``. A landing zone without rows raises at the first load."""
+    run.awaitTermination()
+    quality.require_rows(store.read(name) if store.exists(name) else store.spark.range(0), path)
 
 
 def load_inventory(store: TableStore, path: str, run_ts, origin: Origin = Origin(), multiline: bool = True) -> None:
-    """Append the snapshots that have not been loaded yet to the four raw tables."""
-    snapshots = _unread(store, path, "brz_azure_resource_raw", landing.read_snapshots, multiline)
-    if snapshots is None:
-        return
-    # The JSON is parsed once; the four tables start from the staged columns.
-    fresh = staged(bronze.bronze_metadata(snapshots, run_ts, origin), "fresh-inventory")
-    if fresh.isEmpty():
-        return
-    store.append(bronze.cloud_accounts(fresh, run_ts, origin, path), "brz_inventory_cloud_raw")
-    store.append(bronze.flatten_resource(fresh), "brz_azure_resource_flat")
-    store.append(bronze.resource_tags(fresh), "brz_inventory_tag_raw")
-    # Written last: its source_path column is what marks a file as loaded. A run
-    # that died before this point is repeated, and silver keeps one row per key.
-    store.append(bronze.resource_raw(fresh), "brz_azure_resource_raw")
+    """Load the snapshots that have not been loaded yet into the four raw tables.
+
+    The stream's log, below the store, knows the loaded files; new ones come in numbered
+    batches. A load that dies is run again: its batches replace what they had written.
+    """
+    run = incremental.stream_inventory(store, path, f"{store.root}/_streams/inventory", run_ts, origin, multiline)
+    _load(store, run, path, "brz_azure_resource_raw")
 
 
 def load_notices(store: TableStore, path: str, run_ts, origin: Origin = Origin(), multiline: bool = True) -> None:
-    """Append notices from files that have not been loaded yet."""
-    landed = _unread(store, path, "brz_deprecation_raw", landing.read_notices, multiline)
-    if landed is None:
-        return
-    fresh = staged(landed, "fresh-notices")
-    if not fresh.isEmpty():
-        store.append(bronze.notice_bronze(fresh, run_ts, origin), "brz_deprecation_raw")
+    """Load notices from files that have not been loaded yet, as :func:`load_inventory`."""
+    run = incremental.stream_raw_notices(store, path, f"{store.root}/_streams/notices", run_ts, origin, multiline)
+    _load(store, run, path, "brz_deprecation_raw")
 
 
 def conform_inventory(store: TableStore, run_ts, origin: Origin = Origin()) -> None:

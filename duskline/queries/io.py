@@ -10,6 +10,7 @@ from duskline.plans import bronze, feed, runs
 from duskline.queries import entities as e
 from duskline.queries.projections import landed_notices, landed_resources
 from duskline.queries.registry import query, table
+from duskline.queries.tables import landed
 from duskline.session import scratch
 from duskline.sinks import landing as landing_sink
 from duskline.sinks.tables import TableStore
@@ -369,6 +370,65 @@ def feed_notices(spark, sf):
     return feed.retirement_notices(items, "urgent|high|medium|not specified")
 
 
+@query(
+    "stream_inventory_load",
+    """
+    SELECT resource_id, resource_type, location, sku_tier, provisioning_state, subscription_id, CASE WHEN tag_env IS NULL THEN 1 ELSE 2 END AS tags,
+           tag_owner AS owner, count(*) OVER (PARTITION BY subscription_id) AS resources_of_account,
+           CASE WHEN CAST(substr(resource_id, 2) AS BIGINT) % 3 = 0 THEN 0 ELSE 1 END AS load_batch
+    FROM resource
+    """,
+)
+def stream_inventory_load(spark, sf):
+    """Snapshots land in two steps and are loaded after each; the second batch comes once more, as after a crash."""
+    root = scratch(spark, "stream-inventory")
+    store = TableStore(spark, f"{root}/tables")
+    rows = landed_resources(spark, sf).withColumn("properties", F.from_json("properties", PROPERTY_STRUCT))
+    first = F.substring("id", 2, 20).cast("long") % 3 == 0
+    for run_id, part in (("a", rows.filter(first)), ("b", rows.filter(~first))):
+        landing_sink.land_json(part.withColumn("run_id", F.lit(run_id)), f"{root}/landing", ["run_id"])
+        incremental.stream_inventory(store, f"{root}/landing", f"{root}/log", e.RUN_TS, multiline=False).awaitTermination()
+    again = landing.read_snapshots(spark, f"{root}/landing/run_id=b", multiline=False)
+    incremental.inventory_batch(store, e.RUN_TS, path=f"{root}/landing")(again, 1)
+    flat, raw = store.read("brz_azure_resource_flat"), store.read("brz_azure_resource_raw")
+    tags = store.read("brz_inventory_tag_raw").groupBy("resource_id").agg(
+        row_count("tags"), F.max(F.when(F.col("tag_key") == "Owner", F.col("tag_value"))).alias("owner")
+    )
+    accounts = store.read("brz_inventory_cloud_raw").select("subscription_id").distinct()
+    counted = raw.select(F.get_json_object("raw_payload", "$.subscription_id").alias("subscription_id")).groupBy("subscription_id")
+    counted = counted.agg(row_count("resources_of_account")).join(accounts, "subscription_id")
+    return flat.join(tags, "resource_id").join(counted, "subscription_id").select(
+        "resource_id", "resource_type", "location", "sku_tier", "provisioning_state", "subscription_id", "tags", "owner", "resources_of_account",
+        F.col("load_batch").cast("int").alias("load_batch"),
+    )
+
+
+@query(
+    "stream_notice_events",
+    """
+    SELECT sha256('microsoft|' || notice_id) AS deprecation_sk, title AS notice_title, published_at, retirement_at, status,
+           CASE WHEN title LIKE '%AKS%' THEN 'containers' WHEN title LIKE '%Web App%' THEN 'compute' WHEN title LIKE '%Cosmos%' THEN 'data'
+                WHEN title LIKE '%Blob%' THEN 'storage' WHEN title LIKE '%Key Vault%' THEN 'security' WHEN title LIKE '%DNS%' THEN 'network'
+                ELSE 'platform' END AS technology_family
+    FROM notice_base
+    """,
+)
+def stream_notice_events(spark, sf):
+    """Notices of three runs, loaded after each by the notice stream: events carry the newest file's status and dates."""
+    root = scratch(spark, "stream-notices")
+    store = TableStore(spark, f"{root}/tables")
+    rows = landed(spark, sf).drop("source_path")
+    for status in ("F", "O", "P"):
+        landing_sink.land_json(rows.filter(F.col("status") == status).withColumn("run_id", F.lit(status)), f"{root}/landing", ["run_id"])
+        run = incremental.stream_notices(store, f"{root}/landing", f"{root}/log", e.AS_OF, e.RUN_TS, multiline=False)
+        run.awaitTermination()
+    events = store.read("slv_deprecation_event")
+    return events.select(
+        "deprecation_sk", "notice_title", e.ts_text("published_at").alias("published_at"), e.ts_text("retirement_at").alias("retirement_at"),
+        "status", "technology_family",
+    )
+
+
 @query(
     "stream_incremental_load",
     "SELECT o_custkey AS asset_nk, max(o_orderkey) AS o_orderkey, count(*) > 0 AS seen FROM orders GROUP BY 1",

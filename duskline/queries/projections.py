@@ -163,7 +163,9 @@ cte(
     "landed_notice",
     """
     SELECT CASE WHEN o_totalprice < 20000 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS created,
-           'Retirement of ' || o_orderpriority || ' by customer ' || o_custkey AS title, o_orderstatus AS status,
+           'Retirement of ' || CASE o_custkey % 7 WHEN 0 THEN 'AKS' WHEN 1 THEN 'Web App' WHEN 2 THEN 'Cosmos' WHEN 3 THEN 'Blob'
+               WHEN 4 THEN 'Key Vault' WHEN 5 THEN 'DNS' ELSE 'queue' END || ' ' || o_orderpriority || ' by customer ' || o_custkey AS title,
+           o_orderstatus AS status,
            CASE WHEN o_totalprice < 450000 THEN strftime(o_orderdate + INTERVAL 200 DAY, '%Y-%m-%d') END AS retire_date,
            CASE WHEN o_totalprice < 450000 THEN CAST(year(o_orderdate + INTERVAL 200 DAY) AS BIGINT) END AS retire_year,
            'landing/' || o_orderstatus || '.json' AS source_path
@@ -175,9 +177,11 @@ cte(
 def landed_notices(spark, sf):
     later = F.col("o_orderdate") + F.expr("INTERVAL 200 DAY")
     dated = F.col("o_totalprice") < 450000
+    k = F.col("o_custkey") % 7
+    subject = e.case((k == 0, "AKS"), (k == 1, "Web App"), (k == 2, "Cosmos"), (k == 3, "Blob"), (k == 4, "Key Vault"), (k == 5, "DNS"), default="queue")
     return table(spark, sf, "orders").select(
         F.when(F.col("o_totalprice") < 20000, "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("created"),
-        F.concat(F.lit("Retirement of "), "o_orderpriority", F.lit(" by customer "), e.text("o_custkey")).alias("title"),
+        F.concat(F.lit("Retirement of "), subject, F.lit(" "), "o_orderpriority", F.lit(" by customer "), e.text("o_custkey")).alias("title"),
         F.col("o_orderstatus").alias("status"),
         F.when(dated, F.date_format(later, "yyyy-MM-dd")).alias("retire_date"),
         F.when(dated, F.year(later).cast("long")).alias("retire_year"),

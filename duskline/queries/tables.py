@@ -55,30 +55,55 @@ def stamped(df, *columns):
 
 NOTICE_TIMES = ("published_at", "retirement_at")
 SEEN = ("first_seen_at", "last_seen_at", "conformance_at")
-SEEN_SQL = ", ".join(f"'1998-01-01 00:00:00' AS {c}" for c in SEEN)
-NULLS_SQL = """CAST(NULL AS VARCHAR) AS affected_feature, CAST(NULL AS VARCHAR) AS affected_runtime,
-           CAST(NULL AS VARCHAR) AS affected_version"""
+# Notices that name a runtime, a feature or a version, by the customer in the title; scope and key follow.
+NAMED = [f"affected_{c}" for c in ("service", "feature", "runtime", "version")]
+cte(
+    "named_notice",
+    """
+    SELECT * EXCLUDE (n), CASE WHEN n % 10 = 4 THEN '' ELSE 'azure.release_communications' END AS affected_service,
+           CASE n % 5 WHEN 2 THEN 'preview ring' END AS affected_feature, CASE n % 5 WHEN 0 THEN 'Python' WHEN 1 THEN ' ' END AS affected_runtime,
+           CASE n % 5 WHEN 3 THEN '3.' || (n % 10) END AS affected_version,
+           CASE n % 5 WHEN 0 THEN 'runtime' WHEN 2 THEN 'feature' WHEN 3 THEN 'runtime' ELSE CASE WHEN n % 10 = 4 THEN 'configuration' ELSE 'service' END
+               END AS impact_scope,
+           CASE WHEN title LIKE '%AKS%' THEN 'containers' WHEN title LIKE '%Web App%' THEN 'compute' WHEN title LIKE '%Cosmos%' THEN 'data'
+                WHEN title LIKE '%Blob%' THEN 'storage' WHEN title LIKE '%Key Vault%' THEN 'security' WHEN title LIKE '%DNS%' THEN 'network'
+                ELSE 'platform' END AS technology_family
+    FROM (SELECT *, CAST(regexp_extract(title, 'customer (\\d+)', 1) AS BIGINT) AS n FROM notice_base)
+    """,
+)
 
 
+def named(spark, sf):
+    n = F.regexp_extract("title", r"customer (\d+)", 1).cast("long")
+    return base(spark, sf).withColumns(
+        {
+            "affected_service": F.when(n % 10 == 4, "").otherwise(F.col("affected_service")),
+            "affected_feature": F.when(n % 5 == 2, "preview ring"),
+            "affected_runtime": e.case((n % 5 == 0, "Python"), (n % 5 == 1, " ")),
+            "affected_version": F.when(n % 5 == 3, F.concat(F.lit("3."), e.text(n % 10))),
+        }
+    )
+
+
+SEEN_SQL = ", ".join(f"'1998-01-01 00:00:00' AS {c}" for c in SEEN)
 @query("build_notice_base", "SELECT notice_id, title, published_at, retirement_at, source_path, status, days_to_retirement FROM notice_base")
 def build_notice_base(spark, sf):
     cols = ["notice_id", "title", "published_at", "retirement_at", "source_path", "status", "days_to_retirement"]
     return stamped(base(spark, sf).select(*cols), *NOTICE_TIMES)
 
 
-@query(
-    "build_deprecation_event",
-    f"""
-    SELECT sha256('microsoft|' || notice_id) AS deprecation_sk, 'microsoft' AS vendor, notice_id, title AS notice_title,
-           'platform' AS technology_family,
-           'azure.release_communications' AS affected_service, {NULLS_SQL}, published_at, retirement_at,
-           {e.SEVERITY_SQL.format(s='status', d='days_to_retirement')} AS severity, 'service' AS impact_scope, status,
+_EVENT_SQL = f"""
+    SELECT sha256('microsoft|' || notice_id) AS deprecation_sk, 'microsoft' AS vendor, notice_id, title AS notice_title, technology_family,
+           {', '.join(NAMED)}, published_at, retirement_at,
+           {e.SEVERITY_SQL.format(s='status', d='days_to_retirement')} AS severity, impact_scope, status,
            'duskline' AS source_system, {SEEN_SQL}
-    FROM notice_base
-    """,
-)
+    FROM named_notice
+    """
+
+
+@query("build_deprecation_event", _EVENT_SQL)
 def build_deprecation_event(spark, sf):
-    return stamped(silver.deprecation_event(base(spark, sf), e.RUN_TS), *NOTICE_TIMES, *SEEN)
+    return stamped(silver.deprecation_event(named(spark, sf), e.RUN_TS), *NOTICE_TIMES, *SEEN)
 
 
 @query(
@@ -96,14 +121,14 @@ def build_source_notice(spark, sf):
 @query(
     "build_impacted_technology",
     f"""
-    SELECT sha256('azure.release_communications|na|na') AS technology_sk, 'azure.release_communications|na|na' AS technology_nk,
-           'platform' AS technology_family, 'azure.release_communications' AS affected_service, {NULLS_SQL},
+    SELECT sha256(technology_nk) AS technology_sk, technology_nk, technology_family, {', '.join(NAMED)},
            sha256('microsoft|' || notice_id) AS deprecation_sk, published_at, retirement_at, status, {SEEN_SQL}
-    FROM notice_base
+    FROM (SELECT *, concat_ws('|', {', '.join(f"coalesce({c}, 'na')" for c in ('affected_service', 'affected_runtime', 'affected_version'))})
+              AS technology_nk FROM named_notice)
     """,
 )
 def build_impacted_technology(spark, sf):
-    events = silver.deprecation_event(base(spark, sf), e.RUN_TS)
+    events = silver.deprecation_event(named(spark, sf), e.RUN_TS)
     return stamped(silver.impacted_technology(events, e.RUN_TS), *NOTICE_TIMES, *SEEN)
 
 

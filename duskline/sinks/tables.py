@@ -2,15 +2,15 @@
 
 Used where no table format with MERGE is installed. ``root/name/v=N`` is one
 version; the newest one that carries Spark's ``_SUCCESS`` marker is current, so
-an ``overwrite`` or ``upsert`` that dies half-way is never read. ``append`` and
-``upsert_slices`` write into the current version, where Spark's output committer
-moves files in place at the end of the job: run such a load again if it died
-(``upsert_slices`` gives the same rows then). One writer per table at a time.
+an ``overwrite`` that dies half-way is never read. ``append``, ``put_batch``, ``upsert``
+and ``upsert_slices`` write into the current version, where Spark's output committer
+moves files in place at the end of the job: run such a load again if it died (all
+but ``append`` give the same rows then). One writer per table at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -22,12 +22,24 @@ from duskline.sources import schemas
 # Tables that may hold no file yet (a partitioned table without rows) and so
 # need a schema to be read with.
 CONTRACTS = {"fact_deprecation_impact": schemas.FACT_IMPACT}
+# Partition columns: the batch a row was loaded by, and the hash bucket of its key, whose
+# name ends in the number of buckets. The latter is not part of a table's columns.
+BATCH = "load_batch"
+BUCKET = "bucket_of_"
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """The hash bucket of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, contracts: dict[str, StructType] | None = None):
+    """``buckets`` is for keyed tables made from now on: enough that the rows of one suit a few tasks."""
+
+    def __init__(self, spark: SparkSession, root: str, contracts: dict[str, StructType] | None = None, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.contracts = CONTRACTS if contracts is None else contracts
 
     # -- locating ---------------------------------------------------------
@@ -63,6 +75,11 @@ class TableStore:
     def read(self, name: str, evolving: bool = False) -> DataFrame:
         """The current version. ``evolving`` merges the schemas of all files, so
         columns added by later appends show; it costs a pass over every footer."""
+        stored = self._stored(name, evolving)
+        return stored.drop(*[c for c in stored.columns if c.startswith(BUCKET)])
+
+    def _stored(self, name: str, evolving: bool = False) -> DataFrame:
+        """The current version with its bucket column."""
         versions = self._versions(name)
         if not versions:
             raise LookupError(f"table {name} does not exist below {self.root}")
@@ -99,13 +116,63 @@ class TableStore:
         keys: list[str],
         keep: tuple[str, ...] = (),
         strict: bool = False,
+        unique: bool = False,
     ) -> None:
-        """Update rows with a known key, insert the others; ``keep`` columns are never updated."""
-        source = one_row_per_key(df, keys, strict=strict)
+        """Update rows with a known key, insert the others; ``keep`` columns are never updated.
+
+        A keyed table is partitioned by a hash bucket of its key. Only the buckets that ``df``
+        has keys of are read, merged and written again (Spark's dynamic partition overwrite).
+        Say ``unique`` where ``df`` already has one row per key.
+        """
+        source = df if unique else one_row_per_key(df, keys, strict=strict)
         if not self.exists(name):
-            self.overwrite(source, name)
+            self._put_buckets(source, keys, self.buckets, self._path(name, (self._versions(name) or [0])[-1] + 1))
             return
-        self.overwrite(merge_rows(self.read(name), source, keys, keep), name)
+        stored = self._stored(name)
+        column = next((c for c in stored.columns if c.startswith(BUCKET)), None)
+        if column is None or set(source.columns) - set(stored.columns):
+            # Without buckets so far, or with columns that all rows get: the whole table, as a new version.
+            merged = merge_rows(self.read(name), source, keys, keep)
+            self._put_buckets(merged, keys, self.buckets, self._path(name, self._versions(name)[-1] + 1))
+            return
+        buckets = int(column[len(BUCKET):])
+        source = staged(source, f"upsert-{name}")
+        before = self.touched_rows(name, source, keys)
+        # Spark cannot overwrite a folder it is reading, so the new buckets are staged first.
+        merged = staged(merge_rows(before, source, keys, keep), f"buckets-{name}")
+        self._put_buckets(merged, keys, buckets, self._path(name, self._versions(name)[-1]), "dynamic")
+
+    def touched_rows(self, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
+        """The rows of the buckets that hold a key of ``source``; other buckets are not read.
+
+        The list of touched buckets has one number per bucket at most, so it goes into
+        the scan as a partition filter.
+        """
+        stored = self._stored(name)
+        column = next(c for c in stored.columns if c.startswith(BUCKET))
+        numbers = source.select(bucket_of(keys, int(column[len(BUCKET):])).alias("bucket")).distinct()
+        return stored.filter(F.col(column).isin([r["bucket"] for r in numbers.collect()])).drop(column)
+
+    def _put_buckets(self, df: DataFrame, keys: list[str], buckets: int, path: str, how: str = "static") -> None:
+        """Write whole buckets; in the ``dynamic`` way those of which ``df`` has no row stay as they are."""
+        column = f"{BUCKET}{buckets}"
+        dealt = df.withColumn(column, bucket_of(keys, buckets)).hint("rebalance", column)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(column).parquet(path)
+        if how == "static":
+            # A table without rows has no file: this one keeps the columns.
+            df.limit(0).write.mode("overwrite").parquet(f"{path}/{column}=-1")
+
+    def put_batch(self, df: DataFrame, name: str, batch: int) -> None:
+        """Add the rows of a numbered load, or replace them where that load is repeated."""
+        versions = self._versions(name)
+        path = self._path(name, versions[-1] if versions else 1)
+        numbered = df.withColumn(BATCH, F.lit(batch).cast("long"))
+        if not self.exists(name):
+            # The version's marker, which Spark leaves out when it replaces parts; and, as a
+            # batch without rows leaves no file, one that keeps the columns.
+            numbered.limit(0).write.mode("overwrite").partitionBy(BATCH).parquet(path)
+            df.limit(0).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
+        numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
 
     def upsert_slices(
         self,

@@ -40,12 +40,12 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("_metadata.file_path").alias("source_path"))
 
 
-def new_files(spark: SparkSession, path: str, loaded: DataFrame | None) -> list[str]:
-    """Paths of the files below a root that ``loaded`` (with ``source_path``) does not know, for a reader to open."""
+def new_files(spark: SparkSession, path: str, loaded: DataFrame | None) -> DataFrame:
+    """(path, source_path) of the files below a root that ``loaded`` (with ``source_path``) does not know."""
     files = landed_files(spark, path)
-    if loaded is not None:
-        files = files.join(loaded.select("source_path").distinct(), "source_path", "left_anti")
-    return sorted(r["path"] for r in files.select("path").collect())
+    if loaded is None:
+        return files
+    return files.join(loaded.select("source_path").distinct(), "source_path", "left_anti").select("path", "source_path")
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:

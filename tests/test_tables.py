@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,9 +15,9 @@ from duskline.plans import feed, quality
 from duskline.plans import measures as m
 from duskline.session import scratch, staged, working_dir
 from duskline.sinks import landing as sink
-from duskline.sinks.tables import TableStore
+from duskline.sinks.tables import TableStore, bucket_of
 from duskline.sources import landing, reference, schemas
-from duskline.streaming.incremental import stream_notices
+from duskline.streaming.incremental import inventory_batch, stream_inventory, stream_notices
 
 
 @pytest.fixture
@@ -215,15 +216,101 @@ def test_affected_share_blank_rules(spark, rows):
     assert blank == 2
 
 
-def test_known_files_are_not_opened(spark, tmp_path):
+def test_new_files_are_a_frame(spark, tmp_path):
     root = tmp_path / "a landing" / "ingest_date=2026-01-01"
     write(root / "one.json", [{"title": "a", "created": "2026-01-01"}])
     first = landing.new_files(spark, str(tmp_path / "a landing"), None)
-    known = landing.read_notices(spark, first)
-    assert known.count() == 1
+    known = landing.read_notices(spark, str(tmp_path / "a landing"))
+    assert first.count() == known.count() == 1
+    known = staged(known, "known")
     write(root / "two.json", [{"title": "b", "created": "2026-01-02"}])
     fresh = landing.new_files(spark, str(tmp_path / "a landing"), known)
-    assert [f.rsplit("/", 1)[1] for f in fresh] == ["two.json"]
-    # A broken known file does no harm, as it is not read.
-    (root / "one.json").write_text("{")
-    assert [r["title"] for r in landing.read_notices(spark, fresh).collect()] == ["b"]
+    assert [r["path"].rsplit("/", 1)[1] for r in fresh.collect()] == ["two.json"]
+
+
+RESOURCE = {"id": "/r/1", "name": "a", "type": "T/x", "subscription_id": "s", "sku": {"name": "n"}, "tags": {"Env": "p", "Owner": "o"}, "properties": {}}
+RAW = ("brz_inventory_cloud_raw", "brz_azure_resource_flat", "brz_inventory_tag_raw", "brz_azure_resource_raw")
+
+
+def raw_rows(store, rows):
+    return {n: rows(store.read(n)) for n in RAW}
+
+
+def test_a_repeated_batch_changes_no_row(spark, tmp_path, store, rows, monkeypatch):
+    """The load dies between two of its four tables; its batch comes again under the same number."""
+    land, log = tmp_path / "landing", str(tmp_path / "log")
+    load = lambda: stream_inventory(store, str(land), log, "2026-01-01 00:00:00").awaitTermination()
+    write(land / "run_id=1" / "resources.json", [RESOURCE])
+    load()
+    write(land / "run_id=2" / "resources.json", [{**RESOURCE, "id": "/r/2"}, {**RESOURCE, "id": "/r/3", "tags": None}])
+    put, written = TableStore.put_batch, []
+
+    def dying(self, df, name, batch):
+        if len(written) == 2:
+            raise RuntimeError("lost")
+        written.append(name)
+        put(self, df, name, batch)
+
+    monkeypatch.setattr(TableStore, "put_batch", dying)
+    with pytest.raises(Exception, match="lost"):
+        load()
+    assert [store.read(n).count() for n in RAW] == [2, 3, 2, 1]
+    monkeypatch.setattr(TableStore, "put_batch", put)
+    load()
+    assert [store.read(n).count() for n in RAW] == [2, 3, 4, 3]
+    before = raw_rows(store, rows)
+    batch = landing.read_snapshots(spark, str(land / "run_id=2"))
+    inventory_batch(store, "2026-01-01 00:00:00", path=str(land))(batch, 1)  # once more, by hand
+    load()
+    assert raw_rows(store, rows) == before
+
+
+def test_a_load_without_tags_keeps_the_columns(spark, tmp_path, store):
+    write(tmp_path / "landing" / "resources.json", [{**RESOURCE, "tags": None}])
+    stream_inventory(store, str(tmp_path / "landing"), str(tmp_path / "log"), "2026-01-01 00:00:00").awaitTermination()
+    tags = store.read("brz_inventory_tag_raw")
+    assert tags.count() == 0 and {"resource_id", "load_batch"} <= set(tags.columns)
+
+
+def test_old_files_are_new_too(spark, tmp_path, store):
+    """A file that arrives late with an old date is loaded like any other."""
+    land, log = tmp_path / "landing", str(tmp_path / "log")
+    write(land / "a.json", [RESOURCE])
+    stream_inventory(store, str(land), log, "2026-01-01 00:00:00").awaitTermination()
+    write(land / "b.json", [{**RESOURCE, "id": "/r/2"}])
+    os.utime(land / "b.json", (1_000_000, 1_000_000))
+    stream_inventory(store, str(land), log, "2026-01-01 00:00:00").awaitTermination()
+    assert store.read("brz_azure_resource_raw").count() == 2
+
+
+def test_upsert_touches_only_buckets_with_a_key(spark, store, rows, tmp_path):
+    batch = lambda ids, v: spark.createDataFrame([(i, v, v) for i in ids], "k int, v string, first string")
+    store.upsert(batch(range(200), "1"), "t", ["k"], keep=("first",), unique=True)
+    folders = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "t").rglob("*.parquet")}
+    before = folders()
+    assert len({p.parent.name for p in before}) == 16 and store.read("t").columns == ["k", "v", "first"]
+    source = batch([7, 1000], "2")
+    touched = {r[0] for r in source.select(bucket_of(["k"], 16)).collect()}
+    plan = store.touched_rows("t", source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket_of_16" in plan
+    assert store.touched_rows("t", source, ["k"]).count() < 200
+    store.upsert(source, "t", ["k"], keep=("first",))
+    after = folders()
+    same = {p for p in before if p in after and before[p] == after[p]}
+    assert same and {int(p.parent.name.split("=")[1]) for p in before if p not in same} == touched & {int(p.parent.name.split("=")[1]) for p in before}
+    got = {r[0]: tuple(r)[1:] for r in store.read("t").collect()}
+    assert len(got) == 201 and got[7] == ("2", "1") and got[1000] == ("2", "2") and got[8] == ("1", "1")
+    store.upsert(source, "t", ["k"], keep=("first",))
+    assert {r[0]: tuple(r)[1:] for r in store.read("t").collect()} == got
+
+
+def test_upsert_takes_new_columns_null_keys_and_tables_without_buckets(spark, store, rows):
+    store.overwrite(spark.sql("SELECT 1 AS k, 'a' AS v UNION ALL SELECT NULL, 'n'"), "t")
+    store.upsert(spark.sql("SELECT CAST(NULL AS INT) AS k, 'm' AS v"), "t", ["k"])
+    assert rows(store.read("t")) == [(None, "m"), (1, "a")]
+    store.upsert(spark.sql("SELECT 2 AS k, 'b' AS v, 'x' AS more"), "t", ["k"])
+    assert rows(store.read("t")) == [(None, "m", None), (1, "a", None), (2, "b", "x")]
+    store.upsert(spark.sql("SELECT 1 AS k, 'c' AS v"), "t", ["k"])
+    assert rows(store.read("t")) == [(None, "m", None), (1, "c", None), (2, "b", "x")]
+    store.upsert(spark.sql("SELECT 1 AS k, 'c' AS v WHERE false"), "t", ["k"])
+    assert store.read("t").count() == 3
