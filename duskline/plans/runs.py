@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from duskline.operators.matching import crosswalk_family
 from duskline.plans import bronze, gold, quality, silver
 from duskline.plans.bronze import Origin
 from duskline.session import staged
-from duskline.sinks.tables import TableStore
+from duskline.sinks.tables import BATCH, TableStore
 from duskline.sources import reference
 from duskline.streaming import incremental
 
@@ -39,10 +40,24 @@ def load_notices(store: TableStore, path: str, run_ts, origin: Origin = Origin()
     _load(store, run, path, "brz_deprecation_raw")
 
 
+NEWEST = "slv_resource_newest"
+
+
+def refresh_newest(store: TableStore):
+    """The newest row of each resource, kept from run to run: only batches loaded since the last run are read.
+
+    A batch that a died run had folded in is folded in again, which changes nothing.
+    """
+    done = store.read(NEWEST).agg(F.max("seen_batch")).first()[0] if store.exists(NEWEST) else None
+    flat = store.read_batches("brz_azure_resource_flat", -2 if done is None else done)
+    if flat is not None:
+        store.fold(flat.withColumn("seen_batch", F.col(BATCH)), NEWEST, ["resource_id"], silver.newest_resource)
+    return store.read(NEWEST)
+
+
 def conform_inventory(store: TableStore, run_ts, origin: Origin = Origin()) -> None:
     """Upsert accounts, assets and technologies."""
-    # The history is reduced to one row per resource once, for assets and technologies.
-    newest = staged(silver.newest_resource(store.read("brz_azure_resource_flat", evolving=True)), "newest-resource")
+    newest = refresh_newest(store).drop("seen_batch", BATCH)
     tags = store.read("brz_inventory_tag_raw", evolving=True)
     accounts = store.read("brz_inventory_cloud_raw", evolving=True)
     store.upsert(silver.cloud_account(accounts, run_ts, origin), "slv_cloud_account", ["account_nk"], KEEP)

@@ -9,7 +9,7 @@ from duskline.functions.keys import asset_key, hash_key, technology_key
 from duskline.functions.normalize import account_environment, first_timestamp, region_name, tag_label
 from duskline.functions.risk import days_to_retirement, severity
 from duskline.functions.text import impact_scope, status_label, technology_family
-from duskline.operators.dedupe import latest_per_key
+from duskline.operators.dedupe import first_per_key, latest_per_key
 from duskline.operators.tags import pivot_tags
 from duskline.operators.technology import asset_technology
 from duskline.plans.bronze import Origin
@@ -41,16 +41,23 @@ def cloud_account(raw: DataFrame, run_ts, origin: Origin = Origin()) -> DataFram
 def newest_resource(flat: DataFrame) -> DataFrame:
     """The newest snapshot row of each resource, with its first and last snapshot times.
 
-    One aggregation over the history: each task keeps one row per resource
-    before the shuffle. A null time counts as oldest.
+    The newest row is found from its time, file and a hash, all narrow; its wide columns,
+    JSON text among them, are fetched by joining back and are in no aggregation. A null time
+    counts as oldest. Rows that are newest rows already (see :func:`runs.refresh_newest`)
+    bring the times and the batch of all they stand for.
     """
-    rest = [c for c in flat.columns if c != "resource_id"]
-    newest = flat.groupBy("resource_id").agg(
-        F.max_by(F.struct(*rest), F.struct("collected_at", "source_path")).alias("__row"),
-        F.min("collected_at").alias("first_seen_at"),
-        F.max("collected_at").alias("last_seen_at"),
-    )
-    return newest.select("resource_id", "__row.*", "first_seen_at", "last_seen_at")
+    times = ("first_seen_at", "last_seen_at", "seen_batch")
+    first, last = (c if c in flat.columns else "collected_at" for c in times[:2])
+    spans = [F.min(F.coalesce(first, "collected_at")).alias(times[0]), F.max(F.coalesce(last, "collected_at")).alias(times[1])]
+    if times[2] in flat.columns:
+        spans.append(F.max(times[2]).alias(times[2]))
+    rest = [c for c in flat.columns if c != "resource_id" and c not in times]
+    marked = flat.withColumn("__row", F.xxhash64(*rest))
+    rows = marked.select("resource_id", *rest, "__row")
+    heads = marked.groupBy(F.col("resource_id").alias("__id")).agg(F.max(F.struct("collected_at", "source_path", "__row"))["__row"].alias("__newest"), *spans)
+    found = rows.join(heads, F.col("resource_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__newest")))
+    # Only rows that repeat in full are left over.
+    return first_per_key(found, ["resource_id"], [F.col("__row")]).drop("__row", "__newest", "__id")
 
 
 def asset(

@@ -10,6 +10,8 @@ but ``append`` give the same rows then). One writer per table at a time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -88,6 +90,17 @@ class TableStore:
             reader = reader.schema(self.contracts[name])
         return reader.parquet(self._path(name, versions[-1]))
 
+    def read_batches(self, name: str, after: int) -> DataFrame | None:
+        """The rows of the loads numbered above ``after``, None without such a load; other files are not opened."""
+        path = self._path(name, self._versions(name)[-1])
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        found = [s.getPath().getName() for s in folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)]
+        fresh = [n for n in found if n.startswith(f"{BATCH}=") and int(n.split("=")[1]) > after]
+        if not fresh:
+            return None
+        return self.spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*[f"{path}/{n}" for n in sorted(fresh)])
+
     # -- writing ----------------------------------------------------------
     def append(self, df: DataFrame, name: str) -> None:
         """Add rows; columns may be new."""
@@ -142,6 +155,20 @@ class TableStore:
         merged = staged(merge_rows(before, source, keys, keep), f"buckets-{name}")
         self._put_buckets(merged, keys, buckets, self._path(name, self._versions(name)[-1]), "dynamic")
 
+    def fold(self, df: DataFrame, name: str, keys: list[str], combine: Callable[[DataFrame], DataFrame]) -> None:
+        """Keep what ``combine`` makes of a table's rows and the new ones: one row per key, with the table's columns.
+
+        As in :meth:`upsert`, only the buckets with a key of ``df`` are read and written.
+        ``combine`` may get a row again that it has combined before.
+        """
+        if not self.exists(name):
+            self._put_buckets(combine(df), keys, self.buckets, self._path(name, (self._versions(name) or [0])[-1] + 1))
+            return
+        column = next(c for c in self._stored(name).columns if c.startswith(BUCKET))
+        both = self.touched_rows(name, df, keys).unionByName(df, allowMissingColumns=True)
+        merged = staged(combine(both), f"fold-{name}")
+        self._put_buckets(merged, keys, int(column[len(BUCKET):]), self._path(name, self._versions(name)[-1]), "dynamic")
+
     def touched_rows(self, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
         """The rows of the buckets that hold a key of ``source``; other buckets are not read.
 

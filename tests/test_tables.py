@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from duskline.operators.upsert import merge_rows, one_row_per_key
 from duskline.operators import filters
-from duskline.plans import feed, quality
+from duskline.plans import feed, quality, runs, silver
 from duskline.plans import measures as m
 from duskline.session import scratch, staged, working_dir
 from duskline.sinks import landing as sink
@@ -314,3 +314,33 @@ def test_upsert_takes_new_columns_null_keys_and_tables_without_buckets(spark, st
     assert rows(store.read("t")) == [(None, "m", None), (1, "c", None), (2, "b", "x")]
     store.upsert(spark.sql("SELECT 1 AS k, 'c' AS v WHERE false"), "t", ["k"])
     assert store.read("t").count() == 3
+
+
+def test_newest_rows_are_kept_from_run_to_run(spark, tmp_path, store, rows):
+    """The kept rows equal those of the whole history, late and repeated snapshots included; old batches are not read."""
+    land, log = tmp_path / "landing", str(tmp_path / "log")
+    days = [
+        ("2026-01-01", [{**RESOURCE, "name": "one"}, {**RESOURCE, "id": "/r/2"}, {**RESOURCE, "id": "/r/2"}]),
+        ("2026-01-03", [{**RESOURCE, "name": "three"}, {**RESOURCE, "id": None}]),
+        ("2026-01-02", [{**RESOURCE, "name": "late"}, {**RESOURCE, "id": "/r/3"}]),
+    ]
+    for n, (day, content) in enumerate(days):
+        write(land / f"run_id={n}" / "resources.json", content)
+        stream_inventory(store, str(land), log, f"{day} 00:00:00").awaitTermination()
+        if n == 2:  # what has been folded in is not needed again
+            for old in (tmp_path / "tables" / "brz_azure_resource_flat").rglob("load_batch=0/*.parquet"):
+                old.write_bytes(b"")
+        kept = runs.refresh_newest(store)
+    got = {r["resource_id"]: (r["resource_name"], str(r["first_seen_at"])[:10], str(r["last_seen_at"])[:10], r["seen_batch"]) for r in kept.collect()}
+    assert got == {
+        "/r/1": ("three", "2026-01-01", "2026-01-03", 2), "/r/2": ("a", "2026-01-01", "2026-01-01", 0),
+        None: ("a", "2026-01-03", "2026-01-03", 1), "/r/3": ("a", "2026-01-02", "2026-01-02", 2),
+    }
+    before = rows(kept)
+    assert rows(runs.refresh_newest(store)) == before
+
+
+def test_newest_resource_aggregates_no_wide_column(spark):
+    flat = spark.sql("SELECT 'r' AS resource_id, 'big' AS properties_json, 'f' AS source_path, timestamp'2026-01-01' AS collected_at")
+    plan = silver.newest_resource(flat.unionByName(flat).repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert all("properties_json" not in line for line in plan.splitlines() if "Aggregate [" in line)
