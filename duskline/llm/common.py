@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,24 +37,33 @@ def ascii_terms(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TERM_BYTES).split()
 
 
-_MADE: dict[str, list[str]] = {}
+_SCOPES: list[list[str]] = []
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back; see :func:`discard_scratch`."""
+    """``df`` written once to the shared folder and read back; see :func:`scratch_scope`."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables the operators of this application have staged so far.
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the paths of the intermediate tables that operators stage inside, and of no others."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.pop()
 
-    For a caller that has written an operator's result and needs nothing else of it.
-    """
-    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables. For a caller that has written the results which read them."""
+    for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 
 import corpus_pipeline
@@ -41,10 +45,10 @@ def test_stages(spark):
     # Every document that goes has one like it left among those before, and no two of those that stay are copies.
     ahead, stay = {r["doc_id"]: r["text"] for r in lines}, {r["doc_id"] for r in near}
     for i in set(ahead) - stay:
-        assert any(j < i and alike(ahead[i], ahead[j]) >= 0.75 for j in ahead)
+        assert any(j != i and alike(ahead[i], ahead[j]) >= 0.8 for j in ahead)
     left = [i for i in sorted(stay) if ahead[i].split()]
-    close = [(i, j) for i in left for j in left if i < j and alike(ahead[i], ahead[j]) >= 0.9]
-    assert len(close) <= 0.02 * len(left) and len({" ".join(ahead[i].lower().split()) for i in left}) == len(left)
+    close = [(i, j) for i in left for j in left if i < j and alike(ahead[i], ahead[j]) >= 0.8]
+    assert not close and len({" ".join(ahead[i].lower().split()) for i in left}) == len(left)
 
     size = {r["doc_id"]: len(r["text"].split()) for r in near}
     per = {}
@@ -68,4 +72,18 @@ def test_run_equals_the_stages(spark):
 
 def test_every_operator_has_a_query():
     names = [n.split("_")[0] for n in queries() if n.startswith("op")]
-    assert {f"op{k}" for k in range(1, 11)} <= set(names)
+    assert {f"op{k}" for k in range(1, 14)} <= set(names)
+
+
+def test_results_of_operators_outlive_a_pipeline_stage(spark):
+    held = queries()["op4_exact_dedup"](spark, SF)
+    before = sorted(held.collect())
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        stage(spark, docs, SF).count()
+    assert sorted(held.collect()) == before
+
+
+def test_the_entry_loads_without_a_package_of_the_operators():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; assert len(e.queries()) > 150 and 'op1_simhash' not in e.queries()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.abspath(corpus_pipeline.__file__)))
