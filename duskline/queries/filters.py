@@ -100,6 +100,25 @@ def term_filter_stem(spark, sf):
     return table(spark, sf, "events").select("event_id", rules.mentions_retirement(problem, solution).alias("about_retirement"))
 
 
+@query(
+    "term_filter_whole",
+    r"""
+    SELECT l_orderkey, l_linenumber, l_linenumber IN (1, 2) AS whole_term, l_linenumber IN (1, 2, 3, 4, 6) AS word_beginning
+    FROM lineitem
+    """,
+)
+def term_filter_whole(spark, sf):
+    """A stem as a word of its own, however cut off, against a stem that begins a longer word."""
+    n = F.col("l_linenumber")
+    text = e.case(
+        (n == 1, "to Retir, then move"), (n == 2, "(DEPRECAT)"), (n == 3, "it retires soon"), (n == 4, "Deprecated"), (n == 5, "unretir"), (n == 6, "retir_x")
+    )
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", rules.mentions_retirement(text, whole_term=True).alias("whole_term"),
+        rules.mentions_retirement(text).alias("word_beginning"),
+    )
+
+
 @query("not_null_key", "SELECT o_orderkey FROM orders WHERE o_totalprice >= 100000")
 def not_null_key(spark, sf):
     df = table(spark, sf, "orders").withColumn("notice_id", F.when(F.col("o_totalprice") >= 100000, F.col("o_orderkey")))
@@ -159,11 +178,16 @@ def latest_notice(spark, sf):
 
 @query(
     "latest_rn",
-    "SELECT l_partkey, max(l_shipdate)::DATE::VARCHAR AS last_ship FROM lineitem GROUP BY 1",
+    """
+    SELECT l_partkey, l_orderkey, l_linenumber, l_quantity, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') AS last_ship FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC) = 1
+    """,
 )
 def latest_rn(spark, sf):
     rows = dedupe.latest_per_key(table(spark, sf, "lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
-    return rows.select("l_partkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("last_ship"))
+    return rows.select(
+        "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.date_format("l_shipdate", "yyyy-MM-dd").alias("last_ship")
+    )
 
 
 @query(
