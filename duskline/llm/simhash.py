@@ -70,9 +70,12 @@ def _masks(width: int, most: int) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(most + 1) for bits in combinations(range(width), n)]
 
 
-def near_fingerprints(prints: DataFrame) -> DataFrame:
+def near_fingerprints(prints: DataFrame, tables: bool = False) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints (column ``fp``), a forest's worth per neighbourhood.
 
+    With ``tables``, a column ``table`` (a small number) parts the fingerprints: only those of one
+    table meet, and links come as ``(table, a, b)``.
+
     Two fingerprints three bits apart have no point half way, so one block of 16
     bits is left out of the key (each block in turn) and takes up the odd bit. Of
     the other 48 bits every fingerprint emits all variants within one bit, 4 x 49
@@ -90,20 +93,22 @@ def near_fingerprints(prints: DataFrame) -> DataFrame:
     """
     low = (1 << KEPT) - 1
     turn = F.explode(F.array(*[F.lit(b) for b in range(BLOCKS)]))
-    rows = prints.select("fp", turn.alias("block"))
+    rows = prints.select("fp", turn.alias("block"), *(["table"] if tables else []))
     # The block left out becomes the top bits.
     rolled = F.col("fp")
     for b in range(1, BLOCKS):
         moved = F.shiftleft("fp", b * WIDE).bitwiseOR(F.shiftrightunsigned("fp", 64 - b * WIDE))
         rolled = F.when(F.col("block") == b, moved).otherwise(rolled)
-    rows = rows.select("fp", rolled.alias("rolled"), F.shiftleft(F.col("block").cast("long"), KEPT).alias("tag"))
+    tag = F.shiftleft((F.col("table") * BLOCKS + F.col("block") if tables else F.col("block")).cast("long"), KEPT)
+    rows = rows.select("fp", rolled.alias("rolled"), tag.alias("tag"))
     one = F.explode(F.array(*[F.lit(m).cast("long") for m in _masks(KEPT, 1)]))
     rows = rows.select("fp", "rolled", "tag", one.alias("flip"))
     rows = rows.select("fp", F.col("rolled").bitwiseAND(F.lit(low)).bitwiseXOR(F.col("flip")).bitwiseOR(F.col("tag")).alias("key"))
     met = Window.partitionBy("key")
     rows = rows.withColumn("least", F.min("fp").over(met)).withColumn("most", F.max("fp").over(met))
     crowd = rows.filter("least <> most").select("fp", "key")
-    block = F.shiftrightunsigned("key", KEPT).cast("int")
+    tagged = F.shiftrightunsigned("key", KEPT).cast("int")
+    block = tagged % BLOCKS if tables else tagged
     again = F.col("fp")
     for b in range(1, BLOCKS):
         moved = F.shiftleft("fp", b * WIDE).bitwiseOR(F.shiftrightunsigned("fp", 64 - b * WIDE))
@@ -115,8 +120,10 @@ def near_fingerprints(prints: DataFrame) -> DataFrame:
     crowd = crowd.select("fp", "key", "top", "flips", F.explode(F.when(F.col("flips") == 0, two).otherwise(small)).alias("more"))
     crowd = crowd.select("fp", "key", F.col("top").bitwiseXOR(F.col("more")).alias("rest"), (F.col("flips") + F.bit_count("more")).alias("flips"))
     hub = F.min(F.when(F.col("flips") <= 1, F.col("fp"))).over(Window.partitionBy("key", "rest"))
-    pairs = crowd.select("fp", hub.alias("hub")).filter("hub is not null and hub <> fp").distinct()
-    return pairs.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    of = [F.floor(tagged / BLOCKS).cast("int").alias("table")] if tables else []
+    pairs = crowd.select("fp", hub.alias("hub"), *of).filter("hub is not null and hub <> fp").distinct()
+    links = [*(["table"] if tables else []), F.col("hub").alias("a"), F.col("fp").alias("b")]
+    return pairs.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS).select(*links)
 
 
 def simhash_groups(
@@ -163,12 +170,10 @@ SIMILARITY = 0.8
 SHINGLE = 5
 SKETCH = 256
 # Keys a text has besides its fingerprints, each of KEY_HASHES least hashes of its shingles:
-# two texts alike by 0.8 have none in common once in 300,000 times. Keys are met in
-# these groups, a few first, so that large groups are one by the time the others are.
+# two texts alike by 0.8 have none in common once in 300,000 times.
 KEYS = 32
 KEY_HASHES = 5
-ROUNDS = (4, 12, 16)
-# Hubs per key in each of the rounds that follow.
+# Hubs per key in each round after the first.
 HUBS = 8
 # Sketches this far below the wanted similarity (8 standard errors for SKETCH at
 # 0.8) settle that a pair is not alike; all others are compared whole.
@@ -309,16 +314,13 @@ def near_copies(
     head = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
     texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch", "keys"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
     nodes = texts.select(F.col("head.row").alias("node"), "s.prints")
-    pairs = None
-    for table in range(tables):
-        here = nodes.select("node", F.get("prints", F.lit(table)).alias("fp"))
-        firsts = staged(here.groupBy("fp").agg(F.min("node").alias("hub")), f"copies-prints-{table}")
-        same = here.join(firsts, "fp").filter("node <> hub").select("hub", "node")
-        links = staged(near_fingerprints(firsts.select("fp")), f"copies-links-{table}")
-        a, b = (firsts.select(F.col("fp").alias(x), F.col("hub").alias(f"n{x}")) for x in ("a", "b"))
-        near = links.join(a, "a").join(b, "b").select(F.least("na", "nb").alias("hub"), F.greatest("na", "nb").alias("node"))
-        pairs = same.union(near) if pairs is None else pairs.union(same).union(near)
-    pairs = staged(pairs.distinct(), "copies-pairs")
+    here = nodes.select("node", F.posexplode("prints").alias("table", "fp"))
+    firsts = staged(here.groupBy("table", "fp").agg(F.min("node").alias("hub")), "copies-prints")
+    same = here.join(firsts, ["table", "fp"]).filter("node <> hub").select("hub", "node")
+    links = staged(near_fingerprints(firsts.select("table", "fp"), tables=True), "copies-links")
+    a, b = (firsts.select("table", F.col("fp").alias(x), F.col("hub").alias(f"n{x}")) for x in ("a", "b"))
+    near = links.join(a, ["table", "a"]).join(b, ["table", "b"]).select(F.least("na", "nb").alias("hub"), F.greatest("na", "nb").alias("node"))
+    pairs = staged(same.union(near).distinct(), "copies-pairs")
     sketches = texts.select(F.col("head.row").alias("of"), "s.sketch")
 
     @F.pandas_udf("array<long>")
@@ -347,22 +349,17 @@ def near_copies(
     keyed = staged(keyed.join(several, "key"), "copies-met")
     meets = keyed.groupBy("node").agg(F.sum("n").alias("meets"))
     shared = staged(keyed.drop("n").join(meets, "node"), "copies-keys")
-    turn, first = 0, 0
+    turn = 0
     while True:
-        here = shared
-        if turn < len(ROUNDS):
-            here = shared.filter((F.col("no") >= first) & (F.col("no") < first + ROUNDS[turn]))
-            first += ROUNDS[turn]
         member = nodes.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
         member = member.select("node", F.coalesce("component", "node").alias("part"))
-        met = _meetings(here, member, [0] if turn < len(ROUNDS) else [HUBS * turn + i for i in range(HUBS)])
+        met = _meetings(shared, member, [HUBS * turn + i for i in range(HUBS)] if turn else [0])
         met = staged(met.join(tested, ["hub", "node"], "left_anti"), f"copies-met-{turn}")
         more = confirmed(met, f"alike-{turn}")
-        found = more.limit(1).count()
-        if found:
+        if more.limit(1).count():
             links = links.union(more)
             parts = components(links, f"copies-{turn}")
-        elif turn >= len(ROUNDS):
+        elif turn:
             break
         tested = tested.union(met)
         turn += 1
