@@ -84,6 +84,33 @@ def triple_counts(technology: DataFrame) -> DataFrame:
     return technology.groupBy(*TRIPLE).agg(F.count(F.lit(1)).alias("technology_rows"))
 
 
+def notice_classes(notices: DataFrame, key: str = "deprecation_sk") -> DataFrame:
+    """``(key, notice_class)``: notices that ask for the same set of patterns are of one class.
+
+    A class is named by the smallest key in it. Sets are compared by their size and two
+    64-bit hashes, which add up map-side, so no set is gathered anywhere. Rows with a null
+    family ask for nothing.
+    """
+    asked = notice_patterns(notices).select(key, *PATTERN).distinct()
+    hashes = [F.bit_xor(F.xxhash64(F.lit(seed), *PATTERN)).alias(f"__h{seed}") for seed in (1, 2)]
+    sets = asked.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *hashes)
+    alike = ["__n", "__h1", "__h2"]
+    return sets.join(sets.groupBy(*alike).agg(F.min(key).alias("notice_class")), alike).select(key, "notice_class")
+
+
+def class_technologies(notices: DataFrame, classes: DataFrame, triples: DataFrame, key: str = "deprecation_sk") -> DataFrame:
+    """``(notice_class, technology_sk)`` once each: the technologies that the patterns of a class cover.
+
+    Only the patterns of one notice per class meet the offers, so rows grow with
+    distinct pattern sets times what they cover, not with notices. A technology that
+    a class covers by several patterns, or with several spellings, counts once.
+    """
+    asked = notice_patterns(notices).select(key, *PATTERN).distinct()
+    asked = asked.join(classes.filter(F.col(key) == F.col("notice_class")), key).select("notice_class", *PATTERN)
+    offers = technology_offers(triples).select("technology_sk", *PATTERN).distinct()
+    return asked.join(offers, PATTERN).select("notice_class", "technology_sk").distinct()
+
+
 # Matches of one pattern that one task may put out; a pattern with more is split.
 ROWS_PER_PART = 100_000
 

@@ -13,9 +13,11 @@ from duskline.operators.dedupe import first_per_key
 from duskline.operators.matching import (
     TRIPLE,
     attach_event,
+    class_technologies,
     lookup_technology,
     match_to_asset,
     match_triples,
+    notice_classes,
     triple_counts,
     wildcard_match,
 )
@@ -122,16 +124,33 @@ def known_triples(technology: DataFrame, dim_tech: DataFrame) -> DataFrame:
     return lookup_technology(triple_counts(technology), dim_tech)
 
 
+RISK = ["days_to_retirement", "priority", "risk_band_sk", "risk_score"]
+
+
+def _asking(impacted: DataFrame) -> DataFrame:
+    return impacted.select("deprecation_sk", "technology_family", "affected_runtime", "affected_version").distinct()
+
+
 def notice_exposure(impacted: DataFrame, triples: DataFrame, events: DataFrame, as_of) -> DataFrame:
     """(technology_sk, deprecation_sk) once each, with the risk of the notice as of a day.
 
     Works on the distinct triples of :func:`known_triples`, never on assets.
     """
-    notices = impacted.select("deprecation_sk", "technology_family", "affected_runtime", "affected_version").distinct()
-    dated = with_risk(attach_event(notices, events), as_of)
+    dated = with_risk(attach_event(_asking(impacted), events), as_of)
     covered = match_triples(dated, triples.drop("technology_rows"))
-    risk = ["days_to_retirement", "priority", "risk_band_sk", "risk_score"]
-    return covered.select("technology_sk", "deprecation_sk", *risk).distinct()
+    return covered.select("technology_sk", "deprecation_sk", *RISK).distinct()
+
+
+def class_exposure(impacted: DataFrame, triples: DataFrame, events: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+    """(notices, covers), whose join on ``notice_class`` has the rows of :func:`notice_exposure`.
+
+    Notices are one row each with their risk and class, covers one row per class and
+    technology. The pairs of notices and technologies are in neither of them.
+    """
+    asking = _asking(impacted)
+    classes = notice_classes(asking)
+    dated = with_risk(attach_event(classes, events), as_of).select("notice_class", "deprecation_sk", *RISK).distinct()
+    return dated, class_technologies(asking, classes, triples)
 
 
 def asset_exposure(technology: DataFrame, assets: DataFrame, dim_tech: DataFrame) -> DataFrame:
@@ -166,8 +185,10 @@ def fact_impact(
     many = asset_exposure(technology, assets, dim_tech)
     few = notice_exposure(impacted, triples, events, as_of)
     counts = triples.groupBy("technology_sk").agg(F.sum("technology_rows").alias("technology_rows"))
-    # What a technology costs is its assets times its notices.
-    covered = few.groupBy("technology_sk").agg(F.count(F.lit(1)).alias("notices"))
+    # What a technology costs is its assets times its notices, which are counted per class first.
+    notices, covers = class_exposure(impacted, triples, events, as_of)
+    per_class = notices.groupBy("notice_class").agg(F.count(F.lit(1)).alias("n"))
+    covered = covers.join(per_class, "notice_class").groupBy("technology_sk").agg(F.sum("n").alias("notices"))
     counts = counts.join(covered, "technology_sk").select("technology_sk", (F.col("technology_rows") * F.col("notices")).alias("impacts"))
     hot = hot_keys(counts, ["technology_sk"], "impacts", share, min_rows)
     rows = salted_join(many, few, ["technology_sk"], hot, ["asset_sk"])

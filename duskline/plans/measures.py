@@ -114,16 +114,17 @@ def per_technology(asset_exposure: DataFrame) -> DataFrame:
     return asset_exposure.groupBy("technology_sk").agg(F.count(F.lit(1)).alias("asset_rows"))
 
 
-def exposure_totals(asset_exposure: DataFrame, notice_exposure: DataFrame, *by: str) -> DataFrame:
-    """Impact rows, risk and days per ``by`` (columns of the notice side), from counts.
-
-    The fact has one row per asset and notice on the same technology, so a group
-    of it is the sum over technologies of (assets x notices). Both sides are
-    counted before they meet and no fact row is built: the join has one row per
-    technology and ``by``, whatever the number of impacts.
+def exposure_totals(asset_exposure: DataFrame, notices: DataFrame, covers: DataFrame, *by: str) -> DataFrame:
+    """Impact rows, risk and days per ``by`` (columns of the notices, or ``technology_sk``), from counts.
+
+    ``notices`` and ``covers`` are those of ``gold.class_exposure``. The fact has one
+    row per asset and notice on the same technology, so a group of it is the sum over
+    technologies and notice classes of (assets x notices). Notices are summed per class
+    and ``by``, assets per technology, before they meet: the joins have one row per
+    covered technology, class and ``by``, whatever the number of notices or impacts.
     """
-    keys = list(dict.fromkeys(["technology_sk", *by]))
-    notice_side = notice_exposure.groupBy(*keys).agg(
+    keys = ["notice_class", *[c for c in by if c != "technology_sk"]]
+    notice_side = notices.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("risk_score").alias("score"),
         F.sum("days_to_retirement").alias("days"),
@@ -131,7 +132,7 @@ def exposure_totals(asset_exposure: DataFrame, notice_exposure: DataFrame, *by:
         F.count_if(F.col("risk_band_sk") == CRITICAL_BAND).alias("critical"),
         F.min(F.when(F.col("days_to_retirement") > 0, F.col("days_to_retirement"))).alias("nearest"),
     )
-    met = notice_side.join(per_technology(asset_exposure), "technology_sk")
+    met = covers.join(per_technology(asset_exposure), "technology_sk").join(notice_side, "notice_class")
     rows = F.col("asset_rows")
     total = lambda c: F.coalesce(F.sum(F.col(c) * rows), F.lit(0))
     return met.groupBy(*by).agg(
@@ -144,13 +145,21 @@ def exposure_totals(asset_exposure: DataFrame, notice_exposure: DataFrame, *by:
     )
 
 
-def exposed_assets(asset_exposure: DataFrame, notice_exposure: DataFrame, *by: str) -> DataFrame:
+def exposure_reasons(notices: DataFrame, covers: DataFrame, *by: str) -> DataFrame:
+    """Distinct (technology, ``by``): notices are made distinct per class before they meet its technologies."""
+    if not by:
+        return covers.select("technology_sk").distinct()
+    few = notices.select("notice_class", *by).distinct()
+    return covers.join(few, "notice_class").select("technology_sk", *by).distinct()
+
+
+def exposed_assets(asset_exposure: DataFrame, notices: DataFrame, covers: DataFrame, *by: str) -> DataFrame:
     """Distinct (asset, ``by``) pairs with at least one impact.
 
     The notice side is reduced to distinct (technology, ``by``) before the join,
     so an asset meets each combination once however many notices stand behind it.
     """
-    reasons = notice_exposure.select("technology_sk", *by).distinct()
+    reasons = exposure_reasons(notices, covers, *by)
     if not by:
         return asset_exposure.join(reasons, "technology_sk", "left_semi").select("asset_sk").distinct()
     return asset_exposure.join(reasons, "technology_sk").select("asset_sk", *by).distinct()

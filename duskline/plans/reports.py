@@ -60,9 +60,9 @@ def impacts_by_band(impact: DataFrame, bands: DataFrame) -> DataFrame:
     return largest(counts.groupBy("risk_band_name").agg(F.sum("impacts").alias("impacts")), "impacts", "risk_band_name")
 
 
-def exposure_by_band(asset_exposure: DataFrame, notice_exposure: DataFrame, bands: DataFrame) -> DataFrame:
+def exposure_by_band(asset_exposure: DataFrame, notices: DataFrame, covers: DataFrame, bands: DataFrame) -> DataFrame:
     """The same report without building the fact."""
-    totals = m.exposure_totals(asset_exposure, notice_exposure, "risk_band_sk")
+    totals = m.exposure_totals(asset_exposure, notices, covers, "risk_band_sk")
     named = name_bands(totals.select("risk_band_sk", "impacts"), bands)
     return largest(named.select("risk_band_name", "impacts"), "impacts", "risk_band_name")
 
@@ -72,9 +72,9 @@ def affected_by_status_priority(impact: DataFrame) -> DataFrame:
     return largest(impact.groupBy(*dims).agg(m.affected_assets().alias("affected_assets")), "affected_assets", *dims)
 
 
-def exposed_by_priority(asset_exposure: DataFrame, notice_exposure: DataFrame) -> DataFrame:
+def exposed_by_priority(asset_exposure: DataFrame, notices: DataFrame, covers: DataFrame) -> DataFrame:
     """Affected assets by status and priority without building the fact: every impact starts out open."""
-    pairs = m.exposed_assets(asset_exposure, notice_exposure, "priority")
+    pairs = m.exposed_assets(asset_exposure, notices, covers, "priority")
     counts = group_count(pairs, "priority", name="affected_assets")
     dims = ["remediation_status", "priority"]
     named = counts.select(F.lit(OPEN_REMEDIATION).alias("remediation_status"), "priority", "affected_assets")
@@ -82,10 +82,10 @@ def exposed_by_priority(asset_exposure: DataFrame, notice_exposure: DataFrame) -
 
 
 def exposed_alert_table(
-    asset_exposure: DataFrame, notice_exposure: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame
+    asset_exposure: DataFrame, notices: DataFrame, covers: DataFrame, dim_asset: DataFrame, dim_technology: DataFrame, bands: DataFrame
 ) -> DataFrame:
     """The alert table without building the fact: notices with equal risk on a technology are one before they meet assets."""
-    reasons = notice_exposure.select("technology_sk", "risk_band_sk", "days_to_retirement", "priority").distinct()
+    reasons = m.exposure_reasons(notices, covers, "risk_band_sk", "days_to_retirement", "priority")
     lines = asset_exposure.join(reasons, "technology_sk").withColumn("remediation_status", F.lit(OPEN_REMEDIATION))
     return _alert_lines(lines, dim_asset, dim_technology, bands)
 

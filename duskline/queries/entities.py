@@ -291,12 +291,12 @@ def impact(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("loaded_at")
 
 
-def exposures(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(asset side, notice side) whose join is the impact fact."""
+def exposures(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(asset side, notices, technologies of each notice class), whose join is the impact fact."""
     ev, tech, dim = events(spark, sf), sparse_technology(spark, sf), dim_technology(spark, sf)
     return (
         gold.asset_exposure(tech, assets(spark, sf), dim),
-        gold.notice_exposure(ev, gold.known_triples(tech, dim), ev, AS_OF),
+        *gold.class_exposure(ev, gold.known_triples(tech, dim), ev, AS_OF),
     )
 
 

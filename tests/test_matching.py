@@ -133,13 +133,63 @@ def test_exposure_measures_equal_fact_measures(spark, rows):
     impacted, t, assets, events, dim = impact_inputs(spark)
     fact = gold.fact_impact(impacted, t, assets, events, dim, day, "2026-01-01 00:00:00")
     a = gold.asset_exposure(t, assets, dim)
-    n = gold.notice_exposure(impacted, gold.known_triples(t, dim), events, day)
+    n = gold.class_exposure(impacted, gold.known_triples(t, dim), events, day)
     want = fact.groupBy("priority").agg(
         m.impacts(), m.average_risk(), m.average_days(), m.critical_alerts(), m.nearest_days(), m.affected_technologies()
     )
-    assert rows(m.exposure_totals(a, n, "priority")) == rows(want)
-    assert rows(m.exposed_assets(a, n)) == rows(fact.select("asset_sk").distinct())
-    assert rows(m.exposed_assets(a, n, "risk_band_sk")) == rows(fact.select("asset_sk", "risk_band_sk").distinct())
+    assert rows(m.exposure_totals(a, *n, "priority")) == rows(want)
+    assert rows(m.exposed_assets(a, *n)) == rows(fact.select("asset_sk").distinct())
+    assert rows(m.exposed_assets(a, *n, "risk_band_sk")) == rows(fact.select("asset_sk", "risk_band_sk").distinct())
+
+
+def test_classes_cover_what_notices_cover(spark, rows):
+    """Notices with several patterns, the same set in any order, overlapping sets, spellings and a null family."""
+    day = dt.date(2026, 1, 1)
+    triples = [(f"r{i}", f, n, v) for i, (f, n, v) in enumerate([(f, n, v) for f in ("data", "Data", "net") for n in ("sql", "SQL", None) for v in ("1", "2", None)])]
+    t = spark.createDataFrame(triples, TECH)
+    assets = spark.createDataFrame([(f"a{r[0]}", r[0]) for r in triples], "asset_sk string, native_resource_id string")
+    asked = {
+        "n1": [("data", "sql", None), ("data", None, "1")], "n2": [("data", None, "1"), ("DATA", "SQL", " ")],
+        "n3": [("data", None, None)], "n4": [("data", None, None), ("net", "sql", "2")], "n5": [("net", None, "2"), ("net", "sql", "2")],
+        "n6": [(None, None, None)], "n7": [("data", "tls", None)],
+    }
+    impacted = spark.createDataFrame([(k, *p) for k, ps in asked.items() for p in ps], NOTICE)
+    events = spark.createDataFrame(
+        [(f"n{i}", dt.datetime(2026, 1, 1) + dt.timedelta(days=40 * i), "low", "open") for i in range(1, 7)],
+        "deprecation_sk string, retirement_at timestamp, severity string, status string",
+    )
+    dim = gold.dim_technology(t.withColumn("technology_source", F.lit("s")), "2026-01-01 00:00:00")
+    known = gold.known_triples(t, dim)
+    pairs = gold.notice_exposure(impacted, known, events, day)
+    notices, covers = gold.class_exposure(impacted, known, events, day)
+    columns = pairs.columns
+    assert rows(notices.join(covers, "notice_class").select(*columns)) == rows(pairs)
+    classes = dict(notices.select("deprecation_sk", "notice_class").collect())
+    assert classes["n2"] == classes["n1"] == "n1" and "n6" not in classes and len(set(classes.values())) == 5
+    fact = gold.fact_impact(impacted, t, assets, events, dim, day, "2026-01-01 00:00:00")
+    a = gold.asset_exposure(t, assets, dim)
+    for by in ([], ["risk_band_sk"], ["technology_sk"], ["technology_sk", "priority"]):
+        want = fact.groupBy(*by).agg(
+            m.impacts(), m.average_risk(), m.average_days(), m.critical_alerts(), m.nearest_days(), m.affected_technologies()
+        )
+        assert rows(m.exposure_totals(a, notices, covers, *by)) == rows(want)
+
+
+def test_no_join_of_measures_has_notices_times_technologies(spark):
+    """40 notices ask for one open pattern over 30 technologies: joins put out 30 rows, the pairs would be 1200."""
+    day = dt.date(2026, 1, 1)
+    t = spark.createDataFrame([(f"r{i}", "data", f"n{i}", "1") for i in range(30)], TECH)
+    assets = spark.createDataFrame([(f"a{i}", f"r{i}") for i in range(30)], "asset_sk string, native_resource_id string")
+    impacted = spark.createDataFrame([(f"n{i}", "data", None, None) for i in range(40)], NOTICE)
+    events = spark.createDataFrame(
+        [(f"n{i}", dt.datetime(2026, 1, 5), "low", "open") for i in range(40)],
+        "deprecation_sk string, retirement_at timestamp, severity string, status string",
+    )
+    dim = gold.dim_technology(t.withColumn("technology_source", F.lit("s")), "2026-01-01 00:00:00")
+    notices, covers = gold.class_exposure(impacted, gold.known_triples(t, dim), events, day)
+    assert (notices.count(), covers.count()) == (40, 30)
+    totals = m.exposure_totals(gold.asset_exposure(t, assets, dim), notices, covers, "risk_band_sk")
+    assert totals.select("impacts", "affected_technologies").collect() == [(1200, 30)]
 
 
 def test_crosswalk(spark):
