@@ -11,13 +11,23 @@ from duskline.llm.common import SPACE, numbered, staged, text_of, without
 # Sketch buckets keep this many leading bits of a value, so that a bucket is at
 # most 1/64 of its value wide and a group has at most a few thousand of them.
 BITS = 7
-# Groups below this many rows take the sketch of their language, and languages
-# below it that of all rows. Sketches merge by adding counts.
-LEAST_ROWS = 200
-# A rule's fence is q75 + max(3 * (q75 - q25), slack), all in thousandths.
-SLACK = {"symbols": 60, "capitals": 120, "same_lines": 450, "repeats": 400, "word_length": 4000}
+# A group's sketch is merged with that of its language as if the latter had this many
+# rows, and a language's likewise with that of all rows: small groups lean on it, large
+# ones do not, and no size switches from one to the other.
+PRIOR = 500
+# Per rule, two percentiles, a factor and a floor: the fence is
+# high + max(factor * (high - low), floor), in thousandths. Rules that are 0 for nearly
+# all rows are judged by a percentile further up. Symbols are 0 or many, and a
+# tenth of a source may be such junk, so its percentiles stay below that.
+FENCES = {
+    "symbols": (0.5, 0.75, 3, 60),
+    "capitals": (0.5, 0.9, 4, 10),
+    "same_lines": (0.5, 0.97, 4, 100),
+    "repeats": (0.5, 0.97, 4, 50),
+    "word_length": (0.5, 0.9, 4, 300),
+}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RESULT = (*BASE, "n_lines", "n_capitals", *SLACK, "base_failed", "failed", "kept")
+RESULT = (*BASE, "n_lines", "n_capitals", *FENCES, "base_failed", "failed", "kept")
 
 
 def _repeat_words() -> Column:
@@ -87,48 +97,60 @@ def bucket(value: Column) -> Column:
 
 def sketches(measured: DataFrame) -> DataFrame:
     """Counts per (lang, source, rule, bucket): partial sums merge map-side, and groups merge by adding."""
-    long = measured.select("lang", "source", F.explode(F.create_map(*[x for r in SLACK for x in (F.lit(r), F.col(r))])).alias("rule", "value"))
+    long = measured.select("lang", "source", F.explode(F.create_map(*[x for r in FENCES for x in (F.lit(r), F.col(r))])).alias("rule", "value"))
     return long.groupBy("lang", "source", "rule", bucket(F.col("value")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quantiles(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: rows, and the buckets in which its first and third quartile lie."""
-    merged = counts.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
-    over = Window.partitionBy(*keys, "rule")
-    run = merged.withColumn("upto", F.sum("n").over(over.orderBy("bucket"))).withColumn("total", F.sum("n").over(over))
-    at = {q: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket"))) for k, q in ((1, "q25"), (3, "q75"))}
-    return run.groupBy(*keys, "rule").agg(F.max("total").alias("total"), *[v.alias(q) for q, v in at.items()])
+def _upto(cells: DataFrame, keys: list[str]) -> Column:
+    """Rows of the group in this bucket or below."""
+    return F.coalesce(F.sum("n").over(Window.partitionBy(*keys, "rule").orderBy("bucket")), F.lit(0))
 
 
-def fences(counts: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+def shares(counts: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """Per (lang, source, rule, bucket of any group): the merged share of rows in this bucket or below.
+
+    The share of all rows goes into that of a language, and the language's into that of a
+    group, each as ``prior`` rows. Rows are groups times buckets, whatever the number of documents.
+    """
+    # Null is a group of its own: keys are marked so that plain equality finds them.
+    marked = [F.coalesce(F.concat(F.lit("="), c), F.lit("")).alias(f"__{c}") for c in ("lang", "source")]
+    counts = counts.select("*", *marked)
+    every = counts.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
+    every = every.join(counts.groupBy("rule").agg(F.sum("n").alias("total")), "rule")
+    every = every.select("rule", "bucket", (_upto(every, []) / F.col("total")).alias("above"))
+
+    def merged(part: DataFrame, keys: list[str], above: DataFrame) -> DataFrame:
+        own = part.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
+        total = own.groupBy(*keys, "rule").agg(F.sum("n").alias("total"))
+        on = [c for c in above.columns if c != "above"]
+        cells = total.join(above, [c for c in on if c != "bucket"]).join(own, [*keys, "rule", "bucket"], "left")
+        share = (_upto(cells, keys) + F.lit(float(prior)) * F.col("above")) / (F.col("total") + F.lit(float(prior)))
+        return cells.select(*keys, "rule", "bucket", share.alias("above"))
+
+    by_lang = merged(counts, ["__lang"], every)
+    got = merged(counts, ["__lang", "__source"], by_lang)
+    names = counts.select("lang", "source", "__lang", "__source").distinct()
+    return got.join(names, ["__lang", "__source"]).select("lang", "source", "rule", "bucket", F.col("above").alias("share"))
+
+
+def fences(counts: DataFrame, prior: int = PRIOR) -> DataFrame:
     """One row per (lang, source) with an upper fence for each rule."""
-    slack = F.create_map(*[x for r, s in SLACK.items() for x in (F.lit(r), F.lit(s))])
-    per = {
-        "s": _quantiles(counts, ["lang", "source"]),
-        "l": _quantiles(counts, ["lang"]),
-        "a": _quantiles(counts, []),
-    }
-    group, lang, all_rows = [
-        d.select(*[c for c in ("lang", "source", "rule") if c in d.columns], F.col("total").alias(f"{k}_n"), F.struct("q25", "q75").alias(k))
-        for k, d in per.items()
-    ]
-    g = group.join(lang.withColumnRenamed("lang", "__lang"), (F.col("lang").eqNullSafe(F.col("__lang"))) & (group["rule"] == lang["rule"]), "left").drop(lang["rule"])
-    g = g.join(all_rows, "rule", "left")
-    pick = F.when(F.col("s_n") >= least_rows, F.col("s")).when(F.col("l_n") >= least_rows, F.col("l")).otherwise(F.col("a"))
-    g = g.withColumn("q", pick)
-    fence = F.col("q.q75") + F.greatest(3 * (F.col("q.q75") - F.col("q.q25")), slack[F.col("rule")].cast("long"))
-    return g.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r, fence)).alias(f"fence_{r}") for r in SLACK])
-
-
-def quality_rules(docs: DataFrame, text_col: str = "text", least_rows: int = LEAST_ROWS, carry: list[str] | None = None) -> DataFrame:
+    of_rule = {k: F.create_map(*[x for r, f in FENCES.items() for x in (F.lit(r), F.lit(f[k]))])[F.col("rule")] for k in range(4)}
+    at = [F.min(F.when(F.col("share") >= of_rule[k], F.col("bucket"))).alias(name) for k, name in ((0, "low"), (1, "high"))]
+    found = shares(counts, prior).groupBy("lang", "source", "rule").agg(*at)
+    fence = F.col("high") + F.greatest(of_rule[2] * (F.col("high") - F.col("low")), of_rule[3].cast("long"))
+    return found.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r, fence)).alias(f"fence_{r}") for r in FENCES])
+
+
+def quality_rules(docs: DataFrame, text_col: str = "text", prior: int = PRIOR, carry: list[str] | None = None) -> DataFrame:
     """``docs`` with the counts, ``base_failed``, ``failed`` (names of broken rules) and ``kept``, one row per input row.
 
     One pass measures every whole text and writes the measures. Rows that pass the
     base rules feed quantile sketches per (lang, source): integer log buckets with
     counts, added up map-side, so a source with a third of all rows costs each task
     a few thousand counters. The fences, one row per group, are joined back. A fence
-    lies beyond the third quartile by three interquartile ranges or by the rule's
-    slack, so a plain document of a plain group is never an outlier.
+    lies beyond an upper percentile by a multiple of that percentile's distance from the
+    median (``FENCES``); small groups borrow from their language, by counts (``PRIOR``).
 
     ``carry`` names the input columns to keep (all by default). Null and empty texts
     have no words and fail the base rules. A null language or source is a group of
@@ -138,15 +160,15 @@ def quality_rules(docs: DataFrame, text_col: str = "text", least_rows: int = LEA
     wanted = [c for c in (carry if carry is not None else docs.columns) if c.lower() not in RESULT]
     grouped = docs.withColumns({"__lang": F.col("lang"), "__source": F.col("source")})
     measured = _ratios(text_features(grouped, text_col)).select(
-        *[F.col(f"`{c}`") for c in wanted], "__lang", "__source", *BASE, "n_lines", "n_capitals", *SLACK
+        *[F.col(f"`{c}`") for c in wanted], "__lang", "__source", *BASE, "n_lines", "n_capitals", *FENCES
     )
     measured = numbered(measured, "quality").withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     )
-    sound = measured.filter(~F.col("base_failed")).select(F.col("__lang").alias("lang"), F.col("__source").alias("source"), *SLACK)
-    limits = staged(fences(staged(sketches(sound), "quality-sketches"), least_rows), "quality-fences")
+    sound = measured.filter(~F.col("base_failed")).select(F.col("__lang").alias("lang"), F.col("__source").alias("source"), *FENCES)
+    limits = staged(fences(staged(sketches(sound), "quality-sketches"), prior), "quality-fences")
     limits = limits.withColumnsRenamed({"lang": "__l", "source": "__s"})
     met = measured.join(limits, F.col("__lang").eqNullSafe(F.col("__l")) & F.col("__source").eqNullSafe(F.col("__s")), "left")
-    broken = F.filter(F.array(*[F.when(F.col(r) > F.col(f"fence_{r}"), F.lit(r)) for r in SLACK]), lambda x: x.isNotNull())
+    broken = F.filter(F.array(*[F.when(F.col(r) > F.col(f"fence_{r}"), F.lit(r)) for r in FENCES]), lambda x: x.isNotNull())
     met = met.withColumn("failed", broken).withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
-    return without(met, "__lang", "__source", "__l", "__s", "__row", *[f"fence_{r}" for r in SLACK])
+    return without(met, "__lang", "__source", "__l", "__s", "__row", *[f"fence_{r}" for r in FENCES])

@@ -82,19 +82,36 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs, carry=["doc_id"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-_RULES = tuple(quality_rules.SLACK)
+_RULES = tuple(quality_rules.FENCES)
 
 
-def _fence_sql(keys: str, name: str) -> str:
-    """First and third quartile buckets of every rule per group of ``keys``."""
-    part = f"PARTITION BY {keys}, rule" if keys else "PARTITION BY rule"
-    pick = f"{keys}, rule" if keys else "rule"
+def _shares_sql(name: str, keys: list[str], above: str) -> str:
+    """Share of rows in a bucket or below per group of ``keys``, merged with that of the wider group in ``above``."""
+    same = lambda a, b, names: " AND ".join([f"{a}.rule = {b}.rule", *[f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in names]])
+    cols, prior = ", ".join([*keys, "rule"]), f"CAST({quality_rules.PRIOR} AS DOUBLE)"
     return f"""
     {name} AS (
-        SELECT {pick}, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q25, min(bucket) FILTER (4 * upto >= 3 * total) AS q75
-        FROM (SELECT *, sum(n) OVER ({part} ORDER BY bucket) AS upto, sum(n) OVER ({part}) AS total
-              FROM (SELECT {pick}, bucket, sum(n) AS n FROM sketch GROUP BY ALL))
-        GROUP BY {pick}
+        SELECT {cols}, bucket, (coalesce(sum(n) OVER (PARTITION BY {cols} ORDER BY bucket), 0) + {prior} * above) / (total + {prior}) AS share
+        FROM (
+            SELECT {", ".join(f"t.{k}" for k in [*keys, "rule"])}, w.bucket, w.share AS above, total, n
+            FROM (SELECT {cols}, CAST(sum(n) AS DOUBLE) AS total FROM sketch GROUP BY ALL) t
+            JOIN {above} w ON {same("t", "w", keys[:-1])}
+            LEFT JOIN (SELECT {cols}, bucket, sum(n) AS n FROM sketch GROUP BY ALL) o ON {same("t", "o", keys)} AND o.bucket = w.bucket
+        )
+    )"""
+
+
+def _fence_sql() -> str:
+    at = lambda k: "CASE rule " + " ".join(f"WHEN '{r}' THEN {f[k]}" for r, f in quality_rules.FENCES.items()) + " END"
+    return f"""
+    by_all AS (
+        SELECT rule, bucket, CAST(sum(n) OVER (PARTITION BY rule ORDER BY bucket) AS DOUBLE) / sum(n) OVER (PARTITION BY rule) AS share
+        FROM (SELECT rule, bucket, sum(n) AS n FROM sketch GROUP BY ALL)
+    ), {_shares_sql("by_lang", ["lang"], "by_all")}, {_shares_sql("by_group", ["lang", "source"], "by_lang")},
+    fences AS (
+        SELECT lang, source, rule, high + greatest({at(2)} * (high - low), {at(3)}) AS fence
+        FROM (SELECT lang, source, rule, min(bucket) FILTER (share >= {at(0)}) AS low, min(bucket) FILTER (share >= {at(1)}) AS high
+              FROM by_group GROUP BY ALL)
     )"""
 
 
@@ -130,16 +147,9 @@ _QUALITY_SQL = rf"""
     ), sketch AS (
         SELECT lang, source, rule, v - v % CAST(pow(2, greatest(length(bin(v)) - {quality_rules.BITS}, 0)) AS BIGINT) AS bucket, count(*) AS n
         FROM long WHERE NOT base_failed GROUP BY ALL
-    ), {_fence_sql("lang, source", "by_group")}, {_fence_sql("lang", "by_lang")}, {_fence_sql("", "by_all")},
-    fences AS (
-        SELECT g.lang, g.source, g.rule,
-            CASE WHEN g.total >= {quality_rules.LEAST_ROWS} THEN g.q75 WHEN l.total >= {quality_rules.LEAST_ROWS} THEN l.q75 ELSE a.q75 END AS q75,
-            CASE WHEN g.total >= {quality_rules.LEAST_ROWS} THEN g.q25 WHEN l.total >= {quality_rules.LEAST_ROWS} THEN l.q25 ELSE a.q25 END AS q25,
-            CASE g.rule {" ".join(f"WHEN '{r}' THEN {v}" for r, v in quality_rules.SLACK.items())} END AS slack
-        FROM by_group g JOIN by_lang l ON g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule JOIN by_all a ON a.rule = g.rule
-    ), broken AS (
+    ), {_fence_sql()}, broken AS (
         SELECT DISTINCT doc_id FROM long v JOIN fences f ON v.lang IS NOT DISTINCT FROM f.lang AND v.source IS NOT DISTINCT FROM f.source
-            AND v.rule = f.rule AND v.v > f.q75 + greatest(3 * (f.q75 - f.q25), slack)
+            AND v.rule = f.rule AND v.v > f.fence
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept

@@ -46,7 +46,7 @@ def texts():
 
 def test_counts_and_verdicts(spark):
     rows = [(i, t, ["en", None][i % 2], ["s", None, "t"][i % 3], "clash") for i, t in enumerate(texts())]
-    got = quality_rules.quality_rules(spark.createDataFrame(rows, DOCS), least_rows=5)
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, DOCS), prior=5)
     assert "N_words" not in got.columns
     out = {r["doc_id"]: r for r in got.collect()}
     assert len(out) == len(rows)
@@ -64,17 +64,37 @@ def test_counts_and_verdicts(spark):
         if r["base_failed"]:
             assert not r["kept"]
             continue
-        key = next(k for k in ((lang, source), (lang,), ()) if len(groups[k]) >= 5 or k == ())
         failed = []
-        for rule, slack in quality_rules.SLACK.items():
-            values = sorted(bucket(x[rule]) for x in groups[key])
-            q25, q75 = (values[-(-k * len(values) // 4) - 1] for k in (1, 3))
-            if r[rule] > q75 + max(3 * (q75 - q25), slack):
+        for rule, (low, high, factor, floor) in quality_rules.FENCES.items():
+            def share(b, keys=((lang, source), (lang,), ())):
+                values = [bucket(x[rule]) for x in groups[keys[0]]]
+                below = sum(v <= b for v in values)
+                return (below + 5 * share(b, keys[1:])) / (len(values) + 5) if keys[1:] else below / len(values)
+
+            edges = sorted({bucket(x[rule]) for x in groups[()]})
+            low, high = (next(b for b in edges if share(b) >= q) for q in (low, high))
+            if r[rule] > high + max(factor * (high - low), floor):
                 failed.append(rule)
         assert r["failed"] == failed and r["kept"] == (not failed)
     assert any(r["failed"] == ["symbols"] for r in out.values())
 
 
+def test_margins_follow_the_group(spark):
+    """The same share of repeated words is plain in a group that has it often and an outlier in one that has not."""
+    rng = random.Random(3)
+
+    def text(twice):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        return " ".join(words[: 200 - twice] + words[:twice])
+
+    rows = [(i, text(40 if i % 5 == 0 else 0), "en", "echo", None) for i in range(300)]
+    rows += [(1000 + i, text(1 if i % 9 == 0 else 0), "en", "plain", None) for i in range(300)]
+    rows += [(9000, text(45), "en", "plain", None), (9001, text(45), "en", "echo", None)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS), prior=20).collect()}
+    assert got[9000]["failed"] == ["repeats"] and got[9001]["kept"]
+    assert sum(not r["kept"] for r in got.values()) == 1
+
+
 def test_bucket(spark):
     values = [0, 1, 63, 127, 128, 129, 255, 256, 1000, 123_456, (1 << 40) + 12345]
     frame = spark.createDataFrame([(v,) for v in values], "v long")
