@@ -7,6 +7,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duskline.llm import simhash
@@ -89,6 +90,24 @@ def test_no_link_is_missed_and_none_is_wrong(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_tables_do_not_meet(spark):
+    """The links of three tables in one pass are those of each by itself."""
+    rng = random.Random(11)
+    rows = set()
+    for _ in range(30):
+        base = rng.getrandbits(64)
+        for _ in range(6):
+            near = base
+            for b in rng.sample(range(64), rng.randrange(4)):
+                near ^= 1 << b
+            rows.add((rng.randrange(3), signed(near)))
+    frame = spark.createDataFrame(sorted(rows), "table int, fp long").cache()
+    got = simhash.near_fingerprints(frame, tables=True)
+    assert got.columns == ["table", "a", "b"]
+    want = {(t, r["a"], r["b"]) for t in range(3) for r in simhash.near_fingerprints(frame.filter(F.col("table") == t)).collect()}
+    assert want and {tuple(r) for r in got.collect()} == want
+
+
 def test_rows_with_nulls_ties_and_clashing_columns(spark):
     schema = T.StructType([*DOCS.fields, T.StructField("Kept", T.StringType()), T.StructField("fp", T.StringType())])
     rows = [(5, "a b c d", "x", "y"), (5, "a b c d", "x", "y"), (2, "a  b c D", None, None), (None, "a b c d", None, "z"),
