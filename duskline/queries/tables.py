@@ -279,8 +279,10 @@ def build_fact_inventory(spark, sf):
 )
 def build_match(spark, sf):
     ev = e.events(spark, sf)
-    rows = gold.matched_assets(ev, e.sparse_technology(spark, sf), e.assets(spark, sf), ev)
-    return rows.withColumn("retirement", F.date_format("retirement_at", "yyyy-MM-dd")).drop("retirement_at")
+    # The date is written once per notice, not once per match.
+    dated = ev.withColumn("retirement_at", F.date_format("retirement_at", "yyyy-MM-dd"))
+    rows = gold.matched_assets(ev, e.sparse_technology(spark, sf), e.assets(spark, sf), dated)
+    return rows.withColumnRenamed("retirement_at", "retirement")
 
 
 @query("build_fact_impact", "SELECT * FROM impact")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskline.operators import matching
-from duskline.queries import joins
+from duskline.queries import joins, tables
 
 NOTICES, PARTS = 400, 8000
 
@@ -54,3 +54,9 @@ def test_hot_triples_go_by_matches(spark):
     assert found.count() == 300 * 40
     counts = matching.asked_counts(notices, matching.triple_counts(tech)).collect()
     assert [(r["technology_rows"], r["notices"]) for r in counts] == [(40, 300)]
+
+
+def test_build_match_writes_dates_before_the_match(spark, many_matches):
+    plan = tables.build_match(spark, many_matches)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert not any("date_format" in line for line in plan[: joined + 1])
