@@ -22,7 +22,7 @@ from duskline.operators.matching import (
     wildcard_match,
 )
 from duskline.operators.rollups import join_counts, technology_rollup
-from duskline.operators.skew import HOT_MIN_ROWS, HOT_SHARE, hot_keys, salted_join
+from duskline.operators.skew import HOT_MIN_ROWS, HOT_SHARE, hot_keys, salted_join, tasks_for, total_rows
 from duskline.session import ts_lit
 
 # The state of a running resource and of a new impact row.
@@ -178,7 +178,8 @@ def fact_impact(
 
     Risk is worked out per notice and the technology key per triple; the only
     join as large as the fact is the last one, on technology_sk, between two
-    sides that are distinct already. Technologies many assets share are salted.
+    sides that are distinct already. Technologies many assets share are salted, and the
+    number of tasks follows the impacts, which are counted when the plan is made.
     """
     day_sk, day = snapshot_columns(as_of)
     triples = known_triples(technology, dim_tech)
@@ -191,7 +192,8 @@ def fact_impact(
     covered = covers.join(per_class, "notice_class").groupBy("technology_sk").agg(F.sum("n").alias("notices"))
     counts = counts.join(covered, "technology_sk").select("technology_sk", (F.col("technology_rows") * F.col("notices")).alias("impacts"))
     hot = hot_keys(counts, ["technology_sk"], "impacts", share, min_rows)
-    rows = salted_join(many, few, ["technology_sk"], hot, ["asset_sk"])
+    tasks = tasks_for(technology.sparkSession, total_rows(counts, "impacts"))
+    rows = salted_join(many, few, ["technology_sk"], hot, ["asset_sk"], tasks)
     return rows.select(
         day_sk.alias("date_sk"),
         "asset_sk",

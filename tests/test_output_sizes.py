@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskline.operators import matching
-from duskline.queries import joins, tables
+from duskline.queries import entities, joins, tables
 
 NOTICES, PARTS = 400, 8000
 
@@ -60,3 +60,8 @@ def test_build_match_writes_dates_before_the_match(spark, many_matches):
     plan = tables.build_match(spark, many_matches)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     joined = next(i for i, line in enumerate(plan) if "Join Inner" in line)
     assert not any("date_format" in line for line in plan[: joined + 1])
+
+
+def test_fact_impact_is_dealt_by_its_rows(spark, many_matches):
+    fact = entities.impact(spark, many_matches)
+    assert tasks_with_rows(fact) > 4  # the session's shuffle partitions
