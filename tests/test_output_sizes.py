@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskline.operators import matching
-from duskline.queries import entities, joins, tables
+from duskline.queries import entities, joins, reports, tables
 
 NOTICES, PARTS = 400, 8000
 
@@ -65,3 +65,16 @@ def test_build_match_writes_dates_before_the_match(spark, many_matches):
 def test_fact_impact_is_dealt_by_its_rows(spark, many_matches):
     fact = entities.impact(spark, many_matches)
     assert tasks_with_rows(fact) > 4  # the session's shuffle partitions
+
+
+def test_alert_table_moves_its_lines_once(spark, many_matches):
+    table = reports.rpt_alert_table(spark, many_matches)
+    order = ("days_to_retirement", "asset_name", "environment", "runtime_name", "runtime_version")
+    rows = [tuple((r[c] is not None, r[c]) for c in order) for r in table.collect()]
+    assert rows == sorted(rows) and table.distinct().count() == len(rows) > 100_000
+    shown = table._jdf.queryExecution().executedPlan().toString().split("Join", 1)[0]
+    assert shown.count("Exchange") == 1
+    # The same lines from the fact.
+    fact = entities.impact(spark, many_matches).select("asset_sk", "technology_sk", "risk_band_sk", "days_to_retirement", "priority")
+    named = fact.join(entities.assets(spark, many_matches), "asset_sk").join(entities.dim_technology(spark, many_matches), "technology_sk")
+    assert named.select("asset_name", "environment", "runtime_name", "runtime_version", "days_to_retirement", "priority", "risk_band_sk").distinct().count() == len(rows)
