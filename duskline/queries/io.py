@@ -11,7 +11,7 @@ from duskline.queries import entities as e
 from duskline.queries.projections import landed_notices, landed_resources
 from duskline.queries.registry import query, table
 from duskline.queries.tables import landed
-from duskline.session import scratch
+from duskline.session import scratch, staged
 from duskline.sinks import landing as landing_sink
 from duskline.sinks.tables import TableStore
 from duskline.sources import landing, reference, schemas
@@ -417,7 +417,8 @@ def stream_notice_events(spark, sf):
     """Notices of three runs, loaded after each by the notice stream: events carry the newest file's status and dates."""
     root = scratch(spark, "stream-notices")
     store = TableStore(spark, f"{root}/tables")
-    rows = landed(spark, sf).drop("source_path")
+    # Three runs land from these rows, which are grouped once.
+    rows = staged(landed(spark, sf).drop("source_path"), "stream-notices-rows")
     for status in ("F", "O", "P"):
         landing_sink.land_json(rows.filter(F.col("status") == status).withColumn("run_id", F.lit(status)), f"{root}/landing", ["run_id"])
         run = incremental.stream_notices(store, f"{root}/landing", f"{root}/log", e.AS_OF, e.RUN_TS, multiline=False)

@@ -135,6 +135,7 @@ class TableStore:
 
         A keyed table is partitioned by a hash bucket of its key. Only the buckets that ``df``
         has keys of are read, merged and written again (Spark's dynamic partition overwrite).
+        Where these are all that hold rows, the table gets a new version instead.
         Say ``unique`` where ``df`` already has one row per key.
         """
         source = df if unique else one_row_per_key(df, keys, strict=strict)
@@ -150,7 +151,13 @@ class TableStore:
             return
         buckets = int(column[len(BUCKET):])
         source = staged(source, f"upsert-{name}")
-        before = self.touched_rows(name, source, keys)
+        touched = self.touched_buckets(name, source, keys)
+        if self.filled_buckets(name) <= touched:
+            # Every row may change: a new version, for which nothing has to be staged.
+            merged = merge_rows(self.read(name), source, keys, keep)
+            self._put_buckets(merged, keys, buckets, self._path(name, self._versions(name)[-1] + 1))
+            return
+        before = self.touched_rows(name, source, keys, touched)
         # Spark cannot overwrite a folder it is reading, so the new buckets are staged first.
         merged = staged(merge_rows(before, source, keys, keep), f"buckets-{name}")
         self._put_buckets(merged, keys, buckets, self._path(name, self._versions(name)[-1]), "dynamic")
@@ -169,22 +176,38 @@ class TableStore:
         merged = staged(combine(both), f"fold-{name}")
         self._put_buckets(merged, keys, int(column[len(BUCKET):]), self._path(name, self._versions(name)[-1]), "dynamic")
 
-    def touched_rows(self, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
+    def _bucket_column(self, name: str) -> str:
+        return next(c for c in self._stored(name).columns if c.startswith(BUCKET))
+
+    def touched_buckets(self, name: str, source: DataFrame, keys: list[str]) -> set[int]:
+        """The buckets that hold a key of ``source``."""
+        buckets = int(self._bucket_column(name)[len(BUCKET):])
+        numbers = source.select(bucket_of(keys, buckets).alias("bucket")).distinct()
+        return {r["bucket"] for r in numbers.collect()}
+
+    def filled_buckets(self, name: str) -> set[int]:
+        """The buckets that a table has files of, by its folder names."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self._path(name, self._versions(name)[-1]))
+        names = [s.getPath().getName() for s in folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)]
+        return {int(n.split("=")[1]) for n in names if n.startswith(BUCKET)} - {-1}
+
+    def touched_rows(self, name: str, source: DataFrame, keys: list[str], touched: set[int] | None = None) -> DataFrame:
         """The rows of the buckets that hold a key of ``source``; other buckets are not read.
 
         The list of touched buckets has one number per bucket at most, so it goes into
         the scan as a partition filter.
         """
         stored = self._stored(name)
-        column = next(c for c in stored.columns if c.startswith(BUCKET))
-        numbers = source.select(bucket_of(keys, int(column[len(BUCKET):])).alias("bucket")).distinct()
-        return stored.filter(F.col(column).isin([r["bucket"] for r in numbers.collect()])).drop(column)
+        touched = self.touched_buckets(name, source, keys) if touched is None else touched
+        column = self._bucket_column(name)
+        return stored.filter(F.col(column).isin(sorted(touched))).drop(column)
 
     def _put_buckets(self, df: DataFrame, keys: list[str], buckets: int, path: str, how: str = "static") -> None:
         """Write whole buckets; in the ``dynamic`` way those of which ``df`` has no row stay as they are."""
         column = f"{BUCKET}{buckets}"
         dealt = df.withColumn(column, bucket_of(keys, buckets)).hint("rebalance", column)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(column).parquet(path)
+        dealt.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", how).partitionBy(column).parquet(path)
         if how == "static":
             # A table without rows has no file: this one keeps the columns.
             df.limit(0).write.mode("overwrite").parquet(f"{path}/{column}=-1")

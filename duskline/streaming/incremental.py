@@ -48,11 +48,12 @@ def upsert_stream(
     checkpoint: str,
     transform=lambda batch: batch,
     keep: tuple[str, ...] = (),
+    unique: bool = False,
 ) -> StreamingQuery:
-    """Upsert everything that has arrived since the last run, then stop."""
+    """Upsert everything that has arrived since the last run, then stop; ``unique`` where ``transform`` gives one row per key."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(transform(batch), name, keys, keep)
+        store.upsert(transform(batch), name, keys, keep, unique=unique)
 
     return _stream(source, apply, checkpoint)
 
@@ -108,11 +109,11 @@ def stream_raw_notices(
 def stream_notices(
     store: TableStore, path: str, checkpoint: str, as_of: dt.date, run_ts, origin: Origin = Origin(), multiline: bool = True
 ) -> StreamingQuery:
-    """Landed notices straight into the event table."""
+    """Landed notices straight into the event table. A batch is reduced to the newest row of each notice, and a key is one notice."""
 
     def to_events(batch: DataFrame) -> DataFrame:
         raw = bronze.notice_bronze(batch, run_ts, origin)
         return silver.deprecation_event(silver.notice_base(raw, as_of), run_ts, origin)
 
     source = stream_json(store.spark, path, schemas.NOTICE, multiline)
-    return upsert_stream(source, store, "slv_deprecation_event", ["deprecation_sk"], checkpoint, to_events, ("first_seen_at",))
+    return upsert_stream(source, store, "slv_deprecation_event", ["deprecation_sk"], checkpoint, to_events, ("first_seen_at",), unique=True)

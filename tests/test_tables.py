@@ -345,3 +345,30 @@ def test_newest_resource_aggregates_no_wide_column(spark):
     flat = spark.sql("SELECT 'r' AS resource_id, 'big' AS properties_json, 'f' AS source_path, timestamp'2026-01-01' AS collected_at")
     plan = silver.newest_resource(flat.unionByName(flat).repartition(2))._jdf.queryExecution().optimizedPlan().toString()
     assert all("properties_json" not in line for line in plan.splitlines() if "Aggregate [" in line)
+
+
+def test_upsert_of_every_bucket_is_a_new_version(spark, store, rows):
+    """Nothing is staged for it; an upsert of some buckets stays within the version."""
+    made = lambda: [f for f in os.listdir(f"{working_dir(spark)}/duskline") if f.startswith("buckets-whole-")]
+    staged(spark.range(1), "any")
+    store.upsert(spark.range(200).select("id", F.lit("a").alias("v"), F.lit(1).alias("first")), "whole", ["id"], ("first",))
+    store.upsert(spark.range(100, 400).select("id", F.lit("b").alias("v"), F.lit(2).alias("first")), "whole", ["id"], ("first",))
+    assert store._versions("whole") == [1, 2] and not made()
+    want = [(i, "a" if i < 100 else "b", 1 if i < 200 else 2) for i in range(400)]
+    assert sorted(tuple(r) for r in store.read("whole").collect()) == want
+    store.upsert(spark.range(1).select("id", F.lit("c").alias("v"), F.lit(3).alias("first")), "whole", ["id"], ("first",))
+    assert store._versions("whole") == [1, 2] and len(made()) == 1
+    assert sorted(tuple(r) for r in store.read("whole").collect()) == [(0, "c", 1), *want[1:]]
+
+
+def test_notice_batches_are_unique_already(spark, tmp_path, store, monkeypatch):
+    """The newest row of each notice is found once; the upsert does not look for it again."""
+
+    def again(*_, **__):
+        raise AssertionError("made unique twice")
+
+    monkeypatch.setattr("duskline.sinks.tables.one_row_per_key", again)
+    days = spark.createDataFrame([("2024-01-01", "t", "Open", "2026-01-01", 2026), ("2024-01-01", "t", "Retired", "2026-01-01", 2026)], "created string, title string, status string, retire_date string, retire_year long")
+    sink.land_json(days.withColumn("run_id", F.lit("a")), str(tmp_path / "in"), ["run_id"])
+    stream_notices(store, str(tmp_path / "in"), str(tmp_path / "log"), dt.date(2025, 1, 1), "2025-01-01 00:00:00", multiline=False).awaitTermination()
+    assert store.read("slv_deprecation_event").count() == 1
