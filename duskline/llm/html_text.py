@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duskline.llm.common import bounded_batches, staged, text_of, without
+from duskline.llm.common import bounded_batches, numbered, staged, text_of
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -155,17 +155,19 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return marked
 
 
-def main_text(lines: list[str], zones: np.ndarray, shared: np.ndarray) -> str:
-    """Without a marked article: the loose blocks that the neighbour does not share.
+def main_text(lines: list[str], zones: np.ndarray, shared: np.ndarray | None) -> str:
+    """The blocks that the neighbour does not share, checked by their zones.
 
-    Where the neighbour shares all of them, the pages are copies of one another and
-    the blocks stay.
+    What is aside goes though the neighbour has no such line (adverts differ from page
+    to page); what stands inside a marked article stays though it has (copies, quoted
+    passages). Without a neighbour, or where it shares all, the zones alone decide:
+    the marked article, or else the loose blocks.
     """
-    loose = zones == LOOSE
-    keep = loose & ~shared
-    if not keep.any():
-        keep = loose
-    return " ".join(line for line, k in zip(lines, keep) if k)
+    marked, content = zones == ARTICLE, zones != ASIDE
+    own = content if shared is None else content & ~shared
+    if shared is None or not own.any():
+        own = marked if marked.any() else content
+    return " ".join(line for line, k in zip(lines, own | marked) if k)
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
@@ -204,59 +206,58 @@ def _neighbours(keys: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: list[str] | None = None) -> DataFrame:
     """``pages`` with ``text``, the main text, one row per input row.
 
-    One pass cuts each whole page into blocks. Menus, headers, footers, sidebars,
-    notices, adverts, forms, scripts, styles and comments go by tag or name. Pages
-    are paired with the nearest page of their host by URL path; hashes of the pair's
-    lines are aligned by a longest common subsequence, and shared lines are deleted.
-    What stands inside an article or main element is never deleted that way (copies
-    of an article, and passages that many articles quote, are content), so a page
-    with one needs no partner: it goes straight through, and only its line hashes
-    serve its neighbours. Only pages without one are shuffled with their lines.
+    A first pass cuts each whole page into blocks and keeps their hashes. Every page is
+    paired with the nearest page of its host by URL path; the hashes of the pair's
+    blocks are aligned by a longest common subsequence. A second pass cuts the pages
+    again and deletes the shared blocks. Then the markup is checked: menus, headers,
+    footers, sidebars, notices, adverts, forms and comments go by tag or name where the
+    neighbour has other ones, and what stands inside an article or main element comes
+    back where it was shared (copies of an article, and passages that many articles
+    quote, are content). So differencing decides for all blocks that the markup leaves open.
 
     Null html is empty and gives an empty text. Null urls are one host. A page alone
-    on its host shares nothing. ``carry`` names the columns to keep (all by default);
-    one named ``text`` is replaced. Repeated rows are rows of their own.
+    on its host shares nothing. Pages with equal url (but for its query) and html are
+    one page for the pairing, and rows of their own in the result. ``carry`` names the
+    columns to keep (all by default); one named ``text`` is replaced.
     """
     bounded_batches(pages.sparkSession, 200)
     wanted = [c for c in (carry if carry is not None else pages.columns) if c.lower() != "text"]
 
-    @F.pandas_udf("article string, lines array<string>, zones array<int>, hashes array<long>")
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<long>")
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            rows = []
-            for page in batch:
-                got = blocks(page)
-                hashes = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in got]
-                marked = [t for t, zone in got if zone == ARTICLE]
-                if marked:
-                    rows.append((" ".join(marked), None, None, hashes))
-                else:
-                    rows.append((None, [t for t, _ in got], [zone for _, zone in got], hashes))
-            yield pd.DataFrame(rows, columns=["article", "lines", "zones", "hashes"])
-
-    bare = F.regexp_replace(text_of(url_col), r"[?#].*$", "").alias("bare")
-    own = pages.select(*[F.col(f"`{c}`") for c in wanted], bare, F.monotonically_increasing_id().alias("__row"), parse(F.col(f"`{html_col}`")).alias("__got"))
-    host = F.lower(F.regexp_extract("bare", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/]*)", 1))
-    path = F.regexp_replace("bare", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/]*", "")
-    own = staged(own.select(*[F.col(f"`{c}`") for c in wanted], "__row", host.alias("__host"), path.alias("__path"), "__got.*"), "pages-parsed")
-    near = _neighbours(own.select(F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__row").alias("row")))
-    alone = own.filter("article is null")
-    wants = near.join(alone.select(F.col("__row").alias("for")), F.col("row") == F.col("for"), "left_semi")
-    there = own.select(F.col("__row").alias("there"), F.col("hashes").alias("other"))
-    met = staged(wants.join(there, F.col("near") == F.col("there"), "left").select(F.col("row").alias("__of"), "other"), "pages-near")
-    pair = alone.join(met, F.col("__row") == F.col("__of"))
+            yield pd.Series(
+                [[xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in blocks(page)] for page in batch], dtype=object
+            )
 
-    @F.pandas_udf("string")
-    def text(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for lines, zones, hashes, other in batches:
+    @F.pandas_udf("array<boolean>")
+    def aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for here, there in batches:
             yield pd.Series(
-                [
-                    main_text(list(l), np.asarray(z), common_lines(np.asarray(h, dtype=np.int64), np.asarray([] if o is None else o, dtype=np.int64)))
-                    for l, z, h, o in zip(lines, zones, hashes, other)
-                ],
+                [None if o is None else common_lines(np.asarray(h, dtype=np.int64), np.asarray(o, dtype=np.int64)).tolist() for h, o in zip(here, there)],
                 dtype=object,
             )
 
-    kept = [F.col(f"`{c}`") for c in wanted]
-    marked = own.filter("article is not null").select(*kept, F.col("article").alias("text"))
-    return marked.union(pair.select(*kept, text("lines", "zones", "hashes", "other").alias("text")))
+    @F.pandas_udf("string")
+    def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch, shared in batches:
+            rows = []
+            for page, s in zip(batch, shared):
+                got = blocks(page)
+                zones = np.array([zone for _, zone in got], dtype=np.int64)
+                rows.append(main_text([t for t, _ in got], zones, None if s is None else np.asarray(s, dtype=bool)))
+            yield pd.Series(rows, dtype=object)
+
+    bare = F.regexp_replace(text_of(f"`{url_col}`"), r"[?#].*$", "")
+    key = F.md5(F.concat(F.length(bare).cast("string"), F.lit(":"), bare, text_of(f"`{html_col}`")))
+    host = F.lower(F.regexp_extract(bare, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/]*)", 1))
+    path = F.regexp_replace(bare, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/]*", "")
+    cut = pages.select(key.alias("key"), host.alias("host"), path.alias("path"), hashed(F.col(f"`{html_col}`")).alias("hashes"))
+    own = numbered(cut.dropDuplicates(["key"]), "pages-cut", "row")
+    near = _neighbours(own.select("host", "path", "row")).filter("near is not null")
+    there = own.select(F.col("row").alias("near"), F.col("hashes").alias("other"))
+    met = near.join(there, "near").join(own.select("row", "key", "hashes"), "row")
+    marks = staged(met.select(F.col("key").alias("__of"), aligned("hashes", "other").alias("__shared")), "pages-shared")
+    rows = pages.select(*[F.col(f"`{c}`") for c in wanted], F.col(f"`{html_col}`").alias("__html"), key.alias("__key"))
+    rows = rows.join(marks.hint("merge"), F.col("__key") == F.col("__of"), "left")
+    return rows.select(*[F.col(f"`{c}`") for c in wanted], text("__html", "__shared").alias("text"))

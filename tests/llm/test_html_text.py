@@ -93,3 +93,14 @@ def test_every_page_meets_its_nearest(spark):
     keys = spark.createDataFrame([("h", p, i) for i, p in enumerate(paths)] + [("k", "/a", 9)], "host string, path string, row long")
     near = {r["row"]: r["near"] for r in html_text._neighbours(keys).collect()}
     assert near == {0: 1, 1: 2, 2: 1, 3: 4, 4: 3, 5: 4, 9: None}
+
+
+def test_pages_with_a_marked_article_are_differenced(spark):
+    """What the markup leaves open beside the article goes if the neighbour has it and stays if not."""
+    page = "<nav>n</nav><div>Our site</div><div><h1>Title {0}</h1></div><article><p>Quoted</p><p>Body {0}</p></article><div class=ad>ad {0}</div><div>Call us</div>"
+    rows = [(i, f"http://h.example/news/{i}", page.format(i), None) for i in range(6)]
+    rows += [(10, "http://alone.example/1", page.format(10), None), (11, "http://c.example/1", page.format(11), None), (12, "http://c.example/2", page.format(11), None)]
+    rows += [(20, "http://h.example/news/3", page.format(3), None)]  # a repeated row is not its own neighbour
+    got = run(spark, rows)
+    assert {i: got[i] for i in range(6)} == {i: f"Title {i} Quoted Body {i}" for i in range(6)}
+    assert got[10] == "Quoted Body 10" and got[11] == got[12] == "Quoted Body 11" and got[20] == got[3]
