@@ -175,6 +175,8 @@ KEYS = 32
 KEY_HASHES = 5
 # Hubs per key in each round after the first.
 HUBS = 8
+# Texts under a key that are all paired with each other, once: at most 7.5 pairs a row.
+FEW = 16
 # Sketches this far below the wanted similarity (8 standard errors for SKETCH at
 # 0.8) settle that a pair is not alike; all others are compared whole.
 MARGIN = 0.2
@@ -263,14 +265,24 @@ def _meetings(shared: DataFrame, member: DataFrame, turns: list[int]) -> DataFra
     """
     here = shared.join(member, "node").select("key", "part", "node", "meets")
     apart = here.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    here = here.join(apart.select("key"), "key", "left_semi").withColumn("turn", F.explode(F.array(*[F.lit(t) for t in turns])))
-    rank = F.when(F.col("turn") == 0, -F.col("meets")).otherwise(F.xxhash64("node", "turn"))
-    one = F.min(F.struct(rank.alias("by"), F.col("node")))
-    here = here.groupBy("key", "turn", "part").agg(one.alias("one")).select("key", "turn", "part", "one")
-    rank = F.when(F.col("turn") == 0, F.col("one.by")).otherwise(F.xxhash64("part", "turn"))
-    hubs = here.groupBy("key", "turn").agg(F.min(F.struct(rank.alias("by"), F.col("one.node").alias("node"), F.col("part"))).alias("hub"))
-    met = here.join(hubs, ["key", "turn"]).filter(F.col("part") != F.col("hub.part"))
-    return met.select(F.least("hub.node", "one.node").alias("hub"), F.greatest("hub.node", "one.node").alias("node")).distinct()
+    here = here.join(apart.select("key"), "key", "left_semi")
+    # All turns stand in one row per group and key, and in one row per key for the hubs: the join makes no more rows than there are groups.
+    rank = {t: -F.col("meets") if t == 0 else F.xxhash64("node", F.lit(t)) for t in turns}
+    here = here.groupBy("key", "part").agg(*[F.min(F.struct(rank[t].alias("by"), F.col("node"))).alias(f"one{t}") for t in turns])
+    rank = {t: F.col(f"one{t}.by") if t == 0 else F.xxhash64("part", F.lit(t)) for t in turns}
+    hubs = here.groupBy("key").agg(
+        *[F.min(F.struct(rank[t].alias("by"), F.col(f"one{t}.node").alias("node"), F.col("part"))).alias(f"hub{t}") for t in turns]
+    )
+    pair = [F.struct(F.col(f"hub{t}.node").alias("hub"), F.col(f"hub{t}.part").alias("of"), F.col(f"one{t}.node").alias("node")) for t in turns]
+    met = here.join(hubs, "key").select("part", F.explode(F.array(*pair)).alias("m")).filter(F.col("part") != F.col("m.of"))
+    return met.select(F.least("m.hub", "m.node").alias("hub"), F.greatest("m.hub", "m.node").alias("node")).distinct()
+
+
+def _all_meetings(shared: DataFrame, member: DataFrame) -> DataFrame:
+    """All pairs ``(hub, node)`` of texts of different groups that share a key; for keys of at most ``FEW`` texts."""
+    here = shared.join(member, "node")
+    a, b = (here.select("key", F.col("part").alias(f"{x}_part"), F.col("node").alias(x)) for x in ("hub", "node"))
+    return a.join(b, "key").filter("hub < node and hub_part <> node_part").select("hub", "node").distinct()
 
 
 def near_copies(
@@ -289,7 +301,8 @@ def near_copies(
     Bits of a hash miss some pairs, and a link to one text of a fingerprint says nothing
     of the others. So texts then also meet under ``KEYS`` keys of least shingle hashes, of
     which two alike by 0.8 share ten on average. Only texts that are not yet of one group
-    are paired, one per group and key with a few hubs, in rounds until one over all keys links no more.
+    are paired: under a key of at most ``FEW`` texts all of them, once, under other keys one per group
+    with a few hubs, in rounds until one over all these keys links no more.
     All that meets is compared by whole sets of shingles, unless the sketches are far apart.
 
     Texts with equal words in a row (letter case aside) are one text throughout: a
@@ -348,12 +361,14 @@ def near_copies(
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     keyed = staged(keyed.join(several, "key"), "copies-met")
     meets = keyed.groupBy("node").agg(F.sum("n").alias("meets"))
-    shared = staged(keyed.drop("n").join(meets, "node"), "copies-keys")
+    few = keyed.filter(F.col("n") <= FEW).select("key", "node")
+    shared = staged(keyed.filter(F.col("n") > FEW).drop("n").join(meets, "node"), "copies-keys")
     turn = 0
     while True:
         member = nodes.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
         member = member.select("node", F.coalesce("component", "node").alias("part"))
         met = _meetings(shared, member, [HUBS * turn + i for i in range(HUBS)] if turn else [0])
+        met = met if turn else met.union(_all_meetings(few, member)).distinct()
         met = staged(met.join(tested, ["hub", "node"], "left_anti"), f"copies-met-{turn}")
         more = confirmed(met, f"alike-{turn}")
         if more.limit(1).count():

@@ -241,3 +241,41 @@ def test_long_texts_are_compared_whole(spark):
     assert 20 <= sum(want[i] != i for i in want) <= 40
     out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
     assert out == want
+
+
+def test_the_one_pair_of_a_small_group_is_found(spark):
+    """Fourteen texts unlike each other by the limit but for one pair: no text meets most others."""
+    rng = random.Random(41)
+    rows = []
+    for k in range(40):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(200)]
+        texts = [edited(rng, base, rng.sample(range(5, 195, 10), 6)).split() for _ in range(13)]
+        texts.append(edited(rng, texts[5], range(161, 200)).split())
+        texts[-1][:161] = texts[5][:161]
+        rows += [(100 * k + i, " ".join(t)) for i, t in enumerate(texts)]
+    want = groups_of(rows)
+    out = {r["doc_id"]: r["copy_of"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out == want
+
+
+def test_hubs_of_all_turns_meet_in_one_row(spark):
+    """The pairs are those of a plain choice per turn, and rows are not repeated per turn before the join."""
+    rng = random.Random(43)
+    rows = sorted({(rng.randrange(30), rng.randrange(80)) for _ in range(600)})
+    meets = {n: sum(1 for _, m in rows if m == n) for n in range(80)}
+    shared = spark.createDataFrame([(k, n, meets[n]) for k, n in rows], "key long, node long, meets long")
+    member = spark.createDataFrame([(n, n // 2 * 2) for n in range(80)], "node long, part long")
+    got = simhash._meetings(shared, member, [0])
+    want = set()
+    for key in range(30):
+        best = {}
+        for k, n in rows:
+            if k == key:
+                best[n // 2 * 2] = min(best.get(n // 2 * 2, (0, 0)), (-meets[n], n))
+        by, hub, part = min((b, n, p) for p, (b, n) in best.items())
+        want |= {(min(hub, n), max(hub, n)) for p, (_, n) in best.items() if p != part}
+    assert {tuple(r) for r in got.collect()} == want
+    plan = simhash._meetings(shared, member, list(range(8, 16)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join Inner") and plan.count("Generate") == 1
+    apart = {tuple(r) for r in simhash._all_meetings(shared.select("key", "node"), member).collect()}
+    assert apart == {(a, b) for k, a in rows for q, b in rows if k == q and a < b and a // 2 != b // 2}
