@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -180,6 +181,9 @@ FEW = 16
 # Sketches this far below the wanted similarity (8 standard errors for SKETCH at
 # 0.8) settle that a pair is not alike; all others are compared whole.
 MARGIN = 0.2
+# Bits of each least hash in a text's code, which rows carry to where pairs are made.
+PLANES = 3
+PLANE = -(-KEYS * KEY_HASHES // 64)  # longs of one bit of all least hashes
 COPY_RESULT = ("copy_of", "kept")
 
 
@@ -213,30 +217,51 @@ def whole(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 _FACTORS = _salted(np.arange(1, KEYS * KEY_HASHES + 1, dtype=np.uint64), 7) | np.uint64(1)
 
 
-def least_keys(parts: np.ndarray) -> np.ndarray:
-    """``KEYS`` keys of a set of shingle hashes, each of its ``KEY_HASHES`` least values under as many hash functions."""
-    if not len(parts):
-        return np.zeros(0, dtype=np.int64)
+def least_hashes(parts: np.ndarray) -> np.ndarray:
+    """The least values of a set of shingle hashes under ``KEYS * KEY_HASHES`` hash functions."""
     least = np.full(KEYS * KEY_HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for a in range(0, len(parts), 1024):  # in pieces, for very long texts
         least = np.minimum(least, (parts[a : a + 1024, None].view(np.uint64) * _FACTORS[None, :]).min(axis=0))
+    return least
+
+
+def least_keys(least: np.ndarray) -> np.ndarray:
+    """``KEYS`` keys, each of ``KEY_HASHES`` least hashes."""
     keys = np.arange(1, KEYS + 1, dtype=np.uint64)
     for column in least.reshape(KEYS, KEY_HASHES).T:
         keys = _salted(keys ^ column, 1)
     return keys.view(np.int64)
 
 
-def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int], list[int]]:
-    """Key of the word sequence, fingerprints of the set of words (one per table), sketch and keys of the word shingles.
+def least_code(least: np.ndarray) -> np.ndarray:
+    """``PLANES`` bits of each least hash: ``PLANE`` longs for each of these bits."""
+    mixed = _salted(least, 2)
+    bits = np.zeros((PLANES, PLANE * 64), dtype=np.uint8)
+    for plane in range(PLANES):
+        bits[plane, : len(mixed)] = (mixed >> np.uint64(plane)).astype(np.uint8) & 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
 
-    The sketch holds the ``SKETCH`` smallest shingle hashes; a text with no more
-    distinct shingles is in it whole.
-    """
+
+def unlike(a: str, b: str) -> Column:
+    """How many least hashes differ between two codes."""
+    words = [[F.col(f"{a}")[i].bitwiseXOR(F.col(f"{b}")[i]) for i in range(w, PLANES * PLANE, PLANE)] for w in range(PLANE)]
+    return sum((F.bit_count(reduce(Column.bitwiseOR, planes)) for planes in words), F.lit(0))
+
+
+def most_unlike(least: float) -> int:
+    """More least hashes than this differ, by 8 standard errors, only between texts that are not alike by ``least``."""
+    n = KEYS * KEY_HASHES
+    equal = least + (1 - least) / 2**PLANES
+    return int(n * (1 - equal) + 8 * (n * equal * (1 - equal)) ** 0.5)
+
+
+def coded(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int], list[int], list[int]]:
+    """The :func:`signature` of a text and the code of its least hashes (both empty for a text without words)."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     line = b" ".join(words)
     key = xxhash.xxh3_128_hexdigest(line)
     if not words:
-        return key, [0] * tables, [], []
+        return key, [0] * tables, [], [], []
     hashed = xxhash.xxh64_intdigest
     single = np.array([hashed(w, SEED) for w in set(words)], dtype=np.uint64)
     prints = []
@@ -245,7 +270,17 @@ def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) ->
         prints.append(int(np.packbits(ones, bitorder="little").view(np.int64)[0]))
     parts = np.unique(_cut(words, shingle))
     small = np.unique((parts & np.uint64(0x7FFFFFFF)).astype(np.int32))
-    return key, prints, small[:SKETCH].tolist(), least_keys(parts).tolist()
+    least = least_hashes(parts)
+    return key, prints, small[:SKETCH].tolist(), least_keys(least).tolist(), least_code(least).tolist()
+
+
+def signature(text: str | None, tables: int = TABLES, shingle: int = SHINGLE) -> tuple[str, list[int], list[int], list[int]]:
+    """Key of the word sequence, fingerprints of the set of words (one per table), sketch and keys of the word shingles.
+
+    The sketch holds the ``SKETCH`` smallest shingle hashes; a text with no more
+    distinct shingles is in it whole.
+    """
+    return coded(text, tables, shingle)[:4]
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -255,34 +290,53 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(F.size(least) == 0, 1.0).otherwise(both / F.size(least))
 
 
-def _meetings(shared: DataFrame, member: DataFrame, turns: list[int]) -> DataFrame:
+def _meetings(shared: DataFrame, member: DataFrame, turns: list[int], key: Column | str = "key", most: int | None = None) -> DataFrame:
     """Pairs ``(hub, node)`` of texts of different groups that share a key.
 
     Of each group under a key one text stands for it, and the groups' texts are paired with
     one of them, the hub: fewer pairs than rows, however many texts have the key. In turn 0
     both are texts that meet most others: an original meets all its copies, which may be
-    unlike each other. Other turns choose by a hash.
+    unlike each other. Other turns choose by a hash. ``key`` may explode the keys of a text,
+    so that its group is looked up once for all of them. With ``most`` the texts have codes,
+    and pairs with more unlike least hashes are not made.
     """
-    here = shared.join(member, "node").select("key", "part", "node", "meets")
-    apart = here.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    here = here.join(apart.select("key"), "key", "left_semi")
     # All turns stand in one row per group and key, and in one row per key for the hubs: the join makes no more rows than there are groups.
+    with_code = [] if most is None else ["code"]
+    here = shared.join(member, "node").select(key, "part", "node", "meets", *with_code)
     rank = {t: -F.col("meets") if t == 0 else F.xxhash64("node", F.lit(t)) for t in turns}
-    here = here.groupBy("key", "part").agg(*[F.min(F.struct(rank[t].alias("by"), F.col("node"))).alias(f"one{t}") for t in turns])
+    here = here.groupBy("key", "part").agg(*[F.min(F.struct(rank[t].alias("by"), F.col("node"), *with_code)).alias(f"one{t}") for t in turns])
+    # Both sides of the join are tables, so that Spark can split the rows of a key that has most of them.
+    here = staged(here, "copies-groups")
     rank = {t: F.col(f"one{t}.by") if t == 0 else F.xxhash64("part", F.lit(t)) for t in turns}
     hubs = here.groupBy("key").agg(
-        *[F.min(F.struct(rank[t].alias("by"), F.col(f"one{t}.node").alias("node"), F.col("part"))).alias(f"hub{t}") for t in turns]
+        *[F.min(F.struct(rank[t].alias("by"), F.col(f"one{t}.node").alias("node"), F.col("part"), *[f"one{t}.{c}" for c in with_code])).alias(f"hub{t}") for t in turns],
+        F.count(F.lit(1)).alias("groups"),
     )
-    pair = [F.struct(F.col(f"hub{t}.node").alias("hub"), F.col(f"hub{t}.part").alias("of"), F.col(f"one{t}.node").alias("node")) for t in turns]
+    hubs = staged(hubs.filter("groups > 1").drop("groups"), "copies-hubs")
+    pair = [F.struct(F.col(f"hub{t}.node").alias("hub"), F.col(f"hub{t}.part").alias("of"), F.col(f"one{t}.node").alias("node"),
+                     *[(unlike(f"hub{t}.code", f"one{t}.code") <= most).alias("near") for _ in with_code]) for t in turns]
     met = here.join(hubs, "key").select("part", F.explode(F.array(*pair)).alias("m")).filter(F.col("part") != F.col("m.of"))
+    met = met.filter("m.near") if with_code else met
     return met.select(F.least("m.hub", "m.node").alias("hub"), F.greatest("m.hub", "m.node").alias("node")).distinct()
 
 
-def _all_meetings(shared: DataFrame, member: DataFrame) -> DataFrame:
-    """All pairs ``(hub, node)`` of texts of different groups that share a key; for keys of at most ``FEW`` texts."""
-    here = shared.join(member, "node")
-    a, b = (here.select("key", F.col("part").alias(f"{x}_part"), F.col("node").alias(x)) for x in ("hub", "node"))
-    return a.join(b, "key").filter("hub < node and hub_part <> node_part").select("hub", "node").distinct()
+def _all_meetings(shared: DataFrame, member: DataFrame, key: Column | str = "key", most: int | None = None) -> DataFrame:
+    """All pairs ``(hub, node)`` of texts of different groups that share a key; for keys of at most ``FEW`` texts. ``most``: see :func:`_meetings`."""
+    with_code = [] if most is None else ["code"]
+    here = shared.join(member, "node").select(key, "part", "node", *with_code)
+    a, b = (here.select("key", F.col("part").alias(f"{x}_part"), F.col("node").alias(x), *[F.col(c).alias(f"{x}_code") for c in with_code]) for x in ("hub", "node"))
+    met = a.join(b, "key").filter("hub < node and hub_part <> node_part")
+    met = met.filter(unlike("hub_code", "node_code") <= most) if with_code else met
+    return met.select("hub", "node").distinct()
+
+
+def _near_meetings(links: DataFrame, firsts: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs ``(hub, node)`` of texts of different groups that stand for linked fingerprints ``(table, a, b)``."""
+    grouped = firsts.join(parts.withColumnRenamed("node", "of"), F.col("hub") == F.col("of"), "left")
+    grouped = grouped.select("table", "fp", "hub", F.coalesce("component", "hub").alias("part"))
+    a, b = (grouped.select("table", F.col("fp").alias(x), F.col("hub").alias(f"n{x}"), F.col("part").alias(f"p{x}")) for x in ("a", "b"))
+    near = links.join(a, ["table", "a"]).join(b, ["table", "b"]).filter("pa <> pb")
+    return near.select(F.least("na", "nb").alias("hub"), F.greatest("na", "nb").alias("node"))
 
 
 def near_copies(
@@ -299,9 +353,11 @@ def near_copies(
     ``copy_of`` is the smallest id of the group; ``kept`` marks one row per group.
 
     Bits of a hash miss some pairs, and a link to one text of a fingerprint says nothing
-    of the others. So texts then also meet under ``KEYS`` keys of least shingle hashes, of
-    which two alike by 0.8 share ten on average. Only texts that are not yet of one group
-    are paired: under a key of at most ``FEW`` texts all of them, once, under other keys one per group
+    of the others. So texts also meet under ``KEYS`` keys of least shingle hashes, of
+    which two alike by 0.8 share ten on average. First, texts of one fingerprint and those under
+    keys of more than ``FEW`` texts meet one text each, which makes most of a large group one.
+    After that only texts that are not yet of one group are paired: those of linked fingerprints and all under
+    a key of at most ``FEW`` texts, once, and under other keys one per group
     with a few hubs, in rounds until one over all these keys links no more.
     All that meets is compared by whole sets of shingles, unless the sketches are far apart.
 
@@ -313,11 +369,11 @@ def near_copies(
     wanted = [c for c in (carry if carry is not None else docs.columns) if c.lower() not in COPY_RESULT]
     bounded_batches(docs.sparkSession)
 
-    @F.pandas_udf("key string, prints array<long>, sketch array<int>, keys array<long>")
+    @F.pandas_udf("key string, prints array<long>, sketch array<int>, keys array<long>, code array<long>")
     def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            got = [signature(t, tables, shingle) for t in batch]
-            yield pd.DataFrame({"key": [g[0] for g in got], "prints": [g[1] for g in got], "sketch": [g[2] for g in got], "keys": [g[3] for g in got]})
+            got = [coded(t, tables, shingle) for t in batch]
+            yield pd.DataFrame({name: [g[i] for g in got] for i, name in enumerate(("key", "prints", "sketch", "keys", "code"))})
 
     # The text is read again for its shingles, under its own name where the result has it too.
     text = [] if text_col in wanted else [F.col(f"`{text_col}`").alias("__text")]
@@ -325,15 +381,12 @@ def near_copies(
     signed = numbered(signed.select(*[F.col(f"`{c}`") for c in wanted], "__id", "__s.*", *[F.col("__text") for _ in text]), "copies")
     words = F.col("__text" if text else f"`{text_col}`")
     head = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch", "keys"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
+    texts = staged(signed.groupBy("key").agg(F.min_by(F.struct("prints", "sketch", "keys", "code"), head).alias("s"), F.min(head).alias("head")), "copies-texts")
     nodes = texts.select(F.col("head.row").alias("node"), "s.prints")
     here = nodes.select("node", F.posexplode("prints").alias("table", "fp"))
     firsts = staged(here.groupBy("table", "fp").agg(F.min("node").alias("hub")), "copies-prints")
     same = here.join(firsts, ["table", "fp"]).filter("node <> hub").select("hub", "node")
-    links = staged(near_fingerprints(firsts.select("table", "fp"), tables=True), "copies-links")
-    a, b = (firsts.select("table", F.col("fp").alias(x), F.col("hub").alias(f"n{x}")) for x in ("a", "b"))
-    near = links.join(a, ["table", "a"]).join(b, ["table", "b"]).select(F.least("na", "nb").alias("hub"), F.greatest("na", "nb").alias("node"))
-    pairs = staged(same.union(near).distinct(), "copies-pairs")
+    near = staged(near_fingerprints(firsts.select("table", "fp"), tables=True), "copies-near")
     sketches = texts.select(F.col("head.row").alias("of"), "s.sketch")
 
     @F.pandas_udf("array<long>")
@@ -354,27 +407,34 @@ def near_copies(
         alike = likely.join(left, "hub").join(right, "node").filter(both / (F.size("x") + F.size("y") - both) >= least)
         return staged(alike.select(F.col("hub").alias("a"), F.col("node").alias("b")), f"copies-{label}")
 
-    links = confirmed(pairs, "alike")
-    parts = components(links, "copies")
-    tested = pairs
-    keyed = texts.select(F.col("head.row").alias("node"), F.posexplode("s.keys").alias("no", "key"))
+    keyed = texts.select(F.col("head.row").alias("node"), F.explode("s.keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    keyed = staged(keyed.join(several, "key"), "copies-met")
-    meets = keyed.groupBy("node").agg(F.sum("n").alias("meets"))
-    few = keyed.filter(F.col("n") <= FEW).select("key", "node")
-    shared = staged(keyed.filter(F.col("n") > FEW).drop("n").join(meets, "node"), "copies-keys")
-    turn = 0
+    # A row per text, so that its group is looked up once for all its keys.
+    held = keyed.join(several, "key").groupBy("node").agg(
+        F.sum("n").alias("meets"), *[F.collect_list(F.when(rule, F.col("key"))).alias(x) for x, rule in (("few", F.col("n") <= FEW), ("many", F.col("n") > FEW))]
+    )
+    codes = texts.select(F.col("head.row").alias("of"), "s.code")
+    held = staged(held.join(codes, F.col("node") == F.col("of")).drop("of"), "copies-keys")
+    most = most_unlike(least)
+    few, many = (F.explode(x).alias("key") for x in ("few", "many"))
+    # First what a large group needs to become one: its pairs of later turns are then never made.
+    alone = held.select("node", F.col("node").alias("part"))
+    tested = staged(same.union(_meetings(held, alone, [0], many, most)).distinct(), "copies-met-0")
+    links = confirmed(tested, "alike-0")
+    parts = components(links, "copies-0")
+    turn = 1
     while True:
-        member = nodes.join(parts.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-        member = member.select("node", F.coalesce("component", "node").alias("part"))
-        met = _meetings(shared, member, [HUBS * turn + i for i in range(HUBS)] if turn else [0])
-        met = met if turn else met.union(_all_meetings(few, member)).distinct()
+        member = held.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("part"))
+        if turn == 1:
+            met = _all_meetings(held, member, few, most).union(_near_meetings(near, firsts, parts)).distinct()
+        else:
+            met = _meetings(held, member, [HUBS * turn + i for i in range(HUBS)], many, most)
         met = staged(met.join(tested, ["hub", "node"], "left_anti"), f"copies-met-{turn}")
         more = confirmed(met, f"alike-{turn}")
         if more.limit(1).count():
             links = links.union(more)
             parts = components(links, f"copies-{turn}")
-        elif turn:
+        elif turn > 1:
             break
         tested = tested.union(met)
         turn += 1

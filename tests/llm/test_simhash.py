@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -279,3 +280,62 @@ def test_hubs_of_all_turns_meet_in_one_row(spark):
     assert plan.index("Generate explode") < plan.index("Join Inner") and plan.count("Generate") == 1
     apart = {tuple(r) for r in simhash._all_meetings(shared.select("key", "node"), member).collect()}
     assert apart == {(a, b) for k, a in rows for q, b in rows if k == q and a < b and a // 2 != b // 2}
+
+
+def test_codes_leave_out_no_pair_that_is_alike():
+    """Fewer least hashes differ between texts alike by 0.8 than a pair may have, and more between texts unlike each other."""
+    rng = random.Random(47)
+    most = simhash.most_unlike(0.8)
+
+    def apart(x, y):
+        a, b = (np.array(simhash.coded(t)[4]).reshape(simhash.PLANES, simhash.PLANE) for t in (x, y))
+        return sum(int(v).bit_count() for v in np.bitwise_or.reduce(a ^ b, axis=0).view(np.uint64))
+
+    for _ in range(100):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(rng.randrange(50, 250))]
+        n = (len(base) - 4) // 10
+        near, far = (edited(rng, base, range(len(base) - k, len(base))) for k in (n, 6 * n))
+        assert alike(" ".join(base), near) >= 0.8 and apart(" ".join(base), near) <= most
+        assert alike(" ".join(base), far) < 0.4 and apart(" ".join(base), far) > most - 20
+    assert apart("a b c", "A  b c") == 0 and simhash.coded(" ")[3:] == ([], []) and simhash.most_unlike(0) >= 160
+
+
+def test_a_large_group_makes_no_pairs_of_its_own_in_later_rounds(spark, monkeypatch):
+    """Copies of one text are one group after the first round: no pair of two of them is met again."""
+    rng = random.Random(53)
+    base = [f"w{rng.getrandbits(40):x}" for _ in range(200)]
+    rows = [(k, edited(rng, base, rng.sample(range(200), 1))) for k in range(300)] + [(900, " ".join(base))]
+    made = {}
+    staged = simhash.staged
+
+    def counted(df, label):
+        made[label] = staged(df, label)
+        return made[label]
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    out = simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r["copy_of"] for r in out} == {0}
+    assert 0 < made["copies-met-0"].count() < 16 * len(rows)
+    assert sum(made[label].count() for label in made if label.startswith("copies-met-") and label != "copies-met-0") == 0
+
+
+def test_keys_of_a_text_look_up_its_group_once(spark):
+    """Exploded keys give the same pairs as a row per key, and codes leave out none that is close."""
+    rng = random.Random(59)
+    held = [(n, n % 7, [rng.randrange(20) for _ in range(6)], [rng.getrandbits(8)] * 9) for n in range(60)]
+    frame = spark.createDataFrame(held, "node long, meets long, many array<long>, code array<long>")
+    flat = frame.select("node", "meets", F.explode("many").alias("key"))
+    member = spark.createDataFrame([(n, n // 3 * 3) for n in range(60)], "node long, part long")
+    turns, key = [8, 9], F.explode("many").alias("key")
+    code = {n: c for n, _, _, c in held}
+
+    def close(pairs):
+        return {(a, b) for a, b in pairs if sum(simhash_bits(code[a], code[b])) <= 15}
+
+    def simhash_bits(a, b):
+        return [((a[w] ^ b[w]) | (a[w + 3] ^ b[w + 3]) | (a[w + 6] ^ b[w + 6])).bit_count() for w in range(3)]
+
+    for of, how in ((simhash._meetings, (turns,)), (simhash._all_meetings, ())):
+        want = {tuple(r) for r in of(flat, member, *how).collect()}
+        assert {tuple(r) for r in of(frame, member, *how, key).collect()} == want
+        assert close(want) and {tuple(r) for r in of(frame, member, *how, key, 15).collect()} == close(want) != want
