@@ -339,3 +339,52 @@ def test_keys_of_a_text_look_up_its_group_once(spark):
         want = {tuple(r) for r in of(flat, member, *how).collect()}
         assert {tuple(r) for r in of(frame, member, *how, key).collect()} == want
         assert close(want) and {tuple(r) for r in of(frame, member, *how, key, 15).collect()} == close(want) != want
+
+
+def test_only_pairs_that_remain_become_rows(spark):
+    """Pairs of several turns and keys are one row, pairs with codes too far apart none."""
+    rng = random.Random(61)
+    keys, codes = list(range(12)), [[rng.getrandbits(60) for _ in range(9)] for _ in range(2)]
+    held = [(n, 12, keys, codes[n % 2]) for n in range(24)]  # all texts under all keys, alike by halves
+    frame = spark.createDataFrame(held, "node long, meets long, many array<long>, code array<long>")
+    member = spark.createDataFrame([(n, n) for n in range(24)], "node long, part long")
+    turns = list(range(8, 16))
+    met = simhash._meetings(frame, member, turns, F.explode("many").alias("key"), 15)
+    pairs = [tuple(r) for r in met.collect()]
+    assert pairs and len(set(pairs)) == len(pairs) and all(a < b and (b - a) % 2 == 0 for a, b in pairs)
+    made = rows_made(met, "Generate explode(pairs")
+    assert len(pairs) <= made <= 24 * len(turns) and made < 2 * len(pairs)
+
+
+def rows_made(df, node):
+    """Rows out of the nodes of the executed plan that begin with ``node``."""
+    found = []
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if plan.simpleString(200).startswith(node):
+            found.append(plan.metrics().apply("numOutputRows").value())
+        for i in range(plan.children().length()):
+            walk(plan.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_a_fingerprint_is_shuffled_once_per_bucket(spark):
+    """68 rows a fingerprint reach the first shuffle; its 196 variants are made after it, in the same task."""
+    rng = random.Random(67)
+    frame = spark.createDataFrame([(signed(rng.getrandbits(64)),) for _ in range(200)], "fp long")
+    links = simhash.near_fingerprints(frame)
+    links._jdf.queryExecution().executedPlan()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    # Dealt by bucket, by key where several meet, and for the distinct links.
+    assert plan.count("Exchange hashpartitioning(bucket") == 1 and plan.count("Exchange hashpartitioning(key") == 1 and plan.count("Exchange") == 3
+    found = {(r["a"], r["b"]) for r in links.collect()}
+    assert not found
+    before = plan[plan.index("Exchange hashpartitioning(bucket") :]
+    assert before.count("Generate") == 2
