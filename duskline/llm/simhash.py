@@ -111,8 +111,10 @@ def near_fingerprints(prints: DataFrame, tables: bool = False) -> DataFrame:
     rows = rows.select("fp", F.shiftrightunsigned(_rolled("block").bitwiseAND(F.lit(low)), KEPT - HOME).cast("int").alias("home"), tag.alias("tag"))
     near = F.explode(F.array(*[F.col("home").bitwiseXOR(F.lit(m)).bitwiseOR(F.shiftleft("tag", HOME)) for m in _masks(HOME, 1)]))
     rows = rows.select("fp", near.alias("bucket"))
-    # One row brings a fingerprint to all its variants of a bucket; these are made there.
-    rows = rows.repartition("bucket")
+    # One row brings a fingerprint to all its variants of a bucket; these are made there. Rows multiply after both shuffles,
+    # so the number of tasks is given: by what they read, Spark would make too few.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "bucket")
     tag = F.shiftrightunsigned("bucket", HOME)
     rows = rows.select("fp", "bucket", tag.cast("long").alias("tag"), _rolled(tag % BLOCKS).bitwiseAND(F.lit(low)).alias("rolled"))
     away = F.shiftrightunsigned("rolled", KEPT - HOME).bitwiseXOR(F.col("bucket").bitwiseAND(F.lit(part)).cast("long"))
@@ -122,7 +124,7 @@ def near_fingerprints(prints: DataFrame, tables: bool = False) -> DataFrame:
     rows = rows.select("fp", "bucket", F.col("rolled").bitwiseXOR(F.col("flip")).bitwiseOR(F.shiftleft("tag", KEPT)).alias("key"))
     met = Window.partitionBy("key", "bucket")  # a key is of one bucket, so nothing is shuffled again
     rows = rows.withColumn("least", F.min("fp").over(met)).withColumn("most", F.max("fp").over(met))
-    crowd = rows.filter("least <> most").select("fp", "key").repartition("key")
+    crowd = rows.filter("least <> most").select("fp", "key").repartition(tasks, "key")
     tagged = F.shiftrightunsigned("key", KEPT).cast("int")
     crowd = crowd.select("fp", "key", _rolled(tagged % BLOCKS).alias("rolled"))
     flipped = F.bit_count(F.col("rolled").bitwiseXOR(F.col("key")).bitwiseAND(F.lit(low)))
