@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duskline.operators import matching
+from duskline.plans import reports as report_plans
 from duskline.queries import entities, joins, reports, tables
 
 NOTICES, PARTS = 400, 8000
@@ -78,3 +79,35 @@ def test_alert_table_moves_its_lines_once(spark, many_matches):
     fact = entities.impact(spark, many_matches).select("asset_sk", "technology_sk", "risk_band_sk", "days_to_retirement", "priority")
     named = fact.join(entities.assets(spark, many_matches), "asset_sk").join(entities.dim_technology(spark, many_matches), "technology_sk")
     assert named.select("asset_name", "environment", "runtime_name", "runtime_version", "days_to_retirement", "priority", "risk_band_sk").distinct().count() == len(rows)
+
+
+def test_alert_lines_are_made_after_they_are_dealt(spark, many_matches):
+    """Days of a place are shuffled as one row per range, not line by line."""
+    plan = reports.rpt_alert_table(spark, many_matches)._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.find("Generate explode") < plan.find("RepartitionByExpression")
+
+
+def test_alert_table_of_crowded_and_missing_days(spark):
+    """A day with most lines is split, missing days and names come first, and equal lines of two technologies are one."""
+    names = [None, *[f"n{i:02d}" for i in range(20)]]
+    assets = spark.createDataFrame([(f"a{i}", n, "prod" if i % 2 else None) for i, n in enumerate(names)], "asset_sk string, asset_name string, environment string")
+    technologies = spark.createDataFrame([("t1", "x", "1"), ("t2", "x", "1"), ("t3", None, "2")], "technology_sk string, runtime_name string, runtime_version string")
+    places = [(t, f"a{i}") for i in range(21) for t in (("t1", "t2") if i % 3 else ("t3",))]
+    dated = [("c1", f"d{i}", day, priority, band) for i, (day, priority, band) in enumerate(
+        [(7, "low", "1"), (7, "high", "2"), (7, "medium", "3"), (7, None, "4"), (None, "low", "4"), (-3, "low", "1"), (9, "low", "4"), (9, "high", "2"), (300, "low", "9")])]
+    covers = [("c1", "t1"), ("c1", "t2"), ("c1", "t3")]
+    bands = spark.createDataFrame([(str(i), f"b{i}") for i in range(1, 5)], "risk_band_sk string, risk_band_name string")
+    table = report_plans.exposed_alert_table(
+        spark.createDataFrame(places, "technology_sk string, asset_sk string"),
+        spark.createDataFrame(dated, "notice_class string, deprecation_sk string, days_to_retirement int, priority string, risk_band_sk string"),
+        spark.createDataFrame(covers, "notice_class string, technology_sk string"), assets, technologies, bands,
+    )
+    got = [tuple(r) for r in table.collect()]
+    named = {r["asset_sk"]: (r["asset_name"], r["environment"]) for r in assets.collect()}
+    runs = {r["technology_sk"]: (r["runtime_name"], r["runtime_version"]) for r in technologies.collect()}
+    want = {(*named[a], *runs[t], day, priority, "pendiente", f"b{band}" if band < "5" else None) for t, a in places for _, _, day, priority, band in dated}
+    assert set(got) == want and len(got) == len(want)
+    order = [tuple((r[i] is not None, r[i]) for i in (4, 0, 1, 2, 3)) for r in got]
+    assert order == sorted(order)
+    parts = table.filter("days_to_retirement = 7").select(F.spark_partition_id()).distinct().count()
+    assert parts > 1
