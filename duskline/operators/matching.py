@@ -151,6 +151,26 @@ def asked_counts(notices: DataFrame, triples: DataFrame) -> DataFrame:
     return met.groupBy(*triples.columns).agg(F.sum("__asked").alias("notices"))
 
 
+# Technology rows of one triple that meet a notice together.
+ROWS_PER_LIST = 64
+
+
+def listed_rows(technology: DataFrame, counts: DataFrame, min_rows: int = HOT_MIN_ROWS, per_list: int = ROWS_PER_LIST) -> DataFrame:
+    """Technology rows of the triples in ``counts``, gathered in ``__rows``: the triple, its tokens, ``__list`` and what else a row has.
+
+    ``counts`` has ``technology_rows`` and ``matches`` of each triple. Rows are dealt over lists by a hash: a
+    triple has a list per ``per_list`` rows, and more where it has so many matches that they are salted.
+    """
+    other = [c for c in technology.columns if c not in TRIPLE]
+    rows, matches = F.col("technology_rows"), F.col("matches")
+    lists = F.least(rows, F.greatest(F.ceil(rows / per_list), F.ceil(matches / F.lit(float(max(min_rows, 1))))))
+    dealt = with_tokens(technology).join(counts.select(*TOKENS, lists.alias("__lists")), TOKENS)
+    # A row that is nothing but its triple is still a row of the list.
+    row = F.struct(*other) if other else F.struct(F.lit(True).alias("__row"))
+    number = F.pmod(F.xxhash64(*(other or TRIPLE)), F.col("__lists"))
+    return dealt.withColumn("__list", number).groupBy(*TRIPLE, *TOKENS, "__list").agg(F.collect_list(row).alias("__rows"))
+
+
 def wildcard_match(
     notices: DataFrame,
     technology: DataFrame,
@@ -163,13 +183,17 @@ def wildcard_match(
     the family. What a triple costs is its technology rows times its notices: one with a
     large share of all matches is salted over several tasks, and the number of tasks
     follows the matches, which are counted per triple when the plan is made.
+    Technology rows of a triple meet a notice as a list, so the join itself has a row per
+    notice and list; matches are made from it last.
     """
     triples = with_tokens(triple_counts(technology))
     few = match_triples(notices, triples).drop(*TRIPLE, "technology_rows")
     counts = asked_counts(notices, triples).withColumn("matches", F.col("technology_rows") * F.col("notices"))
     tasks = tasks_for(technology.sparkSession, total_rows(counts, "matches"))
     hot = hot_keys(counts, TOKENS, "matches", share, min_rows)
-    return salted_join(with_tokens(technology), few, TOKENS, hot, technology.columns, tasks).drop(*TOKENS)
+    met = salted_join(listed_rows(technology, counts, min_rows), few, TOKENS, hot, ["__list"], tasks)
+    asked = [c for c in few.columns if c not in TOKENS]
+    return met.select(*TRIPLE, *asked, F.inline("__rows")).select(*technology.columns, *asked)
 
 
 def wildcard_match_condition(notices: DataFrame, technology: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def matched_assets(impacted: DataFrame, technology: DataFrame, assets: DataFrame
     """
     notices = impacted.select("deprecation_sk", "technology_family", "affected_runtime", "affected_version").distinct()
     per_asset = match_to_asset(technology.select("resource_id", *TRIPLE), assets)
-    per_asset = per_asset.select("resource_id", "asset_sk", *TRIPLE).distinct()
+    per_asset = per_asset.select("resource_id", "asset_sk", *TRIPLE).distinct().drop("resource_id")
     matches = wildcard_match(attach_event(notices, events), per_asset)
     return matches.select("asset_sk", "deprecation_sk", *TRIPLE, "retirement_at", "severity", "status")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,30 @@ def test_hot_triples_go_by_matches(spark):
     assert [(r["technology_rows"], r["notices"]) for r in counts] == [(40, 300)]
 
 
+def test_matches_are_made_after_the_join(spark, many_matches):
+    """Technology rows of a triple go through the last join as lists."""
+    plan = tables.build_match(spark, many_matches)._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.find("Generate inline") < plan.find("Join Inner")
+
+
+@pytest.mark.parametrize("min_rows", [50, 1_000_000])
+def test_listed_rows_match_like_single_ones(spark, min_rows):
+    """Equal rows, missing values and rows that are only a triple, with salts and without."""
+    notices = spark.createDataFrame(
+        [(i, f, n, v) for i, (f, n, v) in enumerate([("F", None, " "), ("f", "X", None), ("f", "x", "1"), ("f", "x", "1"), ("g", "", "2"), (None, None, None), ("h", None, None)])],
+        "deprecation_sk int, technology_family string, affected_runtime string, affected_version string",
+    )
+    rows = [("r1", "f", "x", "1"), ("r1", "f", "x", "1"), (None, "f", "x", "1"), ("r2", "F", "X", "1"), ("r3", "f", None, None), ("r4", "g", None, "2"), ("r5", None, "x", "1"), ("r6", "q", "x", "1")]
+    rows += [(f"s{i}", "f", "x", str(i % 2)) for i in range(300)]
+    tech = spark.createDataFrame(rows, "resource_id string, technology_family string, runtime_name string, runtime_version string")
+    for t in (tech, tech.drop("resource_id"), tech.withColumn("source", F.lit("s"))):
+        got = matching.wildcard_match(notices, t, share=0.0, min_rows=min_rows)
+        want = matching.wildcard_match_condition(notices, t)
+        assert got.columns == want.columns
+        found = Counter(map(tuple, got.collect()))
+        assert found == Counter(map(tuple, want.collect())) and found.total() > 600
+
+
 def test_build_match_writes_dates_before_the_match(spark, many_matches):
     plan = tables.build_match(spark, many_matches)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     joined = next(i for i, line in enumerate(plan) if "Join Inner" in line)
